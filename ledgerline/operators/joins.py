@@ -1,0 +1,24 @@
+"""Join helpers with an explicit broadcast policy.
+
+Only relations with a proven size bound are broadcast: seeds (fixed rows in code) always, and
+derived dimension tables only after a cheap bounded count (``limit(n + 1).count()``) shows they
+are below ``max_rows``. Above the bound the plain relation is returned and Spark plans a
+shuffle join (AQE may still demote it at run time from the real shuffle sizes).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
+    """``(broadcast(df), True)`` if ``df`` has at most ``max_rows`` rows, else ``(df, False)``.
+
+    The check runs a job that stops after ``max_rows + 1`` rows; call it on small, already
+    reduced relations (one row per currency, per sales org, ...), never on facts.
+    """
+    n = df.limit(max_rows + 1).count()
+    if n <= max_rows:
+        return F.broadcast(df), True
+    return df, False
