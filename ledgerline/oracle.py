@@ -274,3 +274,76 @@ def sql(final: str) -> str:
         parts.append(fixtures.duckdb_ctes(*fixture_names))
     parts += [f"{n} AS ({CTES[n].strip()}\n)" for n in order]
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + final.strip()
+
+
+# ---- CDC ------------------------------------------------------------------------------------
+CTES["log_high"] = "select cast(coalesce(max(seq), 0) as bigint) as high_mark from fx_delta_log"
+
+CTES["kna1_window"] = """
+select * from fx_delta_log
+where tabname = 'KNA1' and seq > 0 and seq <= (select high_mark from log_high)"""
+
+CTES["kna1_netted"] = """
+select tabkey, arg_min(op, seq) as first_op, max(seq) as last_seq,
+  arg_max(logged_at, seq) as last_logged_at
+from kna1_window group by tabkey"""
+
+
+def delta_events_sql(source: str) -> str:
+    """Classify the netted KNA1 keys against the images in ``source``."""
+    return f"""
+select coalesce(s.mandt, n.k_mandt) as mandt, coalesce(s.kunnr, n.k_kunnr) as kunnr, s.name1, s.land1,
+  s.ort01, s.ktokd, s.erdat, s.loevm,
+  case when s.kunnr is not null then (case when n.first_op = 'I' then 'I' else 'U' end)
+       when n.first_op <> 'I' then 'D' end as _op,
+  n.last_seq as _seq, cast(n.last_logged_at as timestamp) as _changed_at
+from (select rtrim(substr(tabkey, 1, 3)) as k_mandt, rtrim(substr(tabkey, 4, 10)) as k_kunnr,
+        first_op, last_seq, last_logged_at from kna1_netted) n
+left join {source} s on s.mandt = n.k_mandt and s.kunnr = n.k_kunnr"""
+
+
+CTES["kna1_delta_live"] = f"select * from ({delta_events_sql('fx_kna1_live')}) d where _op is not null"
+CTES["kna1_delta_source"] = f"select * from ({delta_events_sql('fx_kna1_source')}) d where _op is not null"
+
+# the published extraction scenario: INIT of fx_kna1 before any change, DELTA over the whole log
+CTES["kna1_published"] = """
+select mandt, kunnr, name1, land1, ort01, ktokd, erdat, loevm, 'I' as _op, cast(0 as bigint) as _seq,
+  cast(null as timestamp) as _changed_at, 'INIT' as _load_type, '20260105T060000-1f2e3d4c' as _batch_id,
+  timestamptz '2026-01-05 06:00:00+00' as _extracted_at, date '2026-01-05' as _extracted_day,
+  cast(0 as bigint) as _watermark
+from fx_kna1
+union all
+select mandt, kunnr, name1, land1, ort01, ktokd, erdat, loevm, _op, _seq, _changed_at, 'DELTA',
+  '20260106T060000-5b6a7988', timestamptz '2026-01-06 06:00:00+00', date '2026-01-06',
+  (select high_mark from log_high)
+from kna1_delta_source"""
+
+CTES["kna1_replayed"] = f"""
+select mandt, kunnr, name1, land1, ort01, ktokd, erdat, loevm
+from ({latest('kna1_published', 'mandt, kunnr')}) r"""
+
+
+def diff_sql(left: str, right: str) -> str:
+    return (f"select *, 'left_only' as _side from (select * from {left} except all select * from {right}) a "
+            f"union all select *, 'right_only' as _side from (select * from {right} except all "
+            f"select * from {left}) b")
+
+
+CTES["vbak_current_fields"] = f"""
+select mandt, vbeln, erdat, erzet, auart, vkorg, vtweg, spart, kunnr, netwr, waerk, aedat, gbstk
+from ({latest('bz_vbak', 'mandt, vbeln')}) c"""
+
+_TABLE_NAMES = ["tcurx", "kna1", "mara", "makt", "vbak", "vbap", "likp", "lips", "vbrk", "vbrp"]
+CTES["init_marks"] = "\nunion all\n".join(
+    f"select '{t.upper()}' as tabname, max(_seq) as watermark from bz_{t} where _load_type = 'INIT'"
+    for t in _TABLE_NAMES)
+
+# ---- work lists -----------------------------------------------------------------------------
+CTES["order_day"] = "select max(created_on) + 1 as d from stg_sales_orders"
+CTES["billing_day"] = "select max(billing_date) + 1 as d from stg_billing_documents"
+
+CTES["due_billing"] = """
+select delivery_id, customer_id, goods_issue_on from stg_deliveries
+where goods_issue_on < (select d from order_day)
+  and delivery_id not in (select reference_document_id from stg_billing_items
+                          where reference_document_id is not null)"""

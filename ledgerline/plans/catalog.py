@@ -42,3 +42,372 @@ for _name in SILVER_MODELS + GOLD_MODELS + (
         "scd2_changes", "material_text_pivot", "first_delivery", "first_invoice",
         "agg_bookings", "agg_billing"):
     register(_name)(_model_query(_name))
+
+
+# ---- helpers --------------------------------------------------------------------------------
+import datetime as dt  # noqa: E402
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from ledgerline.functions import formats  # noqa: E402
+from ledgerline.operators import cdc, quality, setops, state  # noqa: E402
+from ledgerline.plans import checks, worklists  # noqa: E402
+from ledgerline.schemas import TABLES  # noqa: E402
+from ledgerline.seeds import CURRENCY_PER_EUR  # noqa: E402
+from ledgerline.sources import bronze  # noqa: E402
+from ledgerline.sources.fixtures import INIT_BATCH, fixture  # noqa: E402
+
+KNA1 = TABLES["kna1"]
+# Fixed values of the extraction scenario (deterministic batch ids and landing times).
+SCENARIO_INIT = ("20260105T060000-1f2e3d4c", dt.datetime(2026, 1, 5, 6, 0, tzinfo=dt.UTC))
+SCENARIO_DELTA = ("20260106T060000-5b6a7988", dt.datetime(2026, 1, 6, 6, 0, tzinfo=dt.UTC))
+SCENARIO_RERUN = ("20260107T060000-9a8b7c6d", dt.datetime(2026, 1, 7, 6, 0, tzinfo=dt.UTC))
+
+
+def _fx(spark, sf_dir, name):
+    return fixture(spark, sf_dir, name)
+
+
+def kna1_delta_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DELTA for KNA1 over the whole change log against the live customer images."""
+    log = _fx(spark, sf_dir, "fx_delta_log")
+    high = cdc.high_mark_value(log)
+    netted = cdc.net_change(cdc.log_window(log, "kna1", 0, high))
+    return cdc.delta_events(netted, _fx(spark, sf_dir, "fx_kna1_live"), KNA1)
+
+
+def publish_kna1_scenario(spark: SparkSession, sf_dir: str) -> tuple[str, list[dict]]:
+    """INIT of the customer master (before any logged change), DELTA over the whole change
+    log against the current ERP table, then a re-run with nothing new. Returns the bronze root
+    and the three run results."""
+    from ledgerline.session import shared_dir
+    root = shared_dir(spark, "bronze-kna1")
+    log = _fx(spark, sf_dir, "fx_delta_log")
+    empty_log = log.filter(F.lit(False))           # the log as it was before the first change
+    runs = [
+        bronze.extract_table(spark, empty_log, _fx(spark, sf_dir, "fx_kna1"), root, "kna1",
+                             *SCENARIO_INIT),
+        bronze.extract_table(spark, log, _fx(spark, sf_dir, "fx_kna1_source"), root, "kna1",
+                             *SCENARIO_DELTA),
+        bronze.extract_table(spark, log, _fx(spark, sf_dir, "fx_kna1_source"), root, "kna1",
+                             *SCENARIO_RERUN),
+    ]
+    return root, runs
+
+
+# ---- CDC extraction ---------------------------------------------------------------------------
+@register("cdc_high_watermark")
+def q_cdc_high_watermark(spark, sf_dir):
+    return cdc.high_mark(_fx(spark, sf_dir, "fx_delta_log"))
+
+
+@register("cdc_log_window")
+def q_cdc_log_window(spark, sf_dir):
+    log = _fx(spark, sf_dir, "fx_delta_log")
+    return cdc.log_window(log, "kna1", 0, cdc.high_mark_value(log))
+
+
+@register("cdc_net_change")
+def q_cdc_net_change(spark, sf_dir):
+    log = _fx(spark, sf_dir, "fx_delta_log")
+    return cdc.net_change(cdc.log_window(log, "kna1", 0, cdc.high_mark_value(log)))
+
+
+@register("cdc_delta_events")
+def q_cdc_delta_events(spark, sf_dir):
+    return kna1_delta_events(spark, sf_dir)
+
+
+@register("cdc_batch_counts")
+def q_cdc_batch_counts(spark, sf_dir):
+    return cdc.batch_counts(kna1_delta_events(spark, sf_dir))
+
+
+@register("cdc_initial_load")
+def q_cdc_initial_load(spark, sf_dir):
+    high = cdc.high_mark_value(_fx(spark, sf_dir, "fx_delta_log"))
+    return cdc.initial_events(_fx(spark, sf_dir, "fx_kna1"), KNA1, high)
+
+
+@register("cdc_load_mode")
+def q_cdc_load_mode(spark, sf_dir):
+    """Per table of the demo lakehouse: the next run's load type, judged from the watermark of
+    its INIT batch and the change-log entries after it."""
+    lh = lakehouse(spark, sf_dir)
+    marks = None
+    for t in TABLES:
+        m = (lh.bronze(t).filter(F.col("_load_type") == "INIT")
+             .agg(F.max("_seq").alias("watermark")).select(F.lit(t.upper()).alias("tabname"),
+                                                           "watermark"))
+        marks = m if marks is None else marks.unionByName(m)
+    log = _fx(spark, sf_dir, "fx_delta_log")
+    # one row per table (bounded by the table list): broadcast it to the log scan, count the
+    # entries after each mark with a map-side partial count, then attach to the marks
+    after = (log.select("tabname", "seq").join(F.broadcast(marks), "tabname", "inner")
+                .filter(F.col("seq") > F.coalesce(F.col("watermark"), F.lit(-1)))
+                .groupBy("tabname").agg(F.count(F.lit(1)).alias("__n")))
+    pending = marks.join(after, "tabname", "left").withColumn(
+        "pending_changes", F.coalesce(F.col("__n"), F.lit(0)))
+    mode = (F.when(F.col("watermark").isNull(), "INIT")
+             .when(F.col("pending_changes") > 0, "DELTA").otherwise("NONE"))
+    return pending.select("tabname", "watermark", "pending_changes", mode.alias("load_type"))
+
+
+@register("tabkey_roundtrip")
+def q_tabkey_roundtrip(spark, sf_dir):
+    spec = TABLES["vbap"]
+    items = _fx(spark, sf_dir, "fx_vbap").select(*spec.keys)
+    keyed = cdc.encode_tabkeys(items, spec.keys)
+    decoded = formats.tabkey_decode("tabkey", spec.keys)
+    same = F.lit(True)
+    for k in spec.keys:
+        same = same & (decoded[k] == F.col(k))
+    return keyed.select("tabkey", *[decoded[k].alias(f"decoded_{k}") for k in spec.keys],
+                        same.alias("roundtrip_ok"))
+
+
+@register("replay_equals_source")
+def q_replay_equals_source(spark, sf_dir):
+    root, _ = publish_kna1_scenario(spark, sf_dir)
+    replayed = state.replay(bronze.read_bronze(spark, root, "kna1"), KNA1.keys, KNA1.fields)
+    return setops.table_diff(replayed, _fx(spark, sf_dir, "fx_kna1_source"))
+
+
+@register("table_diff")
+def q_table_diff(spark, sf_dir):
+    spec = TABLES["vbak"]
+    current = state.current_state(lakehouse(spark, sf_dir).bronze("vbak"), spec.keys)
+    return setops.table_diff(current.select(*spec.fields), _fx(spark, sf_dir, "fx_vbak"))
+
+
+# ---- bronze store -----------------------------------------------------------------------------
+BRONZE_OUT = [*KNA1.fields, "_op", "_seq", "_changed_at", "_load_type", "_batch_id",
+              "_extracted_day", "_watermark"]
+
+
+@register("bronze_append_readback")
+def q_bronze_append_readback(spark, sf_dir):
+    root, _ = publish_kna1_scenario(spark, sf_dir)
+    return bronze.read_bronze(spark, root, "kna1").select(*BRONZE_OUT)
+
+
+@register("bronze_batch_history")
+def q_bronze_batch_history(spark, sf_dir):
+    root, _ = publish_kna1_scenario(spark, sf_dir)
+    hist = bronze.batch_history(bronze.read_bronze(spark, root, "kna1"))
+    return hist.select("batch_id", "load_type", "rows_added",
+                       F.to_date("extracted_at").alias("extracted_day"), "watermark")
+
+
+@register("watermark_as_of")
+def q_watermark_as_of(spark, sf_dir):
+    """The watermark as it was after the INIT run, after the DELTA run, and now: excluding the
+    batches that landed later rolls their watermark back with them."""
+    root, _ = publish_kna1_scenario(spark, sf_dir)
+    b = bronze.read_bronze(spark, root, "kna1")
+    day = F.col("_extracted_day")
+
+    def as_of(d: dt.datetime):
+        return F.max(F.when(day <= F.lit(d.date()), F.col("_watermark")))
+    return b.agg(as_of(SCENARIO_INIT[1]).alias("watermark_at_init"),
+                 as_of(SCENARIO_DELTA[1]).alias("watermark_at_delta"),
+                 F.max("_watermark").alias("watermark_now"))
+
+
+@register("state_as_of")
+def q_state_as_of(spark, sf_dir):
+    """Orders as they were once the INIT batch had landed (before updates and deletes)."""
+    spec = TABLES["vbak"]
+    events = lakehouse(spark, sf_dir).bronze("vbak")
+    return state.state_as_of(events, spec.keys, INIT_BATCH[2]).select(*spec.fields, "_seq")
+
+
+@register("current_state_vbak")
+def q_current_state_vbak(spark, sf_dir):
+    spec = TABLES["vbak"]
+    cur = state.current_state(lakehouse(spark, sf_dir).bronze("vbak"), spec.keys)
+    return cur.select(*spec.fields, "_op", "_seq", "_load_type", "_batch_id")
+
+
+@register("current_state_kna1")
+def q_current_state_kna1(spark, sf_dir):
+    spec = TABLES["kna1"]
+    cur = state.current_state(lakehouse(spark, sf_dir).bronze("kna1"), spec.keys)
+    return cur.select(*spec.fields, "_op", "_seq", "_changed_at", "_load_type", "_batch_id")
+
+
+@register("events_dedup")
+def q_events_dedup(spark, sf_dir):
+    ev = lakehouse(spark, sf_dir).model("stg_customer_events")
+    return ev.select("customer_id", "customer_name", "country_code", "city", "_op", "_seq",
+                     "changed_at").distinct()
+
+
+# ---- format functions ---------------------------------------------------------------------------
+@register("fn_alpha_out")
+def q_fn_alpha_out(spark, sf_dir):
+    orders = _fx(spark, sf_dir, "fx_vbak").select(F.lit("kunnr").alias("field"),
+                                                  F.col("kunnr").alias("stored"))
+    mats = _fx(spark, sf_dir, "fx_mara").select(F.lit("matnr").alias("field"),
+                                                F.col("matnr").alias("stored"))
+    both = orders.unionByName(mats)
+    return both.select("field", "stored", formats.alpha_out("stored").alias("external"))
+
+
+@register("fn_dats")
+def q_fn_dats(spark, sf_dir):
+    d = _fx(spark, sf_dir, "fx_likp")
+    return d.select("vbeln", "erdat", "wadat_ist", formats.dats("erdat").alias("created_on"),
+                    formats.dats("wadat_ist").alias("goods_issue_on"))
+
+
+@register("fn_number")
+def q_fn_number(spark, sf_dir):
+    i = _fx(spark, sf_dir, "fx_vbap")
+    return i.select("vbeln", "posnr", "netwr", "kwmeng",
+                    formats.number("netwr", 2).alias("netwr_value"),
+                    formats.number("kwmeng").alias("quantity"))
+
+
+@register("fn_amount")
+def q_fn_amount(spark, sf_dir):
+    lh = lakehouse(spark, sf_dir)
+    i = _fx(spark, sf_dir, "fx_vbap").select("vbeln", "posnr", "netwr", "waerk")
+    from ledgerline.plans.silver import with_amount
+    return with_amount(lh, i, "netwr", "waerk", "amount")
+
+
+@register("fn_amount_roundtrip")
+def q_fn_amount_roundtrip(spark, sf_dir):
+    """Stored text -> value -> stored text for every order item amount."""
+    lh = lakehouse(spark, sf_dir)
+    i = _fx(spark, sf_dir, "fx_vbap").select("vbeln", "posnr", "netwr", "waerk")
+    f = lh.currency_factors()
+    j = i.join(f, F.col("waerk") == F.col("__currency"), "left")
+    value = formats.amount("netwr", "__factor")
+    again = formats.amount_encode(value, "__factor")
+    return j.select("vbeln", "posnr", "netwr", "waerk", value.alias("amount"),
+                    again.alias("stored_again"), (again == F.col("netwr")).alias("roundtrip_ok"))
+
+
+@register("fn_price_in")
+def q_fn_price_in(spark, sf_dir):
+    """Each order's total as a EUR price converted into its document currency."""
+    lh = lakehouse(spark, sf_dir)
+    rates = F.broadcast(spark.createDataFrame(
+        list(CURRENCY_PER_EUR.items()), "currency string, units_per_eur decimal(18,6)"))
+    dec = lh.model("stg_currency_decimals")
+    o = _fx(spark, sf_dir, "fx_vbak").select("vbeln", "waerk", "netwr")
+    j = (o.join(rates, F.col("waerk") == F.col("currency"), "left")
+          .join(F.broadcast(dec), F.col("waerk") == F.col("currency_code"), "left"))
+    price = formats.number("netwr")
+    return j.select("vbeln", "waerk", price.alias("eur_price"),
+                    formats.price_in(price, "units_per_eur", "currency_decimals").alias("price"))
+
+
+# ---- data-quality checks ------------------------------------------------------------------------
+@register("dq_unique")
+def q_dq_unique(spark, sf_dir):
+    return quality.unique(lakehouse(spark, sf_dir).model("stg_sales_order_items"), "order_id")
+
+
+@register("dq_not_null")
+def q_dq_not_null(spark, sf_dir):
+    fb = lakehouse(spark, sf_dir).model("fct_billing_items")
+    return quality.not_null(fb, "sales_org").select("billing_item_key", "order_id")
+
+
+@register("dq_accepted_values")
+def q_dq_accepted_values(spark, sf_dir):
+    c = lakehouse(spark, sf_dir).model("dim_customer")
+    return quality.accepted_values(c, "country_code", ["PT", "ES", "DE", "FR", "GB", "US", "JP", "KW"])
+
+
+@register("dq_relationships")
+def q_dq_relationships(spark, sf_dir):
+    lh = lakehouse(spark, sf_dir)
+    return quality.relationships(lh.model("stg_sales_order_items"), "order_id",
+                                 lh.model("stg_sales_orders"), "order_id").select(
+        "order_id", "item_number")
+
+
+@register("dq_unique_combination")
+def q_dq_unique_combination(spark, sf_dir):
+    return quality.unique_combination(lakehouse(spark, sf_dir).model("agg_daily_sales"),
+                                      ["sales_date", "sales_org"])
+
+
+@register("dq_primary_key")
+def q_dq_primary_key(spark, sf_dir):
+    return checks.gold_primary_key(lakehouse(spark, sf_dir), "agg_daily_sales")
+
+
+@register("dq_billing_reconcile")
+def q_dq_billing_reconcile(spark, sf_dir):
+    return checks.billing_reconcile(lakehouse(spark, sf_dir))
+
+
+@register("dq_overbilling")
+def q_dq_overbilling(spark, sf_dir):
+    return checks.overbilling(lakehouse(spark, sf_dir))
+
+
+@register("dq_orphans")
+def q_dq_orphans(spark, sf_dir):
+    return checks.orphans(lakehouse(spark, sf_dir))
+
+
+@register("dq_log_complete")
+def q_dq_log_complete(spark, sf_dir):
+    return checks.log_complete(_fx(spark, sf_dir, "fx_kna1_live"),
+                               _fx(spark, sf_dir, "fx_delta_log"), "kna1")
+
+
+# ---- work lists ---------------------------------------------------------------------------------
+def _order_day(lh) -> dt.date:
+    return worklists.business_day_after(lh.model("stg_sales_orders"), "created_on")
+
+
+def _billing_day(lh) -> dt.date:
+    return worklists.business_day_after(lh.model("stg_billing_documents"), "billing_date")
+
+
+@register("due_deliveries")
+def q_due_deliveries(spark, sf_dir):
+    lh = lakehouse(spark, sf_dir)
+    return worklists.due_deliveries(lh, _order_day(lh))
+
+
+@register("pending_goods_issue")
+def q_pending_goods_issue(spark, sf_dir):
+    lh = lakehouse(spark, sf_dir)
+    return worklists.pending_goods_issue(lh, _order_day(lh))
+
+
+@register("due_billing")
+def q_due_billing(spark, sf_dir):
+    lh = lakehouse(spark, sf_dir)
+    return worklists.due_billing(lh, _order_day(lh))
+
+
+@register("invoice_proposal")
+def q_invoice_proposal(spark, sf_dir):
+    lh = lakehouse(spark, sf_dir)
+    return worklists.invoice_proposal(lh, _order_day(lh))
+
+
+@register("order_rollup")
+def q_order_rollup(spark, sf_dir):
+    return worklists.order_rollup(lakehouse(spark, sf_dir))
+
+
+@register("deletable_orders")
+def q_deletable_orders(spark, sf_dir):
+    lh = lakehouse(spark, sf_dir)
+    return worklists.deletable_orders(lh, _order_day(lh))
+
+
+@register("credit_candidates")
+def q_credit_candidates(spark, sf_dir):
+    lh = lakehouse(spark, sf_dir)
+    return worklists.credit_candidates(lh, _billing_day(lh))

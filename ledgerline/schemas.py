@@ -6,6 +6,7 @@ bronze adds typed CDC metadata; gold tables are checked against the contracts be
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import types as T
@@ -102,8 +103,23 @@ def bronze_schema(spec: TableSpec) -> T.StructType:
     return T.StructType(list(spec.source_schema.fields) + list(BRONZE_META.fields))
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_PRIMITIVES = {
+    "string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(),
+    "boolean": T.BooleanType(), "date": T.DateType(), "timestamp_ntz": T.TimestampNTZType(),
+    "timestamp": T.TimestampType(),
+}
+
+
+def _schema(columns: str) -> T.StructType:
+    """``"name type, ..."`` with primitive or ``decimal(p,s)`` types -> StructType (no session
+    needed, unlike ``StructType.fromDDL``)."""
+    fields = []
+    for part in re.split(r",\s*(?![^()]*\))", columns.strip()):
+        name, type_name = part.split(None, 1)
+        m = re.fullmatch(r"decimal\((\d+),\s*(\d+)\)", type_name.strip())
+        dtype = T.DecimalType(int(m[1]), int(m[2])) if m else _PRIMITIVES[type_name.strip()]
+        fields.append(T.StructField(name, dtype, True))
+    return T.StructType(fields)
 
 
 # Gold contracts: exact column names, order and types.

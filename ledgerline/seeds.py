@@ -12,19 +12,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.schemas import _schema
+
 SEED_SCHEMAS: dict[str, T.StructType] = {
-    "sap_units": T.StructType.fromDDL(
+    "sap_units": _schema(
         "sap_unit string, unit_code string, iso_code string, unit_name string"),
-    "sap_order_types": T.StructType.fromDDL(
+    "sap_order_types": _schema(
         "order_type_sap string, order_type_code string, order_type_name string"),
-    "sap_billing_types": T.StructType.fromDDL(
+    "sap_billing_types": _schema(
         "billing_type string, billing_type_name string, is_credit_memo boolean"),
-    "sap_rejection_reasons": T.StructType.fromDDL(
+    "sap_rejection_reasons": _schema(
         "rejection_reason_code string, rejection_reason string"),
-    "sap_languages": T.StructType.fromDDL(
+    "sap_languages": _schema(
         "language_key string, language_iso string, language_name string"),
-    "sap_sales_orgs": T.StructType.fromDDL("sales_org string, sales_org_name string"),
-    "fx_rates_to_eur": T.StructType.fromDDL("currency_code string, eur_per_unit decimal(18,6)"),
+    "sap_sales_orgs": _schema("sales_org string, sales_org_name string"),
+    "fx_rates_to_eur": _schema("currency_code string, eur_per_unit decimal(18,6)"),
 }
 
 # The code tables' rows, as published with the source system's reference data.
@@ -79,3 +81,12 @@ def read_seed_csv(spark: SparkSession, name: str, path: str) -> DataFrame:
     return (spark.read.schema(SEED_SCHEMAS[name])
             .option("header", True).option("emptyValue", "").option("nullValue", None)
             .csv(path))
+
+# Units of each currency per EUR, used to price a EUR list price in a currency.
+CURRENCY_PER_EUR: dict[str, Decimal] = {
+    "EUR": Decimal("1"),
+    "USD": Decimal("1.10"),
+    "GBP": Decimal("0.86"),
+    "JPY": Decimal("160"),
+    "KWD": Decimal("0.34"),
+}

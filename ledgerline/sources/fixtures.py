@@ -156,6 +156,12 @@ from {fx_vbak} b where cast(vbeln as bigint) % 10 = 3
 union all
 select mandt, vbeln, null, null, null, null, null, null, null, null, null, null, null, 'D', cast(6 as bigint)
 from {fx_vbak} c where cast(vbeln as bigint) % 37 = 0""",
+    # the ERP's customer table after the change stream: untouched customers plus the live
+    # image of every customer the stream touched
+    "fx_kna1_source": """
+select k.* from {fx_kna1} k where k.kunnr not in (select e.kunnr from {fx_kna1_events} e)
+union all
+select * from {fx_kna1_live}""",
     # ---- bronze event tables of the demo lakehouse -----------------------------------------
     "bz_tcurx": f"select currkey, currdec, {INIT_META} from {{fx_tcurx}}",
     "bz_mara": f"select *, {INIT_META} from {{fx_mara}}",
@@ -163,8 +169,22 @@ from {fx_vbak} c where cast(vbeln as bigint) % 37 = 0""",
     "bz_vbap": f"select *, {INIT_META} from {{fx_vbap}}",
     "bz_likp": f"select *, {INIT_META} from {{fx_likp}}",
     "bz_lips": f"select *, {INIT_META} from {{fx_lips}}",
-    "bz_vbrk": f"select *, {INIT_META} from {{fx_vbrk}}",
-    "bz_vbrp": f"select *, {INIT_META} from {{fx_vbrp}}",
+    # correction batches (planted faults for the checks): cancelled billing headers are
+    # re-sent with a zero amount (reconciliation finds them); billing items of external
+    # material numbers are re-sent with twice the billed quantity (over-billing finds them).
+    "bz_vbrk": f"""
+select *, {INIT_META} from {{fx_vbrk}}
+union all
+select mandt, vbeln, fkart, fkdat, kunrg, '0.00', waerk, fksto,
+  {_meta("'U'", "7", f"cast('{DELTA_CHANGED_AT}' as $NTZ)", DELTA_BATCH)}
+from {{fx_vbrk}} where fksto = 'X'""",
+    "bz_vbrp": f"""
+select *, {INIT_META} from {{fx_vbrp}}
+union all
+select mandt, vbeln, posnr, vgbel, vgpos, aubel, aupos, matnr,
+  cast(cast(cast(fkimg as decimal(18,3)) * 2 as decimal(18,3)) as string), netwr,
+  {_meta("'U'", "7", f"cast('{DELTA_CHANGED_AT}' as $NTZ)", DELTA_BATCH)}
+from {{fx_vbrp}} where length(matnr) < 18""",
     "bz_vbak": f"""
 select mandt, vbeln, erdat, erzet, auart, vkorg, vtweg, spart, kunnr, netwr, waerk, aedat, gbstk,
   {_meta("'I'", "_seq", "cast(null as $NTZ)", INIT_BATCH)}
