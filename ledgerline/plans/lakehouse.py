@@ -30,9 +30,21 @@ class Lakehouse:
 
     # -- sources -------------------------------------------------------------------------------
     @classmethod
-    def from_fixtures(cls, spark: SparkSession, sf_dir: str, **kw) -> Lakehouse:
-        """Bronze tables derived from the TESTDATA parquet files (``bz_*`` fixtures)."""
-        return cls(spark, lambda t: fixtures.fixture(spark, sf_dir, f"bz_{t}"), **kw)
+    def from_fixtures(cls, spark: SparkSession, sf_dir: str, materialize: bool = True,
+                      **kw) -> Lakehouse:
+        """Bronze tables derived from the TESTDATA parquet files (``bz_*`` fixtures).
+
+        ``materialize`` (default) writes them once per input folder below the shared folder,
+        as an extraction job would, and every model reads the written event tables; otherwise
+        the derivations are planned inline into every query.
+        """
+        from ledgerline.schemas import TABLES, bronze_schema
+        if not materialize:
+            memo: dict[str, DataFrame] = {}
+            return cls(spark, lambda t: fixtures.fixture(spark, sf_dir, f"bz_{t}", memo), **kw)
+        paths = fixtures.materialize_bronze(spark, sf_dir, list(TABLES))
+        return cls(spark, lambda t: spark.read.schema(bronze_schema(TABLES[t])).parquet(paths[t]),
+                   **kw)
 
     @classmethod
     def from_bronze_root(cls, spark: SparkSession, root: str, **kw) -> Lakehouse:

@@ -54,6 +54,24 @@ def _path(spark: SparkSession, path: str):
     return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
 
 
+def fs_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def fs_rename_if_absent(spark: SparkSession, src: str, dst: str) -> bool:
+    """Move ``src`` to ``dst`` unless ``dst`` exists (another run published it first)."""
+    fs, s = _fs(spark, src)
+    d = _path(spark, dst)
+    if fs.exists(d):
+        fs.delete(s, True)
+        return False
+    fs.mkdirs(d.getParent())
+    if not fs.rename(s, d):
+        raise RuntimeError(f"rename {src} -> {dst} failed")
+    return True
+
+
 def published_batches(spark: SparkSession, root: str, table: str) -> list[dict]:
     """Published batches of a table from the directory names: day, watermark, batch id."""
     fs, base = _fs(spark, f"{root}/{table}")

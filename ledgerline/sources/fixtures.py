@@ -15,7 +15,10 @@ The ``bz_*`` derivations are the bronze event tables of a demo lakehouse:
 
 from __future__ import annotations
 
+import hashlib
+import os
 import re
+import uuid
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -227,12 +230,62 @@ def load_base(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
-def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A TESTDATA table or a derivation, as a lazily planned Spark DataFrame."""
-    if name in BASE_TABLES:
-        return load_base(spark, sf_dir, name)
-    deps = {d: fixture(spark, sf_dir, d) for d in dependencies(name)}
-    return spark.sql(_typed(FIXTURE_SQL[name], "spark"), **deps)
+def fixture(spark: SparkSession, sf_dir: str, name: str,
+            memo: dict[str, DataFrame] | None = None) -> DataFrame:
+    """A TESTDATA table or a derivation, as a lazily planned Spark DataFrame.
+
+    ``memo`` shares one DataFrame per derivation across a build, so a derivation used twice
+    is one logical subtree (Spark can then reuse its exchanges).
+    """
+    memo = {} if memo is None else memo
+    if name not in memo:
+        if name in BASE_TABLES:
+            memo[name] = load_base(spark, sf_dir, name)
+        else:
+            deps = {d: fixture(spark, sf_dir, d, memo) for d in dependencies(name)}
+            memo[name] = spark.sql(_typed(FIXTURE_SQL[name], "spark"), **deps)
+    return memo[name]
+
+
+def _fingerprint(sf_dir: str) -> str:
+    """Changes whenever an input file or a derivation text changes."""
+    h = hashlib.sha1(sf_dir.encode())
+    for t in BASE_TABLES:
+        path = f"{sf_dir.rstrip('/')}/{t}.parquet"
+        if os.path.exists(path):
+            st = os.stat(path)
+            h.update(f"{t}:{st.st_size}:{st.st_mtime_ns}".encode())
+    for name in sorted(FIXTURE_SQL):
+        h.update(FIXTURE_SQL[name].encode())
+    return h.hexdigest()[:16]
+
+
+def materialize_bronze(spark: SparkSession, sf_dir: str, tables) -> dict[str, str]:
+    """Write the ``bz_*`` event tables derived from ``sf_dir`` once (the extraction step of the
+    demo lakehouse) below the shared folder and return their paths.
+
+    Each table is written to a staging path and published with one rename, so a crash never
+    leaves a half-written table that a later run would trust.
+    """
+    from ledgerline.session import checkpoint_root
+    from ledgerline.sources.bronze import fs_rename_if_absent
+    root = f"{checkpoint_root(spark)}/ledgerline-bronze-{_fingerprint(sf_dir)}"
+    paths, memo = {}, {}
+    for t in tables:
+        path = f"{root}/{t}"
+        paths[t] = path
+        if not os.path.exists(f"{path}/_SUCCESS") and not _remote_exists(spark, path):
+            staging = f"{root}/_staging-{t}-{uuid.uuid4().hex[:8]}"
+            fixture(spark, sf_dir, f"bz_{t}", memo).write.parquet(staging)
+            fs_rename_if_absent(spark, staging, path)
+    return paths
+
+
+def _remote_exists(spark: SparkSession, path: str) -> bool:
+    if path.startswith("/") or path.startswith("file:"):
+        return False
+    from ledgerline.sources.bronze import fs_exists
+    return fs_exists(spark, f"{path}/_SUCCESS")
 
 
 @lru_cache(maxsize=None)
