@@ -50,7 +50,7 @@ def dats(c: ColumnLike, lenient: bool = False) -> Column:
     returns null for it instead, for quarantining bad rows.
     """
     c = _c(c)
-    parse = F.try_to_date(c, F.lit(DATE_PATTERN)) if lenient else F.to_date(c, DATE_PATTERN)
+    parse = F.try_to_date(c, DATE_PATTERN) if lenient else F.to_date(c, DATE_PATTERN)
     return F.when(c.isNull() | c.isin("", NO_DATE), F.lit(None).cast("date")).otherwise(parse)
 
 
