@@ -411,3 +411,25 @@ def q_deletable_orders(spark, sf_dir):
 def q_credit_candidates(spark, sf_dir):
     lh = lakehouse(spark, sf_dir)
     return worklists.credit_candidates(lh, _billing_day(lh))
+
+
+# ---- streaming ----------------------------------------------------------------------------------
+STREAM_CLOCK = dt.datetime(2026, 1, 6, 6, 0, tzinfo=dt.UTC)
+
+
+@register("stream_delta_events")
+def q_stream_delta_events(spark, sf_dir):
+    """The change log lands as files; a streaming extraction (AvailableNow) nets each
+    micro-batch against the live customer images and publishes it to bronze."""
+    from ledgerline.session import shared_dir
+    from ledgerline.streaming.cdc_stream import start_extraction
+    base = shared_dir(spark, "stream-kna1")
+    _fx(spark, sf_dir, "fx_delta_log").write.parquet(f"{base}/log")
+    live = _fx(spark, sf_dir, "fx_kna1_live")
+    q = start_extraction(spark, f"{base}/log", lambda: live, "kna1", f"{base}/bronze",
+                         f"{base}/checkpoint", clock=lambda: STREAM_CLOCK)
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    b = bronze.read_bronze(spark, f"{base}/bronze", "kna1")
+    return b.select(*KNA1.fields, "_op", "_seq", "_changed_at", "_load_type")

@@ -180,3 +180,6 @@ where overall_status = 'A' and created_on >= (select d from order_day) - 1
 select billing_id, payer_id, billing_date, net_value, currency_code from stg_billing_documents
 where billing_type = 'F2' and billing_date >= (select d from billing_day) - 30"""),
 })
+
+ORACLE_SQL["stream_delta_events"] = sql(
+    f"select {KNA1_FIELDS}, _op, _seq, _changed_at, 'DELTA' as _load_type from kna1_delta_live")
