@@ -72,15 +72,22 @@ class Lakehouse:
         return self._memo[name]
 
     # -- shared small relations ------------------------------------------------------------------
-    def currency_factors(self) -> DataFrame:
-        """``(__currency, __factor)``: exact amount factor per currency, broadcast when its
-        size check passes."""
-        key = "currency_factors"
+    def currency_factors(self, checked: bool = False) -> DataFrame:
+        """``(__currency, __factor)``: exact amount factor per currency (one row per currency).
+
+        By default the join strategy is left to Spark's size checks: the planner broadcasts it
+        when its file-based size estimate is under ``spark.sql.autoBroadcastJoinThreshold`` and
+        AQE re-checks the real size at run time; above the threshold it is a shuffle join.
+        ``checked=True`` adds an explicit bounded count before hinting a broadcast.
+        """
+        key = f"currency_factors:{checked}"
         if key not in self._memo:
             from ledgerline.functions.formats import amount_factor
             from pyspark.sql import functions as F
             dec = self.model("stg_currency_decimals")
             factors = dec.select(F.col("currency_code").alias("__currency"),
                                  amount_factor("currency_decimals").alias("__factor"))
-            self._memo[key], _ = bounded_broadcast(factors, MAX_CURRENCY_ROWS)
+            if checked:
+                factors, _ = bounded_broadcast(factors, MAX_CURRENCY_ROWS)
+            self._memo[key] = factors
         return self._memo[key]
