@@ -25,6 +25,12 @@ GOLD_ORDER = (
     "dim_customer", "dim_customer_history", "dim_material", "fct_sales_order_items",
     "fct_billing_items", "fct_order_fulfillment", "agg_daily_sales",
 )
+# Independent gold models, level by level (a level only reads earlier levels).
+GOLD_LEVELS = (
+    ("dim_customer", "dim_customer_history", "dim_material", "fct_sales_order_items",
+     "fct_billing_items"),
+    ("fct_order_fulfillment", "agg_daily_sales"),
+)
 # Silver models read by more than one gold model or check.
 SHARED_SILVER = ("stg_sales_orders", "stg_billing_documents", "stg_billing_items",
                  "stg_sales_order_items")
@@ -44,24 +50,38 @@ def write_table(df: DataFrame, path: str) -> None:
         raise RuntimeError(f"publishing {staging} -> {path} failed")
 
 
-def build_gold(lh, out_root: str, models=GOLD_ORDER) -> dict[str, str]:
-    """Write the gold tables below ``out_root``; returns model -> path."""
+def persist_shared(lh, names=SHARED_SILVER, parallelism: int = 4) -> list[DataFrame]:
+    """Persist the shared silver models (memory and disk) and fill the cache once, with one
+    concurrent job per model, so that concurrent gold jobs do not each compute them."""
+    persisted = [lh.model(n).persist(StorageLevel.MEMORY_AND_DISK) for n in names]
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        list(pool.map(lambda df: df.write.format("noop").mode("overwrite").save(), persisted))
+    return persisted
+
+
+def build_gold(lh, out_root: str, levels=GOLD_LEVELS, parallelism: int = 4) -> dict[str, str]:
+    """Write the gold tables below ``out_root``; returns model -> path.
+
+    Models of one dependency level are independent and written as concurrent Spark jobs; the
+    next level then reads the written tables.
+    """
     spark = lh.spark
-    persisted = []
-    for name in SHARED_SILVER:
-        persisted.append(lh.model(name).persist(StorageLevel.MEMORY_AND_DISK))
-    paths = {}
-    try:
-        for name in models:
-            df = quality.conform(lh.model(name), GOLD_CONTRACTS[name])
+    paths: dict[str, str] = {}
+    for level in levels:
+        # plans are built on the calling thread (the memo is not shared across threads)
+        plans = {name: quality.conform(lh.model(name), GOLD_CONTRACTS[name]) for name in level}
+
+        def write(name: str) -> str:
             path = f"{out_root}/{name}"
-            write_table(df, path)
-            paths[name] = path
+            write_table(plans[name], path)
+            return path
+
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            for name, path in zip(level, pool.map(write, level)):
+                paths[name] = path
+        for name in level:
             # downstream models read the written table from now on
-            lh._memo[name] = spark.read.schema(GOLD_CONTRACTS[name]).parquet(path)
-    finally:
-        for df in persisted:
-            df.unpersist()
+            lh._memo[name] = spark.read.schema(GOLD_CONTRACTS[name]).parquet(paths[name])
     return paths
 
 
@@ -116,7 +136,7 @@ def gold_checks(lh) -> dict[str, DataFrame]:
     return out
 
 
-def run_checks(lh, parallelism: int = 4) -> dict[str, int]:
+def run_checks(lh, parallelism: int = 8) -> dict[str, int]:
     """Violation count per check; jobs run concurrently (each is a small aggregation)."""
     named = gold_checks(lh)
 
@@ -129,6 +149,13 @@ def run_checks(lh, parallelism: int = 4) -> dict[str, int]:
 
 
 def run_daily(lh, out_root: str) -> dict:
-    """Build gold, then check it. Returns the table paths and the check results."""
-    paths = build_gold(lh, out_root)
-    return {"tables": paths, "checks": run_checks(lh)}
+    """Build gold, then check it, with the shared silver models cached for both. Returns the
+    table paths and the check results."""
+    persisted = persist_shared(lh)
+    try:
+        paths = build_gold(lh, out_root)
+        results = run_checks(lh)
+    finally:
+        for df in persisted:
+            df.unpersist()
+    return {"tables": paths, "checks": results}

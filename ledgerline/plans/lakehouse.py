@@ -31,7 +31,7 @@ class Lakehouse:
     # -- sources -------------------------------------------------------------------------------
     @classmethod
     def from_fixtures(cls, spark: SparkSession, sf_dir: str, materialize: bool = True,
-                      **kw) -> Lakehouse:
+                      rebuild: bool = False, **kw) -> Lakehouse:
         """Bronze tables derived from the TESTDATA parquet files (``bz_*`` fixtures).
 
         ``materialize`` (default) writes them once per input folder below the shared folder,
@@ -42,7 +42,7 @@ class Lakehouse:
         if not materialize:
             memo: dict[str, DataFrame] = {}
             return cls(spark, lambda t: fixtures.fixture(spark, sf_dir, f"bz_{t}", memo), **kw)
-        paths = fixtures.materialize_bronze(spark, sf_dir, list(TABLES))
+        paths = fixtures.materialize_bronze(spark, sf_dir, list(TABLES), rebuild=rebuild)
         return cls(spark, lambda t: spark.read.schema(bronze_schema(TABLES[t])).parquet(paths[t]),
                    **kw)
 

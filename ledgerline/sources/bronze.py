@@ -59,6 +59,11 @@ def fs_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def fs_delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def fs_rename_if_absent(spark: SparkSession, src: str, dst: str) -> bool:
     """Move ``src`` to ``dst`` unless ``dst`` exists (another run published it first)."""
     fs, s = _fs(spark, src)

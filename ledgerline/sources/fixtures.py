@@ -214,6 +214,8 @@ ENGINE_TYPES = {
 }
 
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
+# derivations read by several bronze tables: computed once per bronze build
+SHARED_DERIVATIONS = ("fx_vbap", "fx_vbak", "fx_vbrp")
 
 
 def dependencies(name: str) -> list[str]:
@@ -260,24 +262,46 @@ def _fingerprint(sf_dir: str) -> str:
     return h.hexdigest()[:16]
 
 
-def materialize_bronze(spark: SparkSession, sf_dir: str, tables) -> dict[str, str]:
+def materialize_bronze(spark: SparkSession, sf_dir: str, tables, rebuild: bool = False,
+                       parallelism: int = 4) -> dict[str, str]:
     """Write the ``bz_*`` event tables derived from ``sf_dir`` once (the extraction step of the
     demo lakehouse) below the shared folder and return their paths.
 
-    Each table is written to a staging path and published with one rename, so a crash never
-    leaves a half-written table that a later run would trust.
+    Derivations that feed several tables (order items and headers) are persisted for the build
+    (memory and disk), and the independent table writes run as concurrent Spark jobs. Each
+    table is written to a staging path and published with one rename, so a crash never leaves
+    a half-written table that a later run would trust.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import StorageLevel
+
     from ledgerline.session import checkpoint_root
-    from ledgerline.sources.bronze import fs_rename_if_absent
+    from ledgerline.sources.bronze import fs_delete, fs_rename_if_absent
     root = f"{checkpoint_root(spark)}/ledgerline-bronze-{_fingerprint(sf_dir)}"
-    paths, memo = {}, {}
-    for t in tables:
-        path = f"{root}/{t}"
-        paths[t] = path
-        if not os.path.exists(f"{path}/_SUCCESS") and not _remote_exists(spark, path):
-            staging = f"{root}/_staging-{t}-{uuid.uuid4().hex[:8]}"
-            fixture(spark, sf_dir, f"bz_{t}", memo).write.parquet(staging)
-            fs_rename_if_absent(spark, staging, path)
+    paths = {t: f"{root}/{t}" for t in tables}
+    todo = [t for t in tables
+            if rebuild or not (os.path.exists(f"{paths[t]}/_SUCCESS") or _remote_exists(spark, paths[t]))]
+    if not todo:
+        return paths
+    memo: dict[str, DataFrame] = {}
+    shared = [fixture(spark, sf_dir, n, memo).persist(StorageLevel.MEMORY_AND_DISK)
+              for n in SHARED_DERIVATIONS]
+    plans = {t: fixture(spark, sf_dir, f"bz_{t}", memo) for t in todo}
+
+    def write(t: str) -> None:
+        staging = f"{root}/_staging-{t}-{uuid.uuid4().hex[:8]}"
+        plans[t].write.parquet(staging)
+        if rebuild:
+            fs_delete(spark, paths[t])
+        fs_rename_if_absent(spark, staging, paths[t])
+
+    try:
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            list(pool.map(write, todo))
+    finally:
+        for df in shared:
+            df.unpersist()
     return paths
 
 
