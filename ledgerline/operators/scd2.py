@@ -13,8 +13,9 @@ Scale: a plain ``lag``/``lead`` over ``partitionBy(key)`` puts all events of a k
 so one hot key (a third of the log) would be a single straggler. Here every window runs over
 ``(key, _seq div bucket_width)``: a group never holds more than ``bucket_width`` sequence
 numbers. The neighbour across a bucket boundary comes from a per-bucket summary (one row per
-key and bucket) windowed by key, joined back on (key, bucket). One exchange on (key, bucket)
-serves the de-duplication and both row-level windows.
+key and bucket, read off the window output by a filter) windowed by key and joined back on
+(key, bucket). One exchange on (key, bucket) serves the de-duplication and both row-level
+windows; the summaries are one row per bucket.
 """
 
 from __future__ import annotations
@@ -51,22 +52,26 @@ def scd2_versions(events: DataFrame, key: str, tracked: Sequence[str],
     ev = ev.withColumn("__h", change_hash(op_col, tracked))
 
     wb = Window.partitionBy("__k", "__b").orderBy("_seq")
-    ev = (ev.withColumn("__prev_h", F.lag("__h").over(wb))
-            .withColumn("__first", F.row_number().over(wb) == 1))
-
-    # last hash of each bucket, handed to the first event of the key's next bucket
-    last_h = ev.groupBy("__k", "__b").agg(F.max_by("__h", "_seq").alias("__last_h"))
     wk = Window.partitionBy("__k").orderBy("__b")
-    carry_h = last_h.select("__k", "__b", F.lag("__last_h").over(wk).alias("__carry_h"))
-    ev = ev.join(carry_h, ["__k", "__b"], "left")
+    ev = (ev.withColumn("__prev_h", F.lag("__h").over(wb))
+            .withColumn("__first", F.row_number().over(wb) == 1)
+            .withColumn("__last", F.lead("_seq").over(wb).isNull()))
+
+    # the last hash of each bucket (one row per key and bucket, taken from the window output),
+    # handed to the first event of the key's next bucket
+    carry_h = (ev.filter("__last").select("__k", "__b", F.col("__h").alias("__last_h"))
+                 .select("__k", "__b", F.lag("__last_h").over(wk).alias("__carry_h")))
+    ev = ev.drop("__last").join(carry_h, ["__k", "__b"], "left")
     prev_h = F.when(F.col("__first"), F.col("__carry_h")).otherwise(F.col("__prev_h"))
     versions = ev.filter(~F.col("__h").eqNullSafe(prev_h)).drop("__prev_h", "__first", "__carry_h")
 
-    # next version's change time: inside the bucket by lead, across buckets from a summary
+    # next version's change time: inside the bucket by lead, across buckets from the first
+    # version of the key's next non-empty bucket
     versions = (versions.withColumn("__next_t", F.lead(time_col).over(wb))
-                        .withColumn("__last", F.lead("_seq").over(wb).isNull()))
-    first_t = versions.groupBy("__k", "__b").agg(F.min_by(time_col, "_seq").alias("__first_t"))
-    carry_t = first_t.select("__k", "__b", F.lead("__first_t").over(wk).alias("__carry_t"))
+                        .withColumn("__last", F.lead("_seq").over(wb).isNull())
+                        .withColumn("__vfirst", F.row_number().over(wb) == 1))
+    carry_t = (versions.filter("__vfirst").select("__k", "__b", F.col(time_col).alias("__first_t"))
+                       .select("__k", "__b", F.lead("__first_t").over(wk).alias("__carry_t")))
     versions = versions.join(carry_t, ["__k", "__b"], "left")
     valid_to = F.when(F.col("__last"), F.col("__carry_t")).otherwise(F.col("__next_t"))
     return versions.select(*cols, F.col(time_col).alias("valid_from"), valid_to.alias("valid_to"))

@@ -66,12 +66,13 @@ select '100' as mandt,
   '19940101' as ersda,
   case when p_partkey % 4 = 0 then '19950615' else '00000000' end as laeda
 from {part}""",
+    # one text per language: English for parts not divisible by 5, German by 10, Portuguese by 20
     "fx_makt": """
-select m.mandt, m.matnr, l.spras, concat(l.spras, ' ', p.p_name) as maktx
-from {part} p
-join {fx_mara} m on m.matnr = case when p.p_partkey % 40 = 0 then concat('MAT-', cast(p.p_partkey as string)) else lpad(cast(p.p_partkey + 100000 as string), 18, '0') end
-cross join (select * from (values ('E', 5), ('D', 10), ('P', 20)) t(spras, gap)) l
-where p.p_partkey % l.gap <> 0""",
+select m.mandt, m.matnr, t.spras, concat(t.spras, ' ', t.p_name) as maktx
+from (select p_partkey, p_name, 'E' as spras from {part} where p_partkey % 5 <> 0
+      union all select p_partkey, p_name, 'D' from {part} where p_partkey % 10 <> 0
+      union all select p_partkey, p_name, 'P' from {part} where p_partkey % 20 <> 0) t
+join {fx_mara} m on m.matnr = case when t.p_partkey % 40 = 0 then concat('MAT-', cast(t.p_partkey as string)) else lpad(cast(t.p_partkey + 100000 as string), 18, '0') end""",
     "fx_vbak": """
 select '100' as mandt,
   lpad(cast(o_orderkey + 10000000 as string), 10, '0') as vbeln,
