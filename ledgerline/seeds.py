@@ -71,9 +71,29 @@ SEED_ROWS: dict[str, list[tuple]] = {
 CURRENCY_DECIMALS: dict[str, int] = {"JPY": 0, "KWD": 3}
 
 
+def _literal(value, dtype: T.DataType) -> str:
+    if value is None:
+        return f"CAST(NULL AS {dtype.simpleString()})"
+    if isinstance(dtype, T.BooleanType):
+        return "TRUE" if value else "FALSE"
+    if isinstance(dtype, T.DecimalType):
+        return f"CAST('{value}' AS {dtype.simpleString()})"
+    return "'" + str(value).replace("'", "''") + "'"
+
+
 def seed(spark: SparkSession, name: str) -> DataFrame:
-    """A seed as a broadcast-hinted DataFrame (fixed size, so the hint is always safe)."""
-    return F.broadcast(spark.createDataFrame(SEED_ROWS[name], SEED_SCHEMAS[name]))
+    """A seed as a broadcast-hinted DataFrame (fixed size, so the hint is always safe).
+
+    Built as an inline ``VALUES`` relation: a local relation with exact statistics that is
+    broadcast without running a Spark job (a DataFrame created from a Python list would be an
+    RDD scan that needs one collect job per broadcast).
+    """
+    schema = SEED_SCHEMAS[name]
+    rows = ", ".join(
+        "(" + ", ".join(_literal(v, f.dataType) for v, f in zip(row, schema.fields)) + ")"
+        for row in SEED_ROWS[name])
+    cols = ", ".join(f.name for f in schema.fields)
+    return F.broadcast(spark.sql(f"SELECT * FROM VALUES {rows} AS t({cols})"))
 
 
 def read_seed_csv(spark: SparkSession, name: str, path: str) -> DataFrame:
