@@ -77,8 +77,16 @@ def initial_events(source: DataFrame, spec: TableSpec, high: int) -> DataFrame:
 
 
 def delta_events(netted: DataFrame, source: DataFrame, spec: TableSpec,
-                 max_broadcast_keys: int = MAX_BROADCAST_KEYS) -> DataFrame:
-    """Classify netted keys against the current images (see module doc)."""
+                 max_broadcast_keys: int = MAX_BROADCAST_KEYS,
+                 live_keys: DataFrame | None = None) -> DataFrame:
+    """Classify netted keys against the current images (see module doc).
+
+    ``live_keys`` (optional safe mode): the key columns of the keys that are live in bronze
+    (e.g. ``current_state(bronze, keys).select(*keys)``). A key whose window starts with an
+    insert but whose row is missing is then sent as a delete when bronze still holds it as
+    live; that happens when an earlier run overlapped the window (the row was read after the
+    high mark). Without it the reference semantics apply: such a key is not sent.
+    """
     decoded = tabkey_decode("tabkey", spec.keys)
     keyed = netted.select(*[decoded[k].alias(f"__k_{k}") for k in spec.keys],
                           "first_op", "last_seq", "last_logged_at")
@@ -94,8 +102,17 @@ def delta_events(netted: DataFrame, source: DataFrame, spec: TableSpec,
     images = images.withColumn("__present", F.lit(True))
     joined = keyed.join(images, on, "left")
     present, first = F.col("__present"), F.col("first_op")
+    gone = first != "I"
+    if live_keys is not None:
+        live = live_keys.select(*[F.col(k).alias(f"__l_{k}") for k in spec.keys])
+        lon = [F.col(f"__l_{k}") == F.col(f"__k_{k}") for k in spec.keys]
+        live = live.join(keys_side, lon, "left_semi") if broadcast else live
+        live = live.withColumn("__live", F.lit(True)).dropDuplicates([f"__l_{k}" for k in spec.keys])
+        joined = joined.join(live, [F.col(f"__l_{k}") == F.col(f"__k_{k}") for k in spec.keys],
+                             "left")
+        gone = gone | F.coalesce(F.col("__live"), F.lit(False))
     op = (F.when(present, F.when(first == "I", "I").otherwise("U"))
-           .when(first != "I", "D"))
+           .when(gone, "D"))
     key_cols = {k: F.coalesce(F.col(k), F.col(f"__k_{k}")).alias(k) for k in spec.keys}
     out = [key_cols[f] if f in key_cols else F.col(f) for f in spec.fields]
     return (joined.withColumn("_op", op).filter(F.col("_op").isNotNull())

@@ -433,3 +433,20 @@ def q_stream_delta_events(spark, sf_dir):
         raise q.exception()
     b = bronze.read_bronze(spark, f"{base}/bronze", "kna1")
     return b.select(*KNA1.fields, "_op", "_seq", "_changed_at", "_load_type")
+
+
+@register("stream_append_events")
+def q_stream_append_events(spark, sf_dir):
+    """The change log lands as files and is appended to a Parquet sink by a file stream with a
+    checkpoint; a second run over the same files appends nothing."""
+    from ledgerline.schemas import CHANGE_LOG_SCHEMA
+    from ledgerline.session import shared_dir
+    from ledgerline.streaming.cdc_stream import start_append
+    base = shared_dir(spark, "stream-append")
+    _fx(spark, sf_dir, "fx_delta_log").write.parquet(f"{base}/in/part=0")
+    for _ in range(2):
+        q = start_append(spark, f"{base}/in", CHANGE_LOG_SCHEMA, f"{base}/out", f"{base}/ckpt")
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+    return spark.read.schema(CHANGE_LOG_SCHEMA).parquet(f"{base}/out")

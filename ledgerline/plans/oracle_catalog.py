@@ -183,3 +183,5 @@ where billing_type = 'F2' and billing_date >= (select d from billing_day) - 30""
 
 ORACLE_SQL["stream_delta_events"] = sql(
     f"select {KNA1_FIELDS}, _op, _seq, _changed_at, 'DELTA' as _load_type from kna1_delta_live")
+
+ORACLE_SQL["stream_append_events"] = sql("select seq, tabname, tabkey, op, logged_at from fx_delta_log")

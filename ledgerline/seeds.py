@@ -99,7 +99,7 @@ def seed(spark: SparkSession, name: str) -> DataFrame:
 def read_seed_csv(spark: SparkSession, name: str, path: str) -> DataFrame:
     """Load a seed from CSV with its declared schema; ``01`` stays a string, blanks stay ''."""
     return (spark.read.schema(SEED_SCHEMAS[name])
-            .option("header", True).option("emptyValue", "").option("nullValue", None)
+            .option("header", True).option("emptyValue", "").option("nullValue", "\\N")
             .csv(path))
 
 # Units of each currency per EUR, used to price a EUR list price in a currency.

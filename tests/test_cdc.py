@@ -117,3 +117,16 @@ def test_publish_is_invisible_until_renamed(spark, scratch):
     assert bronze.current_watermark(spark, scratch, "kna1") is None
     assert bronze.read_bronze(spark, scratch, "kna1").count() == 0
     assert spec.name == "kna1"
+
+
+def test_safe_mode_sends_delete_for_live_phantom(spark):
+    """Window I..D for a key that bronze still holds as live (an overlapping earlier run read
+    it): the reference sends nothing, safe mode sends a delete."""
+    log = log_df(spark, [("kna1", key("0000100009"), "I"), ("kna1", key("0000100009"), "D")])
+    source = kna1_df(spark, [("0000100001", "A", "X")])
+    netted = cdc.net_change(cdc.log_window(log, "kna1", 0, 2))
+    assert cdc.delta_events(netted, source, KNA1).count() == 0
+    live = spark.createDataFrame([("100", "0000100009"), ("100", "0000100001")], "mandt string, kunnr string")
+    for bound in (1000, 0):
+        ev = cdc.delta_events(netted, source, KNA1, bound, live_keys=live).collect()
+        assert [(r["kunnr"], r["_op"]) for r in ev] == [("0000100009", "D")]

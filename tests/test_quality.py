@@ -29,3 +29,14 @@ def test_contract(spark):
         quality.conform(ok.withColumnRenamed("sales_org", "org"), contract)
     with pytest.raises(ValueError):
         quality.conform(ok.withColumn("orders_booked", ok["orders_booked"].cast("long")), contract)
+
+
+def test_csv_source_keeps_blanks(spark, scratch):
+    from ledgerline.sources.erp import read_csv
+    path = f"{scratch}/kna1.csv"
+    import os
+    os.makedirs(path, exist_ok=True)
+    with open(f"{path}/part.csv", "w") as f:
+        f.write("mandt,kunnr,name1,land1,ort01,ktokd,erdat,loevm\n100,0000100001,A,PT,,0001,20260101,\n")
+    row = read_csv(spark, "kna1", path).first()
+    assert row["ort01"] == "" and row["loevm"] == "" and row["ktokd"] == "0001"
