@@ -81,7 +81,7 @@ def build_gold(lh, out_root: str, levels=GOLD_LEVELS, parallelism: int = 4) -> d
                 paths[name] = path
         for name in level:
             # downstream models read the written table from now on
-            lh._memo[name] = spark.read.schema(GOLD_CONTRACTS[name]).parquet(paths[name])
+            lh.use_table(name, spark.read.schema(GOLD_CONTRACTS[name]).parquet(paths[name]))
     return paths
 
 

@@ -64,6 +64,10 @@ class Lakehouse:
             self._memo[key] = seeds.seed(self.spark, name)
         return self._memo[key]
 
+    def use_table(self, name: str, df: DataFrame) -> None:
+        """From now on, ``model(name)`` is this DataFrame (e.g. the written gold table)."""
+        self._memo[name] = df
+
     def model(self, name: str) -> DataFrame:
         if name not in self._memo:
             from ledgerline.plans import gold, silver

@@ -142,10 +142,12 @@ def read_bronze(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 
 def batch_history(bronze: DataFrame) -> DataFrame:
-    """Per load: batch id, load type, rows, landing time, watermark (from the partition)."""
+    """Per load: batch id, load type, rows, landing time and day (UTC, from the partition),
+    watermark (from the partition)."""
     return (bronze.groupBy("_batch_id", "_load_type")
                   .agg(F.count(F.lit(1)).alias("rows_added"),
                        F.min("_extracted_at").alias("extracted_at"),
+                       F.min("_extracted_day").alias("extracted_day"),
                        F.max("_watermark").alias("watermark"))
                   .withColumnRenamed("_batch_id", "batch_id")
                   .withColumnRenamed("_load_type", "load_type"))
