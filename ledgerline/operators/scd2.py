@@ -14,8 +14,9 @@ so one hot key (a third of the log) would be a single straggler. Here every wind
 ``(key, _seq div bucket_width)``: a group never holds more than ``bucket_width`` sequence
 numbers. The neighbour across a bucket boundary comes from a per-bucket summary (one row per
 key and bucket, read off the window output by a filter) windowed by key and joined back on
-(key, bucket). One exchange on (key, bucket) serves the de-duplication and both row-level
-windows; the summaries are one row per bucket.
+(key, bucket). Duplicate events collapse map-side (partial aggregation) before any shuffle;
+one exchange on (key, bucket) then serves both row-level windows; the summaries are one row
+per bucket.
 """
 
 from __future__ import annotations
@@ -46,10 +47,11 @@ def scd2_versions(events: DataFrame, key: str, tracked: Sequence[str],
     ``events`` needs ``key``, ``tracked``, ``op_col``, ``_seq`` and ``time_col``.
     """
     cols = [key, *tracked, op_col, "_seq", time_col]
-    ev = _bucketed(events.select(*cols), key, bucket_width)
-    # one exchange on (key, bucket) serves the dedupe and both windows below
-    ev = ev.repartition("__k", "__b").dropDuplicates(["__k", "__b", *cols])
-    ev = ev.withColumn("__h", change_hash(op_col, tracked))
+    # de-duplicate first: the partial aggregation collapses copies of an event (a re-delivered
+    # batch, however often) map-side, before anything is shuffled
+    ev = _bucketed(events.select(*cols).dropDuplicates(), key, bucket_width)
+    # one exchange on (key, bucket) serves both row-level windows below
+    ev = ev.repartition("__k", "__b").withColumn("__h", change_hash(op_col, tracked))
 
     wb = Window.partitionBy("__k", "__b").orderBy("_seq")
     wk = Window.partitionBy("__k").orderBy("__b")
