@@ -53,7 +53,6 @@ from ledgerline.functions import formats  # noqa: E402
 from ledgerline.operators import cdc, quality, setops, state  # noqa: E402
 from ledgerline.plans import checks, worklists  # noqa: E402
 from ledgerline.schemas import TABLES  # noqa: E402
-from ledgerline.seeds import CURRENCY_PER_EUR  # noqa: E402
 from ledgerline.sources import bronze  # noqa: E402
 from ledgerline.sources.fixtures import INIT_BATCH, fixture  # noqa: E402
 
@@ -293,12 +292,11 @@ def q_fn_amount_roundtrip(spark, sf_dir):
 def q_fn_price_in(spark, sf_dir):
     """Each order's total as a EUR price converted into its document currency."""
     lh = lakehouse(spark, sf_dir)
-    rates = F.broadcast(spark.createDataFrame(
-        list(CURRENCY_PER_EUR.items()), "currency string, units_per_eur decimal(18,6)"))
-    dec = lh.model("stg_currency_decimals")
+    rates = lh.seed("currency_per_eur")                     # fixed rows: broadcast
+    dec = lh.model("stg_currency_decimals")                 # one row per currency: size-checked
     o = _fx(spark, sf_dir, "fx_vbak").select("vbeln", "waerk", "netwr")
     j = (o.join(rates, F.col("waerk") == F.col("currency"), "left")
-          .join(F.broadcast(dec), F.col("waerk") == F.col("currency_code"), "left"))
+          .join(dec, F.col("waerk") == F.col("currency_code"), "left"))
     price = formats.number("netwr")
     return j.select("vbeln", "waerk", price.alias("eur_price"),
                     formats.price_in(price, "units_per_eur", "currency_decimals").alias("price"))

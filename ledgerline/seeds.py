@@ -27,6 +27,7 @@ SEED_SCHEMAS: dict[str, T.StructType] = {
         "language_key string, language_iso string, language_name string"),
     "sap_sales_orgs": _schema("sales_org string, sales_org_name string"),
     "fx_rates_to_eur": _schema("currency_code string, eur_per_unit decimal(18,6)"),
+    "currency_per_eur": _schema("currency string, units_per_eur decimal(18,6)"),
 }
 
 # The code tables' rows, as published with the source system's reference data.
@@ -110,3 +111,5 @@ CURRENCY_PER_EUR: dict[str, Decimal] = {
     "JPY": Decimal("160"),
     "KWD": Decimal("0.34"),
 }
+
+SEED_ROWS["currency_per_eur"] = list(CURRENCY_PER_EUR.items())
