@@ -7,13 +7,21 @@ value is a fixture literal); everything else is the model as built.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ledgerline.functions import formats
+from ledgerline.operators import cdc, quality, setops, state
+from ledgerline.plans import checks, worklists
 from ledgerline.plans.gold import GOLD_MODELS
 from ledgerline.plans.lakehouse import Lakehouse
 from ledgerline.plans.silver import SILVER_MODELS
+from ledgerline.schemas import TABLES
+from ledgerline.sources import bronze
+from ledgerline.sources.fixtures import INIT_BATCH, fixture
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,16 +53,6 @@ for _name in SILVER_MODELS + GOLD_MODELS + (
 
 
 # ---- helpers --------------------------------------------------------------------------------
-import datetime as dt  # noqa: E402
-
-from pyspark.sql import functions as F  # noqa: E402
-
-from ledgerline.functions import formats  # noqa: E402
-from ledgerline.operators import cdc, quality, setops, state  # noqa: E402
-from ledgerline.plans import checks, worklists  # noqa: E402
-from ledgerline.schemas import TABLES  # noqa: E402
-from ledgerline.sources import bronze  # noqa: E402
-from ledgerline.sources.fixtures import INIT_BATCH, fixture  # noqa: E402
 
 KNA1 = TABLES["kna1"]
 # Fixed values of the extraction scenario (deterministic batch ids and landing times).
