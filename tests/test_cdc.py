@@ -130,3 +130,12 @@ def test_safe_mode_sends_delete_for_live_phantom(spark):
     for bound in (1000, 0):
         ev = cdc.delta_events(netted, source, KNA1, bound, live_keys=live).collect()
         assert [(r["kunnr"], r["_op"]) for r in ev] == [("0000100009", "D")]
+
+
+def test_extract_all_concurrent(spark, scratch):
+    log = log_df(spark, [("kna1", key("0000100001"), "I"), ("tcurx", "JPY  ", "I")])
+    sources = {"kna1": kna1_df(spark, [("0000100001", "A", "X")]),
+               "tcurx": spark.createDataFrame([("JPY", "0")], TABLES["tcurx"].source_schema)}
+    runs = bronze.extract_all(spark, log, sources, scratch, parallelism=2)
+    assert [(r["table"], r["load_type"], r["inserts"]) for r in runs] == [("tcurx", "INIT", 1), ("kna1", "INIT", 1)]
+    assert len({r["batch_id"] for r in runs}) == 1
