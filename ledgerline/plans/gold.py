@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators.scd2 import scd2_history, scd2_versions
 
 EUR = "decimal(18,2)"
+SUM_EUR = "decimal(38,2)"   # sums of EUR amounts before the contract cast
 QTY = "decimal(18,3)"
 
 
@@ -202,15 +203,15 @@ def agg_bookings(lh) -> DataFrame:
     f = lh.model("fct_sales_order_items")
     return f.groupBy(F.col("order_date").alias("sales_date"), "sales_org").agg(
         F.count_distinct("order_id").alias("orders_booked"),
-        F.sum(F.when(~F.col("is_rejected"), F.col("net_value_eur"))).alias("booked_eur"))
+        F.sum(F.when(~F.col("is_rejected"), F.col("net_value_eur"))).cast(SUM_EUR).alias("booked_eur"))
 
 
 def agg_billing(lh) -> DataFrame:
     f = lh.model("fct_billing_items")
     credit = F.col("is_credit_memo")
     return f.groupBy(F.col("billing_date").alias("sales_date"), "sales_org").agg(
-        F.sum(F.when(~credit, F.col("net_value_eur"))).alias("invoiced_eur"),
-        F.sum(F.when(credit, F.col("net_value_eur"))).alias("credited_eur"))
+        F.sum(F.when(~credit, F.col("net_value_eur"))).cast(SUM_EUR).alias("invoiced_eur"),
+        F.sum(F.when(credit, F.col("net_value_eur"))).cast(SUM_EUR).alias("credited_eur"))
 
 
 def agg_daily_sales(lh) -> DataFrame:

@@ -83,12 +83,28 @@ def _names():
     return sorted(e.queries())
 
 
+_DUCK_TYPES = {"StringType()": "VARCHAR", "LongType()": "BIGINT", "IntegerType()": "INTEGER",
+               "BooleanType()": "BOOLEAN", "DateType()": "DATE", "TimestampNTZType()": "TIMESTAMP",
+               "TimestampType()": "TIMESTAMP WITH TIME ZONE", "DoubleType()": "DOUBLE"}
+
+
+def _duck_type(t) -> str:
+    s = repr(t)
+    if s.startswith("DecimalType"):
+        return "DECIMAL" + s[len("DecimalType"):].replace(" ", "")
+    return _DUCK_TYPES.get(s, s)
+
+
 @pytest.mark.skipif(os.environ.get("LEDGERLINE_SKIP_ORACLE") == "1", reason="oracle run skipped")
 @pytest.mark.parametrize("name", _names())
 def test_query_matches_oracle(spark, duck, name):
+    """Same column names, same column types and the same multiset of rows as the oracle."""
     import __spark_entry__ as e
     sdf = e.queries()[name](spark, SF0001)
+    rel = duck.sql(e.oracle_sql()[name])
+    assert {f.name: _duck_type(f.dataType) for f in sdf.schema.fields} == \
+        {c: str(t).replace(" ", "").replace("TIMESTAMPWITHTIMEZONE", "TIMESTAMP WITH TIME ZONE")
+         for c, t in zip(rel.columns, rel.types)}
     res = duck.execute(e.oracle_sql()[name])
     d_cols = [c[0] for c in res.description]
-    assert sorted(sdf.columns) == sorted(d_cols)
     assert _rows(sdf.columns, [tuple(r) for r in sdf.collect()]) == _rows(d_cols, res.fetchall())
