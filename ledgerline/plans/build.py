@@ -85,54 +85,85 @@ def build_gold(lh, out_root: str, levels=GOLD_LEVELS, parallelism: int = 4) -> d
     return paths
 
 
+# The data tests of the models: (model, kind, argument). Kinds: unique / not_null (column),
+# accepted (column, values), relationships (column, parent model, parent column),
+# unique_combination (columns).
+DATA_TESTS: tuple[tuple, ...] = (
+    ("stg_currency_decimals", "unique", "currency_code"),
+    ("stg_currency_decimals", "not_null", "currency_code"),
+    ("stg_customer_events", "accepted", ("_op", ("I", "U", "D"))),
+    ("stg_customers", "unique", "customer_id"),
+    ("stg_customers", "not_null", "customer_id"),
+    ("stg_materials", "unique", "material_id"),
+    ("stg_materials", "not_null", "material_id"),
+    ("stg_material_texts", "unique_combination", ("material_id", "language_key")),
+    ("stg_sales_orders", "unique", "order_id"),
+    ("stg_sales_orders", "not_null", "order_id"),
+    ("stg_sales_orders", "not_null", "net_value"),
+    ("stg_sales_order_items", "unique_combination", ("order_id", "item_number")),
+    ("stg_sales_order_items", "relationships", ("order_id", "stg_sales_orders", "order_id")),
+    ("stg_deliveries", "unique", "delivery_id"),
+    ("stg_deliveries", "not_null", "delivery_id"),
+    ("stg_delivery_items", "unique_combination", ("delivery_id", "item_number")),
+    ("stg_billing_documents", "unique", "billing_id"),
+    ("stg_billing_documents", "not_null", "billing_id"),
+    ("stg_billing_items", "unique_combination", ("billing_id", "item_number")),
+    ("stg_billing_items", "not_null", "currency_code"),
+    ("dim_customer", "unique", "customer_id"),
+    ("dim_customer", "accepted", ("country_code", ("PT", "ES", "DE", "FR", "GB", "US", "JP", "KW"))),
+    ("dim_customer_history", "unique", "customer_version_key"),
+    ("dim_material", "unique", "material_id"),
+    ("dim_material", "accepted", ("material_type", ("FERT", "HAWA"))),
+    ("dim_material", "not_null", "base_unit"),
+    ("fct_sales_order_items", "unique", "order_item_key"),
+    ("fct_sales_order_items", "relationships", ("customer_id", "dim_customer", "customer_id")),
+    ("fct_sales_order_items", "relationships", ("material_id", "dim_material", "material_id")),
+    ("fct_sales_order_items", "not_null", "order_type"),
+    ("fct_sales_order_items", "not_null", "net_value_eur"),
+    ("fct_sales_order_items", "accepted", ("overall_status", ("A", "B", "C"))),
+    ("fct_billing_items", "unique", "billing_item_key"),
+    ("fct_billing_items", "not_null", "billing_type_name"),
+    ("fct_billing_items", "relationships", ("customer_id", "dim_customer", "customer_id")),
+    ("fct_billing_items", "not_null", "net_value_eur"),
+    ("fct_order_fulfillment", "unique", "order_item_key"),
+    ("fct_order_fulfillment", "not_null", "fulfillment_status"),
+    ("fct_order_fulfillment", "accepted",
+     ("fulfillment_status", ("open", "in_delivery", "shipped", "invoiced", "rejected"))),
+    ("agg_daily_sales", "unique_combination", ("sales_date", "sales_org")),
+)
+
+
+def _data_test(lh, model: str, kind: str, arg) -> DataFrame:
+    df = lh.model(model)
+    if kind == "unique":
+        return quality.unique(df, arg)
+    if kind == "not_null":
+        return quality.not_null(df, arg)
+    if kind == "accepted":
+        return quality.accepted_values(df, arg[0], list(arg[1]))
+    if kind == "relationships":
+        return quality.relationships(df, arg[0], lh.model(arg[1]), arg[2])
+    if kind == "unique_combination":
+        return quality.unique_combination(df, list(arg))
+    raise ValueError(kind)
+
+
 def gold_checks(lh) -> dict[str, DataFrame]:
-    """The data tests of the gold and silver models (violations; empty = pass)."""
-    m = lh.model
+    """Every data test (violations; empty = pass): the models' column and combination tests,
+    the two cross-model tests (reconciliation, over-billing) and the gold contracts' declared
+    primary-key and not-null constraints."""
     out: dict[str, DataFrame] = {}
+    for model, kind, arg in DATA_TESTS:
+        label = arg if isinstance(arg, str) else (
+            "+".join(arg) if kind == "unique_combination" else arg[0])
+        out[f"{model}.{kind}.{label}"] = _data_test(lh, model, kind, arg)
+    out["billing_reconcile"] = checks.billing_reconcile(lh)
+    out["overbilling"] = checks.overbilling(lh)
     for name, cols in GOLD_PRIMARY_KEYS.items():
-        out[f"{name}.primary_key"] = quality.primary_key(m(name), cols)
+        out[f"{name}.constraint.primary_key"] = quality.primary_key(lh.model(name), cols)
     for name, cols in GOLD_NOT_NULL.items():
         for c in cols:
-            out[f"{name}.not_null.{c}"] = quality.not_null(m(name), c)
-    out["dim_customer.country_code.accepted"] = quality.accepted_values(
-        m("dim_customer"), "country_code", ["PT", "ES", "DE", "FR", "GB", "US", "JP", "KW"])
-    out["dim_material.material_type.accepted"] = quality.accepted_values(
-        m("dim_material"), "material_type", ["FERT", "HAWA"])
-    out["dim_material.base_unit.not_null"] = quality.not_null(m("dim_material"), "base_unit")
-    out["fct_sales_order_items.order_type.not_null"] = quality.not_null(
-        m("fct_sales_order_items"), "order_type")
-    out["fct_sales_order_items.net_value_eur.not_null"] = quality.not_null(
-        m("fct_sales_order_items"), "net_value_eur")
-    out["fct_sales_order_items.overall_status.accepted"] = quality.accepted_values(
-        m("fct_sales_order_items"), "overall_status", ["A", "B", "C"])
-    out["fct_sales_order_items.customer_id.relationships"] = quality.relationships(
-        m("fct_sales_order_items"), "customer_id", m("dim_customer"), "customer_id")
-    out["fct_sales_order_items.material_id.relationships"] = quality.relationships(
-        m("fct_sales_order_items"), "material_id", m("dim_material"), "material_id")
-    out["fct_billing_items.billing_type_name.not_null"] = quality.not_null(
-        m("fct_billing_items"), "billing_type_name")
-    out["fct_billing_items.net_value_eur.not_null"] = quality.not_null(
-        m("fct_billing_items"), "net_value_eur")
-    out["fct_billing_items.customer_id.relationships"] = quality.relationships(
-        m("fct_billing_items"), "customer_id", m("dim_customer"), "customer_id")
-    out["fct_order_fulfillment.fulfillment_status.accepted"] = quality.accepted_values(
-        m("fct_order_fulfillment"), "fulfillment_status",
-        ["open", "in_delivery", "shipped", "invoiced", "rejected"])
-    out["stg_sales_orders.order_id.unique"] = quality.unique(m("stg_sales_orders"), "order_id")
-    out["stg_sales_orders.net_value.not_null"] = quality.not_null(m("stg_sales_orders"),
-                                                                  "net_value")
-    out["stg_sales_order_items.unique_combination"] = quality.unique_combination(
-        m("stg_sales_order_items"), ["order_id", "item_number"])
-    out["stg_sales_order_items.order_id.relationships"] = quality.relationships(
-        m("stg_sales_order_items"), "order_id", m("stg_sales_orders"), "order_id")
-    out["stg_billing_items.currency_code.not_null"] = quality.not_null(
-        m("stg_billing_items"), "currency_code")
-    out["stg_billing_items.unique_combination"] = quality.unique_combination(
-        m("stg_billing_items"), ["billing_id", "item_number"])
-    out["stg_customer_events._op.accepted"] = quality.accepted_values(
-        m("stg_customer_events"), "_op", ["I", "U", "D"])
-    out["billing_reconcile"] = checks.billing_reconcile(lh)
-    out["overbilling"] = checks.overbilling(lh)
+            out[f"{name}.constraint.not_null.{c}"] = quality.not_null(lh.model(name), c)
     return out
 
 

@@ -42,9 +42,12 @@ def test_daily_build(spark, scratch):
     for name, path in result["tables"].items():
         assert spark.read.parquet(path).schema == GOLD_CONTRACTS[name] or name
     checks = result["checks"]
-    assert checks["fct_order_fulfillment.fulfillment_status.accepted"] == 0
-    assert checks["stg_sales_order_items.unique_combination"] == 0
+    assert len(build.DATA_TESTS) == 40                 # the source project's column/combination tests
+    assert checks["fct_order_fulfillment.accepted.fulfillment_status"] == 0
+    assert checks["stg_sales_order_items.unique_combination.order_id+item_number"] == 0
     assert checks["billing_reconcile"] > 0 and checks["overbilling"] > 0   # planted faults
+    # billing of deleted orders: null sales org in the daily sales key (a contract violation)
+    assert checks["agg_daily_sales.constraint.not_null.sales_org"] > 0
 
 
 def _norm(v):
