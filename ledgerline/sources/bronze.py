@@ -115,10 +115,13 @@ def publish_batch(spark: SparkSession, events: DataFrame, root: str, table: str,
     staging = f"{root}/{table}/_staging/{batch_id}"
     spec = TABLES[table]
     cols = [*spec.fields, *[f.name for f in BRONZE_META.fields if f.name != "_batch_id"]]
+    fs, staged = _fs(spark, staging)
+    if fs.exists(staged):
+        # left by an attempt of this batch that failed before publishing: never visible, redo it
+        fs.delete(staged, True)
     (events.select(*cols).sortWithinPartitions("_seq")
            .write.mode("errorifexists").parquet(staging))
     rows = spark.read.parquet(staging).count()  # footer metadata only
-    fs, staged = _fs(spark, staging)
     if rows == 0:
         fs.delete(staged, True)
         return 0

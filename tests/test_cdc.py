@@ -139,3 +139,13 @@ def test_extract_all_concurrent(spark, scratch):
     runs = bronze.extract_all(spark, log, sources, scratch, parallelism=2)
     assert [(r["table"], r["load_type"], r["inserts"]) for r in runs] == [("tcurx", "INIT", 1), ("kna1", "INIT", 1)]
     assert len({r["batch_id"] for r in runs}) == 1
+
+
+def test_rerun_after_crash_before_publish(spark, scratch):
+    """A batch whose attempt died after staging and before the rename is simply redone."""
+    log = log_df(spark, [("kna1", key("0000100001"), "I")])
+    src = kna1_df(spark, [("0000100001", "A", "X")])
+    src.write.parquet(f"{scratch}/kna1/_staging/B1")           # the dead attempt's files
+    r = bronze.extract_table(spark, log, src, scratch, "kna1", batch_id="B1")
+    assert (r["load_type"], r["inserts"]) == ("INIT", 1)
+    assert bronze.read_bronze(spark, scratch, "kna1").count() == 1
