@@ -85,7 +85,7 @@ def delta_events(netted: DataFrame, source: DataFrame, spec: TableSpec,
     (e.g. ``current_state(bronze, keys).select(*keys)``). A key whose window starts with an
     insert but whose row is missing is then sent as a delete when bronze still holds it as
     live; that happens when an earlier run overlapped the window (the row was read after the
-    high mark). Without it the reference semantics apply: such a key is not sent.
+    high mark). Without it the default semantics apply: such a key is not sent.
     """
     decoded = tabkey_decode("tabkey", spec.keys)
     keyed = netted.select(*[decoded[k].alias(f"__k_{k}") for k in spec.keys],

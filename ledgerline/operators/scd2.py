@@ -90,7 +90,7 @@ def scd2_history(events: DataFrame, key: str, tracked: Sequence[str],
         F.col("valid_to").isNull().alias("is_current"))
 
 
-def scd2_changes_reference(events: DataFrame, key: str, tracked: Sequence[str],
+def scd2_changes_single_window(events: DataFrame, key: str, tracked: Sequence[str],
                            op_col: str = "_op") -> DataFrame:
     """Single-window formulation (one group per key): the brute-force check for tests."""
     cols = [key, *tracked, op_col, "_seq", "changed_at"]

@@ -8,7 +8,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from ledgerline.operators.scd2 import scd2_history, scd2_versions, scd2_changes_reference
+from ledgerline.operators.scd2 import scd2_history, scd2_versions, scd2_changes_single_window
 from ledgerline.operators.state import current_state, state_as_of
 from ledgerline.plans.lakehouse import Lakehouse
 from ledgerline.schemas import TABLES, bronze_schema
@@ -101,7 +101,7 @@ def test_bucketed_scd2_equals_single_window(spark):
             rows.append(rows[-1])
     ev = spark.createDataFrame(rows, SCD2_SCHEMA)
     cols = ["customer_id", *TRACKED, "_op", "_seq", "valid_from", "valid_to"]
-    expected = sorted(map(tuple, scd2_changes_reference(ev, "customer_id", TRACKED).select(*cols).collect()),
+    expected = sorted(map(tuple, scd2_changes_single_window(ev, "customer_id", TRACKED).select(*cols).collect()),
                       key=str)
     for width in (1, 5, 64, 1 << 20):
         got = sorted(map(tuple, scd2_versions(ev, "customer_id", TRACKED, bucket_width=width)
