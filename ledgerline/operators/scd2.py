@@ -29,8 +29,13 @@ from pyspark.sql import functions as F
 NULL_KEY = "\u0000<null>"
 
 
-def change_hash(op_col: str, tracked: Sequence[str]):
-    return F.md5(F.concat_ws("|", F.col(op_col), *[F.col(c) for c in tracked]))
+def change_hash(op_col: str, tracked: Sequence[str], strict: bool = False):
+    """md5 of ``op | tracked attributes`` (parity: an update after an insert always differs).
+    ``strict`` hashes only a delete marker instead of the op, so a version opens on a real
+    attribute change or a delete, not on the insert -> update transition alone."""
+    op = F.col(op_col)
+    marker = F.when(op == "D", F.lit("D")).otherwise(F.lit("")) if strict else op
+    return F.md5(F.concat_ws("|", marker, *[F.col(c) for c in tracked]))
 
 
 def _bucketed(events: DataFrame, key: str, bucket_width: int) -> DataFrame:
@@ -41,7 +46,7 @@ def _bucketed(events: DataFrame, key: str, bucket_width: int) -> DataFrame:
 
 def scd2_versions(events: DataFrame, key: str, tracked: Sequence[str],
                   time_col: str = "changed_at", op_col: str = "_op",
-                  bucket_width: int = 1 << 20) -> DataFrame:
+                  bucket_width: int = 1 << 20, strict: bool = False) -> DataFrame:
     """Events that open a version, with ``valid_from``/``valid_to`` (deletes still included).
 
     ``events`` needs ``key``, ``tracked``, ``op_col``, ``_seq`` and ``time_col``.
@@ -51,7 +56,7 @@ def scd2_versions(events: DataFrame, key: str, tracked: Sequence[str],
     # batch, however often) map-side, before anything is shuffled
     ev = _bucketed(events.select(*cols).dropDuplicates(), key, bucket_width)
     # one exchange on (key, bucket) serves both row-level windows below
-    ev = ev.repartition("__k", "__b").withColumn("__h", change_hash(op_col, tracked))
+    ev = ev.repartition("__k", "__b").withColumn("__h", change_hash(op_col, tracked, strict))
 
     wb = Window.partitionBy("__k", "__b").orderBy("_seq")
     wk = Window.partitionBy("__k").orderBy("__b")
@@ -81,9 +86,9 @@ def scd2_versions(events: DataFrame, key: str, tracked: Sequence[str],
 
 def scd2_history(events: DataFrame, key: str, tracked: Sequence[str],
                  time_col: str = "changed_at", op_col: str = "_op",
-                 bucket_width: int = 1 << 20) -> DataFrame:
+                 bucket_width: int = 1 << 20, strict: bool = False) -> DataFrame:
     """One row per version of a key: ``version_key``, key, tracked attributes, validity."""
-    v = scd2_versions(events, key, tracked, time_col, op_col, bucket_width)
+    v = scd2_versions(events, key, tracked, time_col, op_col, bucket_width, strict)
     return v.filter(F.col(op_col) != "D").select(
         F.md5(F.concat(F.col(key), F.lit("|"), F.col("_seq").cast("string"))).alias("version_key"),
         key, *tracked, "valid_from", "valid_to",

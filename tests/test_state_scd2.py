@@ -117,3 +117,16 @@ def test_scd2_window_groups_are_bounded(spark):
     # all buckets of the hot key exist and the result is complete (every change is a version)
     assert plan.count() == 200
     assert ev.select(F.expr("max(_seq div 16)")).first()[0] == 12
+
+
+def test_strict_mode_ignores_insert_to_update_without_change(spark):
+    """Parity: I then an unchanged U opens a second version; strict mode does not."""
+    ev = spark.createDataFrame([
+        ("1", "n", "PT", "Porto", "I", 1, dt.datetime(2026, 1, 1)),
+        ("1", "n", "PT", "Porto", "U", 2, dt.datetime(2026, 1, 2)),
+        ("1", "n", "PT", "Braga", "U", 3, dt.datetime(2026, 1, 3)),
+    ], SCD2_SCHEMA)
+    assert scd2_history(ev, "customer_id", TRACKED).count() == 3
+    strict = scd2_history(ev, "customer_id", TRACKED, strict=True).collect()
+    assert sorted((r["city"], r["valid_to"]) for r in strict) == [
+        ("Braga", None), ("Porto", dt.datetime(2026, 1, 3))]
