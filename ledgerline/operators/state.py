@@ -36,9 +36,17 @@ def current_state(events: DataFrame, keys: Sequence[str], order: Sequence[str] =
 def state_as_of(events: DataFrame, keys: Sequence[str], extracted_before,
                 order: Sequence[str] = DEFAULT_ORDER) -> DataFrame:
     """Time travel on the event log: the state as it was once every batch extracted at or before
-    ``extracted_before`` had landed. The filter prunes bronze day partitions."""
-    return current_state(events.filter(F.col("_extracted_at") <= F.lit(extracted_before)
-                                       .cast("timestamp")), keys, order)
+    ``extracted_before`` had landed.
+
+    On published bronze the implied bound on the UTC landing day (at most one day after the
+    bound's local date, whatever the session time zone) prunes day partitions; it never
+    changes the result.
+    """
+    bound = F.lit(extracted_before).cast("timestamp")
+    cond = F.col("_extracted_at") <= bound
+    if "_extracted_day" in events.columns:
+        cond = cond & (F.col("_extracted_day") <= F.date_add(F.to_date(bound), 1))
+    return current_state(events.filter(cond), keys, order)
 
 
 def replay(events: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> DataFrame:
