@@ -20,6 +20,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -165,14 +166,22 @@ def extract_table(spark: SparkSession, log: DataFrame, source: DataFrame, root:
     high = cdc.high_mark_value(log)            # read before the source is scanned
     batch_id = batch_id or new_batch_id()
     extracted_at = extracted_at or dt.datetime.now(dt.UTC)
+    netted = None
     if watermark is None:
         load_type, events = "INIT", cdc.initial_events(source, spec, high)
     else:
         load_type = "DELTA"
-        netted = cdc.net_change(cdc.log_window(log, table, watermark, high))
+        # the netted keys are read twice (size check, then the image lookup): keep them for the
+        # run instead of scanning the log window twice
+        netted = cdc.net_change(cdc.log_window(log, table, watermark, high)).persist(
+            StorageLevel.MEMORY_AND_DISK)
         events = cdc.delta_events(netted, source, spec)
     stamped = cdc.stamp_batch(events, load_type, batch_id, extracted_at)
-    rows = publish_batch(spark, stamped, root, table, high, batch_id, extracted_at)
+    try:
+        rows = publish_batch(spark, stamped, root, table, high, batch_id, extracted_at)
+    finally:
+        if netted is not None:
+            netted.unpersist()
     if rows == 0:
         return {"table": table, "load_type": "NONE", "inserts": 0, "updates": 0, "deletes": 0,
                 "watermark": watermark, "batch_id": None}

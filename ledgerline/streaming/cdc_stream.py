@@ -20,6 +20,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -48,15 +49,21 @@ def extraction_batch(spark: SparkSession, source: Callable[[], DataFrame], table
         batch_id = f"stream-{epoch_id:08d}"
         if any(b["batch_id"] == batch_id for b in bronze.published_batches(spark, bronze_root, table)):
             return                                            # replayed epoch: already published
-        window = batch.filter(F.col("tabname") == table.upper())
-        high = window.agg(F.max("seq").alias("h")).first()["h"]
-        if high is None:
-            return
-        netted = cdc.net_change(window)
-        events = cdc.delta_events(netted, source(), spec)
-        extracted_at = clock()
-        stamped = cdc.stamp_batch(events, "DELTA", batch_id, extracted_at)
-        bronze.publish_batch(spark, stamped, bronze_root, table, int(high), batch_id, extracted_at)
+        # the micro-batch is read several times (high mark, size check, lookup): read it once
+        window = batch.filter(F.col("tabname") == table.upper()).persist(
+            StorageLevel.MEMORY_AND_DISK)
+        try:
+            high = window.agg(F.max("seq").alias("h")).first()["h"]
+            if high is None:
+                return
+            netted = cdc.net_change(window)
+            events = cdc.delta_events(netted, source(), spec)
+            extracted_at = clock()
+            stamped = cdc.stamp_batch(events, "DELTA", batch_id, extracted_at)
+            bronze.publish_batch(spark, stamped, bronze_root, table, int(high), batch_id,
+                                 extracted_at)
+        finally:
+            window.unpersist()
 
     return run
 
