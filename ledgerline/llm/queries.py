@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sharding, warc
+from . import bpe, packing, sharding, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,6 +15,21 @@ Query = Callable[[SparkSession, str], DataFrame]
 SHARDS, OLD_SHARDS = 16, 12
 
 
+def tokenizer_file(name: str) -> str:
+    """Where the box keeps a public vocabulary; elsewhere pass another path."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), digests_only=True)
+
+
+def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
 def op8_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From 12 shards by key hash to 16 of near equal bytes; text and slots are read from the files written."""
     old = F.pmod(F.xxhash64("doc_id"), F.lit(OLD_SHARDS))
@@ -28,6 +43,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op4_bpe": op4_bpe,
+    "op7_pack": op7_pack,
     "op8_reshard": op8_reshard,
     "op10_warc": op10_warc,
 }
