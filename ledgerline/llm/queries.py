@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, sharding, warc
+from . import bpe, html, knn, packing, sharding, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,10 @@ def tokenizer_file(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), digests_only=True)
 
@@ -38,14 +42,20 @@ def op8_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 
 
+def op9_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn.top_k(knn.integer_vectors(table(spark, sf_dir, "embeddings")), F.col("vec_id") % 50 == 0, 5)
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_round_trip(table(spark, sf_dir, "pages"))
 
 
 QUERIES: dict[str, Query] = {
+    "op2_html": op2_html,
     "op4_bpe": op4_bpe,
     "op7_pack": op7_pack,
     "op8_reshard": op8_reshard,
+    "op9_knn": op9_knn,
     "op10_warc": op10_warc,
 }
 
