@@ -23,9 +23,8 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"  # base32 (RFC 4648), a fixed valu
 URN = "urn:page:"
 
 
-def base32_sha1(payload: Column) -> Column:
-    """Bare upper-case base32 of SHA-1: eight groups of five hex digits, four letters each."""
-    hexes = F.sha1(payload)
+def base32(hexes: Column) -> Column:
+    """Upper-case base32 of 40 hex digits: eight groups of five digits, four letters each."""
 
     def letters(group: Column) -> Column:
         bits = F.conv(F.substring(hexes, group * 5 + 1, F.lit(5)), 16, 10).cast("int")
@@ -50,10 +49,10 @@ def write_archives(pages: DataFrame, folder: str, min_revisit_bytes: int = 0, da
     spark = pages.sparkSession
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
-    rows = rows.withColumn("digest", base32_sha1(F.col("html")))
-    shared = staged(rows.filter(F.octet_length("html") >= min_revisit_bytes).groupBy("digest")
+    rows = rows.withColumn("sha1", F.sha1("html"))  # a column of its own is made once
+    shared = staged(rows.filter(F.octet_length("html") >= min_revisit_bytes).groupBy("sha1")
                     .agg(F.count(F.lit(1)).alias("n"), F.max("page_id").alias("target"))
-                    .filter("n > 1").select("digest", "target"), "warc-shared")
+                    .filter("n > 1").select("sha1", "target"), "warc-shared")
     target = F.col("target")
     revisit = target.isNotNull() & ~target.eqNullSafe(F.col("page_id"))
     clean_url = F.regexp_replace("url", r"[\x00-\x20\x7F]", "")
@@ -65,52 +64,46 @@ def write_archives(pages: DataFrame, folder: str, min_revisit_bytes: int = 0, da
         F.lit("\r\nWARC-Record-ID: <"), name,
         F.lit(f">\r\nWARC-Date: {date}"),
         F.when(F.col("url").isNull(), "").otherwise(F.concat(F.lit("\r\nWARC-Target-URI: "), clean_url)),
-        F.lit("\r\nWARC-Payload-Digest: sha1:"), F.col("digest"),
+        F.lit("\r\nWARC-Payload-Digest: sha1:"), base32(F.col("sha1")),
         F.when(revisit, F.concat(F.lit(f"\r\nWARC-Profile: {PROFILE}\r\nWARC-Refers-To: <{URN}"),
                                  target.cast("string"), F.lit(">"))).otherwise(""),
         F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "),
         F.octet_length("block").cast("string"), F.lit(BLANK), F.col("block"))
-    (rows.join(shared, "digest", "left").withColumn("block", block).select(record.alias("value"))
+    (rows.join(shared, "sha1", "left").withColumn("block", block).select(record.alias("value"))
      .write.option("lineSep", BLANK).option("compression", compression)
      .option("maxRecordsPerFile", records_per_file).text(folder))
 
 
-def _header(column: Column, name: str) -> Column:
-    found = F.regexp_extract(column, rf"(?i)(?:^|\r\n){name}:[ \t]*([^\r\n]*)", 1)
+def _header(name: str, value: str, headers: str = "header") -> Column:
+    found = F.regexp_extract(headers, rf"(?i)(?:^|\r\n){name}:[ \t]*{value}", 1)
     return F.when(found != "", found)
 
 
 def _told(df: DataFrame) -> DataFrame:
-    """What a chunk that begins just after a version line says of itself, in ``value``."""
-    value = F.col("value")
-    header = F.substring_index(value, BLANK, 1)
-    http = F.substring_index(F.substr(value, F.length(header) + 5), BLANK, 1)
-    return df.withColumns({"length_line": _header(header, "Content-Length"),
-                           "http_line": _header(http, "Content-Length")}).withColumns({
-        "head": F.when(F.instr(value, BLANK) > 0, F.octet_length(header) + 4),
-        "body": F.expr("try_cast(trim(length_line) as bigint)"),
-        "record_type": _header(header, "WARC-Type"),
-        "page": F.regexp_extract(header, rf"(?i)\r\nWARC-Record-ID:[ \t]*<{URN}([^>]*)>", 1),
-        "refers": F.regexp_extract(header, rf"(?i)\r\nWARC-Refers-To:[ \t]*<{URN}([^>]*)>", 1),
-        "told": F.regexp_extract(header, r"(?i)\r\nWARC-Payload-Digest:[ \t]*sha1:([A-Z2-7]*)", 1),
-    })
-
-
-def _with_payload(df: DataFrame) -> DataFrame:
-    """From a whole record in ``value`` (after the version line): its payload's size and digest.
+    """What ``value``, a chunk that begins just after a version line, says of itself, and its payload's digest.
 
     A revisit has no payload of its own; size and digest are those its headers keep of the payload
     that it refers to.
     """
-    block = F.substr(F.col("value"), F.length(F.substring_index("value", BLANK, 1)) + 5)
-    http = F.substring_index("block", BLANK, 1)
+    split = df.withColumn("parts", F.split("value", BLANK, 3))
+    payload = F.substr(F.col("parts")[2], F.lit(1), F.length(F.col("parts")[2]) - len(BLANK))
+    split = split.select(
+        *df.columns, F.col("parts")[0].alias("header"), F.get("parts", F.lit(1)).alias("http"),
+        F.when(F.size("parts") > 1, F.octet_length(F.col("parts")[0]) + 4).alias("head"),
+        F.when(F.size("parts") > 2, payload).alias("payload"))
+    told = split.withColumns({
+        "body": _header("Content-Length", r"(\d{1,18})").cast("long"),
+        "record_type": _header("WARC-Type", r"([^\r\n]*)"),
+        "page": _header("WARC-Record-ID", rf"<{URN}([^>]*)>"),
+        "refers": _header("WARC-Refers-To", rf"<{URN}([^>]*)>"),
+        "digest": _header("WARC-Payload-Digest", r"sha1:([A-Z2-7]*)"),
+        "http_bytes": _header("Content-Length", r"(\d{1,18})", "http").cast("long"),
+        "sha1": F.sha1("payload")})
     revisit = F.col("record_type") == "revisit"
-    payload = F.substr(F.col("block"), F.length(http) + 5, F.length("block") - F.length(http) - 8)
-    return (df.withColumn("block", block)
-            .withColumn("payload_bytes", F.when(revisit, F.expr("try_cast(trim(http_line) as bigint)"))
-                        .otherwise(F.octet_length(payload).cast("long")))
-            .withColumn("payload_digest", F.when(revisit, F.col("told")).otherwise(base32_sha1(payload)))
-            .drop("block"))
+    return told.select(
+        *df.columns, "head", "body", "record_type", "page", "refers",
+        F.when(revisit, F.col("http_bytes")).otherwise(F.octet_length("payload").cast("long")).alias("payload_bytes"),
+        F.when(revisit, F.col("digest")).otherwise(base32(F.col("sha1"))).alias("payload_digest"))
 
 
 def reachable(offsets: np.ndarray, successors: np.ndarray) -> np.ndarray:
@@ -162,20 +155,19 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("row"))
     chunks = _told(raw.withColumn("size", F.octet_length("value").cast("long")))
-    light = _with_payload(chunks).select(
-        "file", "block_start", "row", "size", F.col("head").cast("double").alias("head"), F.col("body").cast("double").alias("body"),
-        "record_type", "page", "refers", "told", "payload_bytes", "payload_digest")
+    light = chunks.withColumns({c: F.col(c).cast("double") for c in ("head", "body")}).drop("value")
     marks = staged(light.groupBy("file").applyInPandas(
         _chains, "file string, block_start long, row long, size long, head double, body double, record_type string, page string,"
-                 "refers string, told string, payload_bytes long, payload_digest string, at long, record long, start boolean,"
+                 "refers string, payload_bytes long, payload_digest string, at long, record long, start boolean,"
                  "chunks long"), "warc-marks")
     whole = marks.filter("chunks = 1")
-    parts = marks.filter("chunks > 1").select("file", "block_start", "row", "at", "record")
+    # a table of its own, so that Spark sees how small it is, and moves no text for it unless it is large
+    parts = staged(marks.filter("chunks > 1").select("file", "block_start", "row", "at", "record"), "warc-parts")
     joined = (raw.join(parts, ["file", "block_start", "row"]).groupBy("file", "record")
               .agg(F.sort_array(F.collect_list(F.struct("at", "value"))).alias("parts"))
               .select("file", "record", F.array_join(F.col("parts.value"), MAGIC).alias("value")))
     columns = ["file", "record", "page", "record_type", "refers", "payload_bytes", "payload_digest"]
-    records = whole.select(*columns).unionByName(_with_payload(_told(joined)).select(*columns))
+    records = whole.select(*columns).unionByName(_told(joined).select(*columns))
     return records.select(
         "file", "record", F.expr("try_cast(page as bigint)").alias("page_id"), "record_type",
         F.when(F.col("record_type") == "revisit", F.expr("try_cast(refers as bigint)")).alias("refers_to"),
