@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html, knn, packing, sharding, warc
+from . import bpe, html, knn, packing, quality, sharding, toxicity, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SHARDS, OLD_SHARDS = 16, 12
+TOXIC_FROM = 0.7
 
 
 def tokenizer_file(name: str) -> str:
@@ -26,10 +27,22 @@ def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), digests_only=True)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"), F.size("spans").alias("n_spans"))
+
+
 def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
@@ -52,7 +65,9 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_html": op2_html,
+    "op3_quality": op3_quality,
     "op4_bpe": op4_bpe,
+    "op6_toxicity": op6_toxicity,
     "op7_pack": op7_pack,
     "op8_reshard": op8_reshard,
     "op9_knn": op9_knn,
