@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html, knn, packing, quality, sharding, toxicity, warc
+from . import bpe, html, knn, lm, packing, quality, sharding, toxicity, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,10 @@ def tokenizer_file(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
+
+
 def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
@@ -64,6 +68,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_lm": op1_lm,
     "op2_html": op2_html,
     "op3_quality": op3_quality,
     "op4_bpe": op4_bpe,
