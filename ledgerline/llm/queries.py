@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html, knn, lm, packing, quality, sharding, toxicity, warc
+from . import bpe, html, jaccard, knn, lm, packing, quality, sharding, toxicity, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), digests_only=True)
 
 
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -72,6 +76,7 @@ QUERIES: dict[str, Query] = {
     "op2_html": op2_html,
     "op3_quality": op3_quality,
     "op4_bpe": op4_bpe,
+    "op5_jaccard": op5_jaccard,
     "op6_toxicity": op6_toxicity,
     "op7_pack": op7_pack,
     "op8_reshard": op8_reshard,
