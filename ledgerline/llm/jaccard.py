@@ -350,3 +350,19 @@ def components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     return (sketch.select("doc_id", "n", "digest").join(own, ["digest", "n"], "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+
+
+def one_of_each(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """``docs`` with one row of each component: that whose doc_id is the component's smallest.
+
+    Rows without shingles link with nothing and all stay; so do rows without an id, unless they link
+    to a row that has one. Of rows repeated under the staying id one stays.
+    """
+    keys = components(docs, rule).filter(F.col("component_id").eqNullSafe(F.col("doc_id")))
+    stay = staged(keys.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.min("n_shingles").alias("least")), "stay")
+    # a null id, or one that stands on blank texts only, names no class
+    once = _small(stay.filter("rows = 1 or doc_id is null or least = 0").select(F.col("doc_id").alias("stays")))
+    many = stay.filter("rows > 1 and doc_id is not null and least > 0").select(F.col("doc_id").alias("stays"))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("stays"))
+    repeated = docs.join(_small(staged(many, "repeated")), same, "left_semi").dropDuplicates(["doc_id"])
+    return docs.join(once, same, "left_semi").unionByName(repeated)

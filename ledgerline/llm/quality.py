@@ -162,7 +162,7 @@ def judge(docs: DataFrame, rules: Rules = Rules(), common: int = COMMON, carry:
     """Counts, distances and verdict of every row of ``docs`` (doc_id, text, lang).
 
     doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept,
-    class_distance, word_distance, then the columns in ``carry``. A null text is empty: it has no
+    class_distance, word_distance, then the columns in ``carry``, named ``in_<name>``. A null text is empty: it has no
     words and fails the length rule. A null lang is a language of its own. A distance is null where
     the text is below its guard, or no language has a reference. Repeated rows each count and are all
     returned; an empty table gives no rows.
@@ -197,10 +197,9 @@ def judge(docs: DataFrame, rules: Rules = Rules(), common: int = COMMON, carry:
                 out.append((doc, n, chars, symbols, lines, repeat, failed, not failed and not far, by_class, by_word))
             columns = list(zip(*out, strict=True)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(columns, kinds, strict=True)),
-                                              *(batch.column(f"carry_{c}") for c in carry)], names=[*names, *(f"carry_{c}" for c in carry)])
+                                              *batch.columns[2:]], names=[*names, *(f"in_{c}" for c in carry)])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-                       *[F.col(c).alias(f"carry_{c}") for c in carry])
-    kept = "".join(f", carry_{c} {docs.schema[c].dataType.simpleString()}" for c in carry)
-    done = rows.mapInArrow(run, fixed + kept)
-    return done.select(*names, *[F.col(f"carry_{c}").alias(f"in_{c}") for c in carry]) if carry else done
+                       *[F.col(f"`{c}`").alias(f"in_{c}") for c in carry])
+    kept = "".join(f", `in_{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
+    return rows.mapInArrow(run, fixed + kept)

@@ -280,5 +280,5 @@ def score(docs: DataFrame, model: Model, carry: tuple[str, ...] = ()) -> DataFra
                     [batch.column(0), pa.array(scores, pa.float64()), pa.array(found, kind), *batch.columns[2:]],
                     names=["doc_id", "score", "spans", *(f"in_{c}" for c in carry)])
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *[F.col(c).alias(f"in_{c}") for c in carry])
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *[F.col(f"`{c}`").alias(f"in_{c}") for c in carry])
     return rows.mapInArrow(run, f"doc_id long, score double, spans array<struct<start:int,end:int>>{kept}")
