@@ -130,15 +130,22 @@ def hashes(root: Element) -> dict[int, int]:
     return done
 
 
+def may_be_template(element: Element, inside: bool) -> bool:
+    """A block, but no article; inside an article no text block either. Inline elements go with their block."""
+    if element.tag in ("html", "body", "article", "main", "head") or not element.parts:
+        return False
+    return (element.tag in BLOCKS or "-" in element.tag) and not (inside and element.tag in PROSE)
+
+
 def template_candidates(root: Element) -> set[int]:
-    """Subtrees that may belong to the site: all with text or children, but no articles or text blocks in them."""
+    """Hashes of the page's subtrees that may belong to the site."""
     known = hashes(root)
     found: set[int] = set()
     todo = [(root, False)]
     while todo:
         element, inside = todo.pop()
         own = inside or element.tag in ("article", "main")
-        if element.tag not in ("html", "body", "article", "main", "head") and not (inside and element.tag in PROSE) and element.parts:
+        if may_be_template(element, inside):
             found.add(known[id(element)])
         if element.tag not in DROPPED:  # deleted anyhow
             todo += [(x, own) for x in element.parts if isinstance(x, Element)]
@@ -173,7 +180,7 @@ def main_text(source: str, templates: frozenset[int]) -> str:
             continue
         if item.tag == "br":
             blocks[-1].append(" ")
-        elif not is_part(item, inside) and not (known and known[id(item)] in templates and not (inside and item.tag in PROSE)):
+        elif not is_part(item, inside) and not (known and known[id(item)] in templates and may_be_template(item, inside)):
             if item.tag in BLOCKS:
                 new()
             own = inside or item.tag in ("article", "main") or item.role == "main"
