@@ -58,9 +58,11 @@ def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From 12 shards by key hash to 16 of near equal bytes; text and slots are read from the files written."""
     old = F.pmod(F.xxhash64("doc_id"), F.lit(OLD_SHARDS))
-    done = sharding.reshard(table(spark, sf_dir, "documents"), old, SHARDS)
-    return done.select("doc_id", "size", F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("text_crc32"),
-                       F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
+    written = sharding.reshard(table(spark, sf_dir, "documents"), old, SHARDS)
+    crc = F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
+    done = sharding.slots(written.withColumn("text_crc32", crc).drop("text"))
+    return done.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                       F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 
 
 def op9_knn(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -137,7 +137,10 @@ def unchanged_shards(assigned: DataFrame) -> list[int]:
 
 
 def slots(written: DataFrame) -> DataFrame:
-    """``written`` with ``slot``: a gapless number from 0 within each shard, in the layout's order."""
+    """``written`` with ``slot``: a gapless number from 0 within each shard, in the layout's order.
+
+    Rows are joined with sums over groups, so pass what is needed of a text, not the text.
+    """
     group = ["shard", "old_shard", "layer", "part"]
     sums = written.groupBy(*group).agg(F.count(F.lit(1)).alias("rows"), F.min("place").alias("first"))
     order = W.partitionBy("shard").orderBy("old_shard", F.desc("layer"), "part")
@@ -147,15 +150,14 @@ def slots(written: DataFrame) -> DataFrame:
 
 
 def reshard(docs: DataFrame, old_shard: Column, shards: int) -> DataFrame:
-    """Documents moved from ``old_shard`` into ``shards`` shards of near equal bytes, as files, then read back.
+    """Documents moved from ``old_shard`` into ``shards`` shards of near equal bytes, as files; the files, read back.
 
-    Columns: doc_id, text, size, old_shard, shard, slot. A null text is stored as null, has size 1
-    and counts like any row; no row is dropped or merged, and columns besides doc_id and text are
-    not read. An empty table gives no rows.
+    Columns: doc_id, text, size, old_shard, shard, and the place in the old layout that ``slots``
+    turns into numbers. A null text is stored as null, has size 1 and counts like any row; no row is
+    dropped or merged, and columns besides doc_id and text are not read. An empty table gives no rows.
     """
     folder = scratch(docs.sparkSession, "shards")
     assigned = assign(docs, old_shard, shards)
     rewrite(assigned, folder)
-    schema = ("doc_id long, text string, size long, old_shard int, layer int, part int, place long, shard int")
-    written = docs.sparkSession.read.schema(schema).parquet(folder)
-    return slots(written).drop("layer", "part", "place")
+    schema = "doc_id long, text string, size long, old_shard int, layer int, part int, place long, shard int"
+    return docs.sparkSession.read.schema(schema).parquet(folder)
