@@ -149,14 +149,16 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     ranked = (rows.withColumn("in_part", in_part).join(starts, ["length", "part"])
               .withColumn("rank", F.col("before") + F.col("in_part") - 1).select(*cut.columns, "rank"))
 
+    names = cut.columns
+
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts_at, steps = shared.value
         for batch in batches:
             length, rank = (batch.column(c).to_numpy() for c in ("length", "rank"))
             step = steps[np.searchsorted(starts_at, length << 40 | rank, "right") - 1]
-            columns = [batch.column(c) for c in cut.columns]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(step[:, 3] + rank - step[:, 1]), pa.array(step[:, 4])],
-                                             names=[*cut.columns, "sequence_id", "offset"])
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in names), pa.array(step[:, 3] + rank - step[:, 1]), pa.array(step[:, 4])],
+                names=[*names, "sequence_id", "offset"])
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema)
     return ranked.mapInArrow(place, f"{kept}, sequence_id long, offset long")
