@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import sys
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.session import checkpoint_root
@@ -31,6 +34,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def blocks(batch: pa.RecordBatch, text: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Row ranges of ``batch`` with about ``size`` bytes in column ``text`` each; a longer text is a block of its own."""
+    sizes = np.array(pa.compute.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False), np.int64)
+    block = np.cumsum(sizes) // size
+    cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 def per_process(key: Any, make: Callable[[], Any]) -> Any:
     """What ``make`` returns, kept for the life of this worker process and its later tasks."""
     kept = sys.__dict__.setdefault("_ledgerline_llm_kept", {})

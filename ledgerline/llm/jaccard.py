@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import staged
-from .lm import GOLDEN, _blocks, mixed, words
+from .common import blocks, staged
+from .lm import GOLDEN, mixed, words
 
 BUCKETS = 1 << 18
 BLOCK = 512
@@ -83,7 +83,7 @@ def frequency_levels(docs: DataFrame, width: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            for part in _blocks(batch, 0):
+            for part in blocks(batch, 0):
                 found = np.concatenate(shingle_hashes(part.column(0).to_pylist(), width))
                 sums += np.bincount((found % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
         at = np.flatnonzero(sums)
@@ -118,7 +118,7 @@ def sketches(docs: DataFrame, levels: np.ndarray, rule: Rule) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = shared.value
         for batch in batches:
-            for part in _blocks(batch, 1):
+            for part in blocks(batch, 1):
                 sizes, digests, prefixes, bitmaps = [], [], [], []
                 for h in shingle_hashes(part.column(1).to_pylist(), rule.width):
                     members = np.unique(h)
@@ -269,7 +269,7 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, rule: Rule) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in _blocks(batch, 2):
+            for part in blocks(batch, 2):
                 sets = [np.unique(h) for h in shingle_hashes(part.column(2).to_pylist(), rule.width)]
                 right = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() == d for s, d in zip(sets, part.column(1).to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
@@ -355,14 +355,13 @@ def components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 def one_of_each(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """``docs`` with one row of each component: that whose doc_id is the component's smallest.
 
-    Rows without shingles link with nothing and all stay; so do rows without an id, unless they link
-    to a row that has one. Of rows repeated under the staying id one stays.
+    Rows without shingles link with nothing and all stay. Rows without an id cannot be told apart by
+    a result, so they stay as well. Of rows repeated under the staying id one stays.
     """
-    keys = components(docs, rule).filter(F.col("component_id").eqNullSafe(F.col("doc_id")))
+    keys = components(docs, rule).filter("component_id = doc_id")
     stay = staged(keys.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.min("n_shingles").alias("least")), "stay")
-    # a null id, or one that stands on blank texts only, names no class
-    once = _small(stay.filter("rows = 1 or doc_id is null or least = 0").select(F.col("doc_id").alias("stays")))
-    many = stay.filter("rows > 1 and doc_id is not null and least > 0").select(F.col("doc_id").alias("stays"))
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("stays"))
+    once = stay.filter("rows = 1 or least = 0").select(F.col("doc_id").alias("stays"))
+    many = stay.filter("rows > 1 and least > 0").select(F.col("doc_id").alias("stays"))
+    same = docs["doc_id"].cast("long") == F.col("stays")
     repeated = docs.join(_small(staged(many, "repeated")), same, "left_semi").dropDuplicates(["doc_id"])
-    return docs.join(once, same, "left_semi").unionByName(repeated)
+    return docs.join(_small(once), same, "left_semi").unionByName(repeated).unionByName(docs.filter(F.col("doc_id").isNull()))

@@ -24,13 +24,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import blocks, staged
 
 END = b""  # no word is empty
 FLUSH = 400_000
 DICTIONARY = 200_000
 SEGMENT_TOKENS = 1 << 22
-BLOCK_BYTES = 4 << 20
 ROUND_BYTES = 128 << 20
 # odd multipliers and shifts of the splitmix64 finaliser (fixed values)
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -99,16 +98,6 @@ class Block:
         return out
 
 
-def _blocks(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
-    """Row ranges of about BLOCK_BYTES of text."""
-    sizes = np.array(pa.compute.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False), np.int64)
-    block = np.cumsum(sizes) // BLOCK_BYTES
-    cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), batch.num_rows]
-    for a, b in zip(cuts, cuts[1:], strict=False):
-        if b > a:
-            yield batch.slice(a, b - a)
-
-
 def word_counts(texts: DataFrame) -> DataFrame:
     """word, c over all texts; the empty word is a text's end. Tasks add up before they shuffle."""
 
@@ -159,7 +148,7 @@ def filter_segments(texts: DataFrame, segments: int, settings: Settings) -> Data
                                                for x in (keys, counts.astype("<u4")))], names=["segment", "keys", "counts"])
 
         for batch in batches:
-            for part in _blocks(batch, 0):
+            for part in blocks(batch, 0):
                 block = Block.of(part.column(0).to_pylist(), settings.order)
                 at = block.tokens()
                 keys, counts = np.unique(np.concatenate([g[at] for g in block.grams()]), return_counts=True)
@@ -320,7 +309,7 @@ def _probe(state: DataFrame, shared: object, dictionary: object, total: int, dis
         held, frequent = shared.value, dictionary.value
         row = TaskContext.get().partitionId() << 40
         for whole in batches:
-            for batch in _blocks(whole, 1):
+            for batch in blocks(whole, 1):
                 block = Block.of(batch.column(1).to_pylist(), settings.order)
                 levels = []
                 for grams in block.grams():
