@@ -101,17 +101,22 @@ def amount_encode(value: ColumnLike, factor: ColumnLike) -> Column:
     return F.when(internal < 0, F.concat(text, F.lit("-"))).otherwise(text)
 
 
+MAX_PRICE_DECIMALS = 8
+
+
 def price_in(eur_price: ColumnLike, units_per_eur: ColumnLike, currency_decimals: ColumnLike
              ) -> Column:
     """EUR price converted into a currency, rounded half-up to that currency's decimals
-    (``currency_decimals`` null = 2). Returns decimal(20,3) so that 0-3 decimals all fit."""
-    product = (_c(eur_price).cast("decimal(18,3)") * _c(units_per_eur).cast("decimal(18,6)"))
+    (``currency_decimals`` null = 2). Returns decimal(28,8), which holds 0-8 decimals; a currency
+    with more raises an error."""
+    product = _c(eur_price).cast("decimal(18,6)") * _c(units_per_eur).cast("decimal(18,6)")
     d = F.coalesce(_c(currency_decimals), F.lit(2))
-    # F.round needs a literal scale: pick the branch per decimals class.
-    return (F.when(d == 0, F.round(product, 0))
-            .when(d == 1, F.round(product, 1))
-            .when(d == 2, F.round(product, 2))
-            .otherwise(F.round(product, 3))).cast("decimal(20,3)")
+    # F.round needs a literal scale: one branch per number of decimals
+    price = F.when(d == 0, F.round(product, 0).cast("decimal(28,8)"))
+    for scale in range(1, MAX_PRICE_DECIMALS + 1):
+        price = price.when(d == scale, F.round(product, scale).cast("decimal(28,8)"))
+    return price.otherwise(F.raise_error(F.concat(F.lit("no price has this many decimals: "), d.cast("string")))
+                           .cast("decimal(28,8)"))
 
 
 def timestamp_of(date_text: ColumnLike, time_text: ColumnLike) -> Column:

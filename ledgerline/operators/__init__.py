@@ -4,7 +4,6 @@ from ledgerline.operators.cdc import (
     batch_counts, delta_events, high_mark, high_mark_value, initial_events, load_mode, log_window,
     net_change, stamp_batch,
 )
-from ledgerline.operators.joins import bounded_broadcast
 from ledgerline.operators.quality import (
     accepted_values, conform, contract_violations, not_null, primary_key, relationships, unique,
     unique_combination,
@@ -15,7 +14,7 @@ from ledgerline.operators.state import current_state, latest_per_key, replay, st
 
 __all__ = [
     "batch_counts", "delta_events", "high_mark", "high_mark_value", "initial_events", "load_mode",
-    "log_window", "net_change", "stamp_batch", "bounded_broadcast", "accepted_values", "conform",
+    "log_window", "net_change", "stamp_batch", "accepted_values", "conform",
     "contract_violations", "not_null", "primary_key", "relationships", "unique",
     "unique_combination", "scd2_history", "scd2_versions", "table_diff", "current_state",
     "latest_per_key", "replay", "state_as_of",

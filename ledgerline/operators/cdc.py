@@ -13,9 +13,9 @@ A run for one table:
    deleted inside the window: nothing is sent).
 
 Plan notes: netting is a hash aggregation with fixed-width buffers (the op travels as a small
-int), so a key changed millions of times collapses map-side. The image lookup streams the
-(large) source past a broadcast of the netted keys when their count passes a size check, so
-the source is never shuffled; otherwise both sides shuffle on the key.
+int), so a key changed millions of times collapses map-side. The image lookup is one left join
+from the netted keys to the source; Spark sizes it (a small side is broadcast, by the planner's
+estimate or by adaptive execution from real sizes), so no row count of ours changes the plan.
 """
 
 from __future__ import annotations
@@ -26,12 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.formats import tabkey_decode, tabkey_encode
-from ledgerline.operators.joins import bounded_broadcast
 from ledgerline.schemas import TableSpec
 
-# Netted key sets up to this many rows are broadcast to the source scan.
-MAX_BROADCAST_KEYS = 2_000_000
-
 
 def _op_code():
     return F.when(F.col("op") == "I", 0).when(F.col("op") == "U", 1).otherwise(2)
@@ -77,7 +73,6 @@ def initial_events(source: DataFrame, spec: TableSpec, high: int) -> DataFrame:
 
 
 def delta_events(netted: DataFrame, source: DataFrame, spec: TableSpec,
-                 max_broadcast_keys: int = MAX_BROADCAST_KEYS,
                  live_keys: DataFrame | None = None) -> DataFrame:
     """Classify netted keys against the current images (see module doc).
 
@@ -90,23 +85,13 @@ def delta_events(netted: DataFrame, source: DataFrame, spec: TableSpec,
     decoded = tabkey_decode("tabkey", spec.keys)
     keyed = netted.select(*[decoded[k].alias(f"__k_{k}") for k in spec.keys],
                           "first_op", "last_seq", "last_logged_at")
-    keys_only = keyed.select(*[f"__k_{k}" for k in spec.keys])
-    keys_side, broadcast = bounded_broadcast(keys_only, max_broadcast_keys)
-    src = source.select(*spec.fields)
     on = [F.col(k) == F.col(f"__k_{k}") for k in spec.keys]
-    if broadcast:
-        # the source streams past the broadcast key set: images of changed keys only
-        images = src.join(keys_side, on, "left_semi")
-    else:
-        images = src
-    images = images.withColumn("__present", F.lit(True))
+    images = source.select(*spec.fields).withColumn("__present", F.lit(True))
     joined = keyed.join(images, on, "left")
     present, first = F.col("__present"), F.col("first_op")
     gone = first != "I"
     if live_keys is not None:
         live = live_keys.select(*[F.col(k).alias(f"__l_{k}") for k in spec.keys])
-        lon = [F.col(f"__l_{k}") == F.col(f"__k_{k}") for k in spec.keys]
-        live = live.join(keys_side, lon, "left_semi") if broadcast else live
         live = live.withColumn("__live", F.lit(True)).dropDuplicates([f"__l_{k}" for k in spec.keys])
         joined = joined.join(live, [F.col(f"__l_{k}") == F.col(f"__k_{k}") for k in spec.keys],
                              "left")

@@ -1,7 +1,6 @@
 """Data-quality checks. Each returns a DataFrame of violations: empty means the check passes.
 
-All are single aggregations or anti joins; none collects data to the driver. ``assert_passes``
-runs a check with a bounded ``limit`` and reports the first offending rows.
+All are single aggregations or anti joins; none collects data to the driver.
 """
 
 from __future__ import annotations
@@ -75,8 +74,3 @@ def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
         raise ValueError("contract violated: " + "; ".join(problems))
     return df
 
-
-def assert_passes(violations: DataFrame, name: str, show: int = 5) -> None:
-    rows = violations.limit(show).collect()
-    if rows:
-        raise AssertionError(f"check {name} failed, e.g. {rows}")

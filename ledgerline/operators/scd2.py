@@ -2,7 +2,8 @@
 
 Semantics (source project's customer history):
 
-1. duplicate events (same key, attributes, op, seq, time: an extraction re-run) count once;
+1. events with the same key and seq (an extraction re-run) count once, and of unlike images that
+   of the latest extraction;
 2. an event is a new version when ``md5(op | tracked attributes)`` differs from the previous
    event's of the same key (ordered by ``_seq``). The op is part of the hash, so the first
    update after an insert always opens a version;
@@ -14,9 +15,9 @@ so one hot key (a third of the log) would be a single straggler. Here every wind
 ``(key, _seq div bucket_width)``: a group never holds more than ``bucket_width`` sequence
 numbers. The neighbour across a bucket boundary comes from a per-bucket summary (one row per
 key and bucket, read off the window output by a filter) windowed by key and joined back on
-(key, bucket). Duplicate events collapse map-side (partial aggregation) before any shuffle;
-one exchange on (key, bucket) then serves both row-level windows; the summaries are one row
-per bucket.
+(key, bucket). One exchange on (key, bucket) serves the choice among equal events and both
+row-level windows. The summaries are branches of the same plan with fewer columns, which Spark
+shuffles for themselves.
 """
 
 from __future__ import annotations
@@ -46,17 +47,21 @@ def _bucketed(events: DataFrame, key: str, bucket_width: int) -> DataFrame:
 
 def scd2_versions(events: DataFrame, key: str, tracked: Sequence[str],
                   time_col: str = "changed_at", op_col: str = "_op",
-                  bucket_width: int = 1 << 20, strict: bool = False) -> DataFrame:
+                  bucket_width: int = 1 << 20, strict: bool = False,
+                  landed_col: str = "_extracted_at") -> DataFrame:
     """Events that open a version, with ``valid_from``/``valid_to`` (deletes still included).
 
-    ``events`` needs ``key``, ``tracked``, ``op_col``, ``_seq`` and ``time_col``.
+    ``events`` needs ``key``, ``tracked``, ``op_col``, ``_seq`` and ``time_col``; with ``landed_col`` it
+    says which of several images of one (key, seq) holds, without it the greatest image does.
     """
     cols = [key, *tracked, op_col, "_seq", time_col]
-    # de-duplicate first: the partial aggregation collapses copies of an event (a re-delivered
-    # batch, however often) map-side, before anything is shuffled
-    ev = _bucketed(events.select(*cols).dropDuplicates(), key, bucket_width)
-    # one exchange on (key, bucket) serves both row-level windows below
-    ev = ev.repartition("__k", "__b").withColumn("__h", change_hash(op_col, tracked, strict))
+    landed = [landed_col] if landed_col in events.columns else []
+    # one exchange on (key, bucket) serves the grouping and both row-level windows below
+    ev = _bucketed(events.select(*cols, *landed), key, bucket_width).repartition("__k", "__b")
+    image = [*landed, *[c for c in cols if c != "_seq"]]
+    ev = (ev.groupBy("__k", "__b", "_seq").agg(F.max(F.struct(*image)).alias("__e"))
+            .select("__k", "__b", "_seq", "__e.*").select("__k", "__b", *cols)
+            .withColumn("__h", change_hash(op_col, tracked, strict)))
 
     wb = Window.partitionBy("__k", "__b").orderBy("_seq")
     wk = Window.partitionBy("__k").orderBy("__b")
@@ -86,22 +91,12 @@ def scd2_versions(events: DataFrame, key: str, tracked: Sequence[str],
 
 def scd2_history(events: DataFrame, key: str, tracked: Sequence[str],
                  time_col: str = "changed_at", op_col: str = "_op",
-                 bucket_width: int = 1 << 20, strict: bool = False) -> DataFrame:
+                 bucket_width: int = 1 << 20, strict: bool = False,
+                 landed_col: str = "_extracted_at") -> DataFrame:
     """One row per version of a key: ``version_key``, key, tracked attributes, validity."""
-    v = scd2_versions(events, key, tracked, time_col, op_col, bucket_width, strict)
+    v = scd2_versions(events, key, tracked, time_col, op_col, bucket_width, strict, landed_col)
     return v.filter(F.col(op_col) != "D").select(
         F.md5(F.concat(F.col(key), F.lit("|"), F.col("_seq").cast("string"))).alias("version_key"),
         key, *tracked, "valid_from", "valid_to",
         F.col("valid_to").isNull().alias("is_current"))
 
-
-def scd2_changes_single_window(events: DataFrame, key: str, tracked: Sequence[str],
-                           op_col: str = "_op") -> DataFrame:
-    """Single-window formulation (one group per key): the brute-force check for tests."""
-    cols = [key, *tracked, op_col, "_seq", "changed_at"]
-    ev = events.select(*cols).distinct().withColumn("__h", change_hash(op_col, tracked))
-    w = Window.partitionBy(key).orderBy("_seq")
-    return (ev.withColumn("__prev", F.lag("__h").over(w))
-              .filter(~F.col("__h").eqNullSafe(F.col("__prev")))
-              .withColumn("valid_to", F.lead("changed_at").over(w))
-              .select(*cols, F.col("changed_at").alias("valid_from"), "valid_to"))

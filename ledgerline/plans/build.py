@@ -1,18 +1,18 @@
-"""The daily build: bronze -> silver (lazy) -> gold tables -> data-quality checks.
+"""The daily build: bronze -> shared silver tables -> gold tables -> data-quality checks.
 
-Gold models are tables (full refresh, contract-checked before they are written); once a gold
-table is written, downstream gold models read the table instead of recomputing it, like a dbt
-``ref`` to a table. Silver models that several gold models share are persisted for the build
-(memory and disk, so a lost executor recomputes its blocks from lineage) and released after.
-Checks are independent Spark jobs submitted concurrently from a small driver thread pool.
+Silver models that several gold models share are written once. Gold models are tables (full
+refresh): each is written aside, its contract and declared constraints are checked there, and only
+then it takes the place of the old one; a table that breaks a constraint is not published and the
+old one stays. Downstream models read the written tables, like a dbt ``ref`` to a table. Checks are
+one job per model, submitted concurrently from a small driver thread pool.
 """
 
 from __future__ import annotations
 
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,11 +20,6 @@ from ledgerline.operators import quality
 from ledgerline.plans import checks
 from ledgerline.schemas import GOLD_CONTRACTS, GOLD_NOT_NULL, GOLD_PRIMARY_KEYS
 
-# Gold models in dependency order.
-GOLD_ORDER = (
-    "dim_customer", "dim_customer_history", "dim_material", "fct_sales_order_items",
-    "fct_billing_items", "fct_order_fulfillment", "agg_daily_sales",
-)
 # Independent gold models, level by level (a level only reads earlier levels).
 GOLD_LEVELS = (
     ("dim_customer", "dim_customer_history", "dim_material", "fct_sales_order_items",
@@ -36,56 +31,89 @@ SHARED_SILVER = ("stg_sales_orders", "stg_billing_documents", "stg_billing_items
                  "stg_sales_order_items")
 
 
-def write_table(df: DataFrame, path: str) -> None:
-    """Full refresh of a table directory: write aside, then swap it in by rename."""
-    from ledgerline.sources.bronze import _fs, _path
+class ConstraintViolated(ValueError):
+    """A declared constraint does not hold, so the table was not published."""
+
+
+def write_table(df: DataFrame, path: str, primary_key: tuple[str, ...] = (),
+                required: tuple[str, ...] = ()) -> None:
+    """Full refresh of a table directory: write aside, check the constraints there, then swap.
+
+    The old table is renamed aside, the new one renamed into place, and the old one deleted; if the
+    second rename fails, the old one is put back.
+    """
+    from ledgerline.sources.bronze import _fs, _path, fs_delete
     spark = df.sparkSession
-    staging = f"{path}.staging-{uuid.uuid4().hex[:8]}"
+    mark = uuid.uuid4().hex[:8]
+    staging, aside = f"{path}.staging-{mark}", f"{path}.old-{mark}"
     df.write.mode("errorifexists").parquet(staging)
+    tests = [("not_null", c) for c in required] + ([("primary_key", primary_key)] if primary_key else [])
+    broken = {k: n for k, n in count_violations(spark.read.schema(df.schema).parquet(staging), tests).items() if n}
+    if broken:
+        fs_delete(spark, staging)
+        raise ConstraintViolated(f"{path}: {broken}")
     fs, target = _fs(spark, path)
-    if fs.exists(target):
-        fs.delete(target, True)
     fs.mkdirs(target.getParent())
+    had = fs.exists(target)
+    if had and not fs.rename(target, _path(spark, aside)):
+        raise RuntimeError(f"moving {path} aside failed")
     if not fs.rename(_path(spark, staging), target):
+        if had:
+            fs.rename(_path(spark, aside), target)
         raise RuntimeError(f"publishing {staging} -> {path} failed")
+    if had:
+        fs_delete(spark, aside)
 
 
-def persist_shared(lh, names=SHARED_SILVER, parallelism: int = 4) -> list[DataFrame]:
-    """Persist the shared silver models (memory and disk) and fill the cache once, with one
-    concurrent job per model, so that concurrent gold jobs do not each compute them."""
-    persisted = [lh.model(n).persist(StorageLevel.MEMORY_AND_DISK) for n in names]
+def store_shared(lh, out_root: str, names=SHARED_SILVER, parallelism: int = 4) -> None:
+    """Write the silver models that several gold models and checks read, one concurrent job per
+    model; from now on they are read from there."""
+    spark = lh.spark
+    plans = {n: lh.model(n) for n in names}
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        list(pool.map(lambda df: df.write.format("noop").mode("overwrite").save(), persisted))
-    return persisted
+        list(pool.map(lambda n: write_table(plans[n], f"{out_root}/_silver/{n}"), names))
+    for n in names:
+        lh.use_table(n, spark.read.schema(plans[n].schema).parquet(f"{out_root}/_silver/{n}"))
+
+
+@dataclass
+class Built:
+    tables: dict[str, str] = field(default_factory=dict)
+    rejected: dict[str, str] = field(default_factory=dict)
 
 
-def build_gold(lh, out_root: str, levels=GOLD_LEVELS, parallelism: int = 4) -> dict[str, str]:
-    """Write the gold tables below ``out_root``; returns model -> path.
+def build_gold(lh, out_root: str, levels=GOLD_LEVELS, parallelism: int = 4) -> Built:
+    """Write the gold tables below ``out_root``: the published ones, and why others were rejected.
 
     Models of one dependency level are independent and written as concurrent Spark jobs; the
     next level then reads the written tables.
     """
     spark = lh.spark
-    paths: dict[str, str] = {}
+    built = Built()
     for level in levels:
         # plans are built on the calling thread (the memo is not shared across threads)
         plans = {name: quality.conform(lh.model(name), GOLD_CONTRACTS[name]) for name in level}
 
-        def write(name: str) -> str:
-            path = f"{out_root}/{name}"
-            write_table(plans[name], path)
-            return path
+        def write(name: str) -> str | None:
+            try:
+                write_table(plans[name], f"{out_root}/{name}", GOLD_PRIMARY_KEYS[name], GOLD_NOT_NULL[name])
+            except ConstraintViolated as e:
+                return str(e)
+            return None
 
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            for name, path in zip(level, pool.map(write, level)):
-                paths[name] = path
-        for name in level:
-            # downstream models read the written table from now on
-            lh.use_table(name, spark.read.schema(GOLD_CONTRACTS[name]).parquet(paths[name]))
-    return paths
-
-
-# The data tests of the models: (model, kind, argument). Kinds: unique / not_null (column),
+            problems = dict(zip(level, pool.map(write, level)))
+        for name, problem in problems.items():
+            if problem:
+                built.rejected[name] = problem
+            else:
+                built.tables[name] = f"{out_root}/{name}"
+                # downstream models read the written table from now on
+                lh.use_table(name, spark.read.schema(GOLD_CONTRACTS[name]).parquet(built.tables[name]))
+    return built
+
+
+# Fixed values, the models' declared tests: (model, kind, argument). Kinds: unique / not_null (column),
 # accepted (column, values), relationships (column, parent model, parent column),
 # unique_combination (columns).
 DATA_TESTS: tuple[tuple, ...] = (
@@ -133,60 +161,93 @@ DATA_TESTS: tuple[tuple, ...] = (
 )
 
 
-def _data_test(lh, model: str, kind: str, arg) -> DataFrame:
-    df = lh.model(model)
-    if kind == "unique":
-        return quality.unique(df, arg)
-    if kind == "not_null":
-        return quality.not_null(df, arg)
-    if kind == "accepted":
-        return quality.accepted_values(df, arg[0], list(arg[1]))
-    if kind == "relationships":
-        return quality.relationships(df, arg[0], lh.model(arg[1]), arg[2])
-    if kind == "unique_combination":
-        return quality.unique_combination(df, list(arg))
-    raise ValueError(kind)
-
-
-def gold_checks(lh) -> dict[str, DataFrame]:
-    """Every data test (violations; empty = pass): the models' column and combination tests,
-    the two cross-model tests (reconciliation, over-billing) and the gold contracts' declared
-    primary-key and not-null constraints."""
-    out: dict[str, DataFrame] = {}
+def model_tests() -> dict[str, list[tuple]]:
+    """Per model its tests: the declared ones, then the contract's primary key and not-null columns."""
+    out: dict[str, list[tuple]] = {}
     for model, kind, arg in DATA_TESTS:
-        label = arg if isinstance(arg, str) else (
-            "+".join(arg) if kind == "unique_combination" else arg[0])
-        out[f"{model}.{kind}.{label}"] = _data_test(lh, model, kind, arg)
-    out["billing_reconcile"] = checks.billing_reconcile(lh)
-    out["overbilling"] = checks.overbilling(lh)
-    for name, cols in GOLD_PRIMARY_KEYS.items():
-        out[f"{name}.constraint.primary_key"] = quality.primary_key(lh.model(name), cols)
-    for name, cols in GOLD_NOT_NULL.items():
-        for c in cols:
-            out[f"{name}.constraint.not_null.{c}"] = quality.not_null(lh.model(name), c)
+        out.setdefault(model, []).append((kind, arg))
+    for model, columns in GOLD_PRIMARY_KEYS.items():
+        out.setdefault(model, []).append(("constraint.primary_key", columns))
+    for model, columns in GOLD_NOT_NULL.items():
+        out.setdefault(model, []).extend(("constraint.not_null", c) for c in columns)
+    return out
+
+
+def label(kind: str, arg) -> str:
+    if kind.endswith("primary_key"):
+        return kind
+    return f"{kind}.{arg if isinstance(arg, str) else '+'.join(arg) if kind == 'unique_combination' else arg[0]}"
+
+
+def violation_counts(df: DataFrame, tests: list[tuple], parent=None) -> DataFrame:
+    """(check, n): violations of all ``tests`` of one model. One pass counts what rows show by
+    themselves, one grouping per key serves every test of that key, one anti join each relation."""
+    columns, keys, parts = {}, {}, []
+    for kind, arg in tests:
+        name = label(kind, arg)
+        if kind.endswith("not_null"):
+            columns[name] = F.count(F.when(F.col(arg).isNull(), 1))
+        elif kind == "accepted":
+            bad = F.col(arg[0]).isNotNull() & ~F.col(arg[0]).isin(list(arg[1]))
+            columns[name] = F.count_distinct(F.when(bad, F.col(arg[0])))
+        elif kind == "relationships":
+            lost = quality.relationships(df, arg[0], parent(arg[1]), arg[2])
+            parts.append(lost.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("check"), "n"))
+        else:
+            keys.setdefault((arg,) if isinstance(arg, str) else tuple(arg), []).append((kind, name))
+
+    def stacked(one_row: DataFrame, names: list[str]) -> DataFrame:
+        pairs = F.array(*[F.struct(F.lit(n).alias("check"), F.col(f"`{n}`").alias("n")) for n in names])
+        return one_row.select(F.explode(pairs).alias("x")).select("x.check", "x.n")
+
+    if columns:
+        parts.append(stacked(df.agg(*[c.alias(n) for n, c in columns.items()]), list(columns)))
+    for key, wanted in keys.items():
+        some_null = F.lit(False)
+        for c in key:
+            some_null = some_null | F.col(c).isNull()
+        groups = df.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).withColumns(
+            {"null": some_null, "twice": F.col("rows") > 1})
+        count = {
+            "unique": F.count(F.when(F.col("twice") & ~F.col("null"), 1)),
+            "unique_combination": F.count(F.when(F.col("twice"), 1)),
+            "primary_key": F.count(F.when(F.col("null") | F.col("twice"), 1)),
+        }
+        parts.append(stacked(groups.agg(*[count[kind.removeprefix("constraint.")].alias(n) for kind, n in wanted]),
+                             [n for _, n in wanted]))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     return out
 
 
+def count_violations(df: DataFrame, tests: list[tuple], parent=None) -> dict[str, int]:
+    return {r["check"]: r["n"] for r in violation_counts(df, tests, parent).collect()} if tests else {}
+
+
 def run_checks(lh, parallelism: int = 8) -> dict[str, int]:
-    """Violation count per check; jobs run concurrently (each is a small aggregation)."""
-    named = gold_checks(lh)
+    """Violation count per check: every data test, the two cross-model tests (reconciliation,
+    over-billing) and the gold contracts' constraints. One job per model, submitted concurrently."""
+    jobs = {model: violation_counts(lh.model(model), tests, lh.model) for model, tests in model_tests().items()}
+    for name, df in (("billing_reconcile", checks.billing_reconcile(lh)), ("overbilling", checks.overbilling(lh))):
+        jobs[name] = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit("").alias("check"), "n")
 
-    def count(item):
-        name, df = item
-        return name, df.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    def count(item: tuple[str, DataFrame]) -> dict[str, int]:
+        model, df = item
+        return {f"{model}.{r['check']}".rstrip("."): r["n"] for r in df.collect()}
 
+    out: dict[str, int] = {}
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        return dict(pool.map(count, named.items()))
+        for found in pool.map(count, jobs.items()):
+            out |= found
+    return out
 
 
 def run_daily(lh, out_root: str) -> dict:
-    """Build gold, then check it, with the shared silver models cached for both. Returns the
-    table paths and the check results."""
-    persisted = persist_shared(lh)
-    try:
-        paths = build_gold(lh, out_root)
-        results = run_checks(lh)
-    finally:
-        for df in persisted:
-            df.unpersist()
-    return {"tables": paths, "checks": results}
+    """Store the shared silver models, build gold, then check it: the published tables, the rejected
+    ones, the check results, and ``ok`` if nothing was rejected and no check found anything."""
+    store_shared(lh, out_root)
+    built = build_gold(lh, out_root)
+    results = run_checks(lh)
+    return {"tables": built.tables, "rejected": built.rejected, "checks": results,
+            "ok": not built.rejected and not any(results.values())}

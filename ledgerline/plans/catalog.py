@@ -21,7 +21,7 @@ from ledgerline.plans.lakehouse import Lakehouse
 from ledgerline.plans.silver import SILVER_MODELS
 from ledgerline.schemas import TABLES
 from ledgerline.sources import bronze
-from ledgerline.sources.fixtures import INIT_BATCH, fixture
+from ledgerline.sources.fixtures import INIT_BATCH, change_scenario, fixture
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -73,23 +73,33 @@ def kna1_delta_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cdc.delta_events(netted, _fx(spark, sf_dir, "fx_kna1_live"), KNA1)
 
 
-def publish_kna1_scenario(spark: SparkSession, sf_dir: str) -> tuple[str, list[dict]]:
+def publish_kna1_scenario(spark: SparkSession, sf_dir: str, safe: bool = False) -> tuple[str, list[dict]]:
     """INIT of the customer master (before any logged change), DELTA over the whole change
-    log against the current ERP table, then a re-run with nothing new. Returns the bronze root
-    and the three run results."""
+    log against the current ERP table, the same batch published once more, then a re-run with
+    nothing new. Returns the bronze root and the three run results."""
     from ledgerline.session import shared_dir
     root = shared_dir(spark, "bronze-kna1")
     log = _fx(spark, sf_dir, "fx_delta_log")
     empty_log = log.filter(F.lit(False))           # the log as it was before the first change
-    runs = [
-        bronze.extract_table(spark, empty_log, _fx(spark, sf_dir, "fx_kna1"), root, "kna1",
-                             *SCENARIO_INIT),
-        bronze.extract_table(spark, log, _fx(spark, sf_dir, "fx_kna1_source"), root, "kna1",
-                             *SCENARIO_DELTA),
-        bronze.extract_table(spark, log, _fx(spark, sf_dir, "fx_kna1_source"), root, "kna1",
-                             *SCENARIO_RERUN),
-    ]
-    return root, runs
+    init = bronze.extract_table(spark, empty_log, _fx(spark, sf_dir, "fx_kna1"), root, "kna1", *SCENARIO_INIT)
+    source = _fx(spark, sf_dir, "fx_kna1_source")
+    delta = bronze.extract_table(spark, log, source, root, "kna1", *SCENARIO_DELTA, safe=safe)
+    again = bronze.read_bronze(spark, root, "kna1").filter(F.col("_batch_id") == SCENARIO_DELTA[0])
+    bronze.publish_batch(spark, again, root, "kna1", delta["watermark"], *SCENARIO_DELTA)
+    rerun = bronze.extract_table(spark, log, source, root, "kna1", *SCENARIO_RERUN)
+    return root, [init, delta, rerun]
+
+
+def publish_all(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, DataFrame], list[list[dict]]]:
+    """INIT and two DELTA runs of all ten tables through the extractor: the bronze root, the source
+    tables as they are at the end, and the runs."""
+    from ledgerline.session import shared_dir
+    base = shared_dir(spark, "bronze-all")
+    runs = []
+    for k, (images, log) in enumerate(change_scenario(spark, sf_dir, base)):
+        at = dt.datetime(2026, 1, 5 + k, 6, 0, tzinfo=dt.UTC)
+        runs.append(bronze.extract_all(spark, log, images, f"{base}/bronze", f"run-{k}", at, parallelism=4))
+    return f"{base}/bronze", images, runs
 
 
 # ---- CDC extraction ---------------------------------------------------------------------------
@@ -145,9 +155,10 @@ def q_cdc_load_mode(spark, sf_dir):
                 .groupBy("tabname").agg(F.count(F.lit(1)).alias("__n")))
     pending = marks.join(after, "tabname", "left").withColumn(
         "pending_changes", F.coalesce(F.col("__n"), F.lit(0)))
-    mode = (F.when(F.col("watermark").isNull(), "INIT")
-             .when(F.col("pending_changes") > 0, "DELTA").otherwise("NONE"))
-    return pending.select("tabname", "watermark", "pending_changes", mode.alias("load_type"))
+    rows = [(r["tabname"], r["watermark"], r["pending_changes"],
+             cdc.load_mode(r["watermark"], r["watermark"] is None or r["pending_changes"] > 0))
+            for r in pending.collect()]                     # one row per table
+    return spark.createDataFrame(rows, "tabname string, watermark long, pending_changes long, load_type string")
 
 
 @register("tabkey_roundtrip")
@@ -165,11 +176,34 @@ def q_tabkey_roundtrip(spark, sf_dir):
 
 @register("replay_equals_source")
 def q_replay_equals_source(spark, sf_dir):
-    root, _ = publish_kna1_scenario(spark, sf_dir)
+    """Rows by which the replay of the published events and the source differ, over all ten tables: none."""
+    root, images, _ = publish_all(spark, sf_dir)
+    out = None
+    for table, spec in TABLES.items():
+        replayed = state.replay(bronze.read_bronze(spark, root, table), spec.keys, spec.fields)
+        diff = setops.table_diff(replayed, images[table]).select(
+            F.lit(table).alias("tabname"), F.concat_ws("|", *[F.coalesce(f, F.lit("<null>")) for f in spec.fields]).alias("row"),
+            F.col("_side").alias("side"))
+        out = diff if out is None else out.unionByName(diff)
+    return out
+
+
+@register("replay_safe_mode")
+def q_replay_safe_mode(spark, sf_dir):
+    """The customer scenario in which INIT holds keys that the log creates and removes: in safe mode
+    they are deleted, and the replay equals the source again."""
+    root, _ = publish_kna1_scenario(spark, sf_dir, safe=True)
     replayed = state.replay(bronze.read_bronze(spark, root, "kna1"), KNA1.keys, KNA1.fields)
     return setops.table_diff(replayed, _fx(spark, sf_dir, "fx_kna1_source"))
 
 
+@register("agg_daily_sales_published")
+def q_agg_daily_sales_published(spark, sf_dir):
+    """The flagship model over bronze that the extractor published."""
+    root, _, _ = publish_all(spark, sf_dir)
+    return Lakehouse.from_bronze_root(spark, root).model("agg_daily_sales")
+
+
 @register("table_diff")
 def q_table_diff(spark, sf_dir):
     spec = TABLES["vbak"]
@@ -288,16 +322,18 @@ def q_fn_amount_roundtrip(spark, sf_dir):
 
 @register("fn_price_in")
 def q_fn_price_in(spark, sf_dir):
-    """Each order's total as a EUR price converted into its document currency."""
+    """Each order's total as a EUR price converted into its document currency, and each item's price in
+    its supplier's, which have 0 to 4 decimals."""
     lh = lakehouse(spark, sf_dir)
     rates = lh.seed("currency_per_eur")                     # fixed rows: broadcast
-    dec = lh.model("stg_currency_decimals")                 # one row per currency: size-checked
-    o = _fx(spark, sf_dir, "fx_vbak").select("vbeln", "waerk", "netwr")
-    j = (o.join(rates, F.col("waerk") == F.col("currency"), "left")
-          .join(dec, F.col("waerk") == F.col("currency_code"), "left"))
-    price = formats.number("netwr")
-    return j.select("vbeln", "waerk", price.alias("eur_price"),
-                    formats.price_in(price, "units_per_eur", "currency_decimals").alias("price"))
+    dec = lh.model("stg_currency_decimals")                 # one row per currency: sized by Spark
+    o = _fx(spark, sf_dir, "fx_vbak").select(F.col("vbeln").alias("document"), "waerk", formats.number("netwr").alias("eur_price"))
+    o = o.join(rates, F.col("waerk") == F.col("currency"), "left").drop("currency")
+    s = _fx(spark, sf_dir, "fx_supplier_prices").select(
+        F.concat_ws("/", "l_orderkey", "l_linenumber").alias("document"), "waerk", "eur_price", "units_per_eur")
+    j = o.unionByName(s).join(dec, F.col("waerk") == F.col("currency_code"), "left")
+    return j.select("document", "waerk", "eur_price",
+                    formats.price_in("eur_price", "units_per_eur", "currency_decimals").alias("price"))
 
 
 # ---- data-quality checks ------------------------------------------------------------------------
@@ -328,8 +364,8 @@ def q_dq_relationships(spark, sf_dir):
 
 @register("dq_unique_combination")
 def q_dq_unique_combination(spark, sf_dir):
-    return quality.unique_combination(lakehouse(spark, sf_dir).model("agg_daily_sales"),
-                                      ["sales_date", "sales_org"])
+    return quality.unique_combination(lakehouse(spark, sf_dir).model("stg_material_texts"),
+                                      ["material_id", "language_key"])
 
 
 @register("dq_primary_key")
@@ -354,7 +390,7 @@ def q_dq_orphans(spark, sf_dir):
 
 @register("dq_log_complete")
 def q_dq_log_complete(spark, sf_dir):
-    return checks.log_complete(_fx(spark, sf_dir, "fx_kna1_live"),
+    return checks.log_complete(_fx(spark, sf_dir, "fx_kna1_source"),
                                _fx(spark, sf_dir, "fx_delta_log"), "kna1")
 
 
@@ -399,7 +435,8 @@ def q_order_rollup(spark, sf_dir):
 @register("deletable_orders")
 def q_deletable_orders(spark, sf_dir):
     lh = lakehouse(spark, sf_dir)
-    return worklists.deletable_orders(lh, _order_day(lh))
+    open_orders = lh.model("stg_sales_orders").filter(F.col("overall_status") == "A")
+    return worklists.deletable_orders(lh, worklists.business_day_after(open_orders, "created_on"))
 
 
 @register("credit_candidates")
@@ -412,24 +449,50 @@ def q_credit_candidates(spark, sf_dir):
 STREAM_CLOCK = dt.datetime(2026, 1, 6, 6, 0, tzinfo=dt.UTC)
 
 
+def _finished(query) -> None:
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+
+
 @register("stream_delta_events")
 def q_stream_delta_events(spark, sf_dir):
-    """The change log lands as files; a streaming extraction (AvailableNow) nets each
-    micro-batch against the live customer images and publishes it to bronze."""
+    """The change log lands as files of two feeds; two streaming extractions (AvailableNow), each with
+    a checkpoint of its own, net them against the live customer images and publish into one bronze
+    table that INIT began. Starting a stream again adds nothing."""
     from ledgerline.session import shared_dir
     from ledgerline.streaming.cdc_stream import start_extraction
     base = shared_dir(spark, "stream-kna1")
-    _fx(spark, sf_dir, "fx_delta_log").write.parquet(f"{base}/log")
+    log = _fx(spark, sf_dir, "fx_delta_log")
+    bronze.extract_table(spark, log.filter(F.lit(False)), _fx(spark, sf_dir, "fx_kna1"), f"{base}/bronze", "kna1", *SCENARIO_INIT)
     live = _fx(spark, sf_dir, "fx_kna1_live")
-    q = start_extraction(spark, f"{base}/log", lambda: live, "kna1", f"{base}/bronze",
-                         f"{base}/checkpoint", clock=lambda: STREAM_CLOCK)
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
+    for feed in (0, 1):
+        log.filter(F.col("seq") % 2 == feed).write.parquet(f"{base}/log{feed}")
+    for feed in (0, 1, 0):
+        _finished(start_extraction(spark, f"{base}/log{feed}", lambda: live, "kna1", f"{base}/bronze",
+                                   f"{base}/checkpoint{feed}", clock=lambda: STREAM_CLOCK))
     b = bronze.read_bronze(spark, f"{base}/bronze", "kna1")
     return b.select(*KNA1.fields, "_op", "_seq", "_changed_at", "_load_type")
 
 
+@register("stream_replay_equals_source")
+def q_stream_replay_equals_source(spark, sf_dir):
+    """A stream over an empty bronze root: INIT first, then the log that lands later. The replay of
+    what it published differs from the source by no row."""
+    from ledgerline.session import shared_dir
+    from ledgerline.streaming.cdc_stream import start_extraction
+    base = shared_dir(spark, "stream-init")
+    log = _fx(spark, sf_dir, "fx_delta_log")
+    log.filter(F.lit(False)).write.parquet(f"{base}/log")
+    for images, entries in ((_fx(spark, sf_dir, "fx_kna1"), None), (_fx(spark, sf_dir, "fx_kna1_source"), log)):
+        if entries is not None:
+            entries.write.mode("append").parquet(f"{base}/log")
+        _finished(start_extraction(spark, f"{base}/log", lambda: images, "kna1", f"{base}/bronze",
+                                   f"{base}/checkpoint", clock=lambda: STREAM_CLOCK, safe=True))
+    replayed = state.replay(bronze.read_bronze(spark, f"{base}/bronze", "kna1"), KNA1.keys, KNA1.fields)
+    return setops.table_diff(replayed, _fx(spark, sf_dir, "fx_kna1_source"))
+
+
 @register("stream_append_events")
 def q_stream_append_events(spark, sf_dir):
     """The change log lands as files and is appended to a Parquet sink by a file stream with a

@@ -5,14 +5,16 @@ Each returns the violating rows; an empty DataFrame means the check passes.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.formats import tabkey_encode
 from ledgerline.operators import quality
-from ledgerline.schemas import GOLD_NOT_NULL, GOLD_PRIMARY_KEYS, TABLES
+from ledgerline.schemas import GOLD_PRIMARY_KEYS, TABLES
 
-TOLERANCE = 0.01
+TOLERANCE = Decimal("0.01")
 
 
 def billing_reconcile(lh) -> DataFrame:
@@ -76,12 +78,3 @@ def log_complete(live: DataFrame, log: DataFrame, table: str) -> DataFrame:
 def gold_primary_key(lh, model: str) -> DataFrame:
     return quality.primary_key(lh.model(model), GOLD_PRIMARY_KEYS[model])
 
-
-def gold_not_null(lh, model: str) -> DataFrame:
-    df = lh.model(model)
-    out = None
-    for c in GOLD_NOT_NULL[model]:
-        v = df.filter(F.col(c).isNull()).agg(F.count(F.lit(1)).alias("violations")) \
-              .select(F.lit(c).alias("column"), "violations")
-        out = v if out is None else out.unionByName(v)
-    return out.filter(F.col("violations") > 0)

@@ -36,7 +36,7 @@ CUSTOMER_TRACKED = ("customer_name", "country_code", "city")
 
 def customer_events_deduplicable(lh) -> DataFrame:
     return lh.model("stg_customer_events").select(
-        "customer_id", *CUSTOMER_TRACKED, "_op", "_seq", "changed_at")
+        "customer_id", *CUSTOMER_TRACKED, "_op", "_seq", "changed_at", "_extracted_at")
 
 
 def scd2_changes(lh) -> DataFrame:

@@ -2,8 +2,9 @@
 
 A ``Lakehouse`` owns a bronze accessor (fixtures, published Parquet batches, or any function
 returning an event DataFrame per table) and builds each model once per instance, so one gold
-plan that uses a silver model twice references the same logical subtree and Spark reuses the
-exchange instead of reading the source twice (the single-read rule of the source project).
+plan that uses a silver model twice references the same logical subtree (the single-read rule of
+the source project). Spark reuses an exchange only where both uses ask for the same columns, so
+gold models read a source once by themselves where they can.
 """
 
 from __future__ import annotations
@@ -13,12 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline import seeds
-from ledgerline.operators.joins import bounded_broadcast
 from ledgerline.sources import fixtures
 
-# Currency keys are 5-character codes; the currency table holds one row per currency.
-MAX_CURRENCY_ROWS = 10_000
-
 
 class Lakehouse:
     def __init__(self, spark: SparkSession, bronze: Callable[[str], DataFrame],
@@ -42,9 +39,15 @@ class Lakehouse:
         if not materialize:
             memo: dict[str, DataFrame] = {}
             return cls(spark, lambda t: fixtures.fixture(spark, sf_dir, f"bz_{t}", memo), **kw)
-        paths = fixtures.materialize_bronze(spark, sf_dir, list(TABLES), rebuild=rebuild)
-        return cls(spark, lambda t: spark.read.schema(bronze_schema(TABLES[t])).parquet(paths[t]),
-                   **kw)
+        if rebuild:
+            fixtures.materialize_bronze(spark, sf_dir, list(TABLES), rebuild=True)
+
+        def written(t: str) -> DataFrame:
+            # a model's tables are derived when the model first reads them
+            path = fixtures.materialize_bronze(spark, sf_dir, [t])[t]
+            return spark.read.schema(bronze_schema(TABLES[t])).parquet(path)
+
+        return cls(spark, written, **kw)
 
     @classmethod
     def from_bronze_root(cls, spark: SparkSession, root: str, **kw) -> Lakehouse:
@@ -76,22 +79,17 @@ class Lakehouse:
         return self._memo[name]
 
     # -- shared small relations ------------------------------------------------------------------
-    def currency_factors(self, checked: bool = False) -> DataFrame:
+    def currency_factors(self) -> DataFrame:
         """``(__currency, __factor)``: exact amount factor per currency (one row per currency).
 
-        By default the join strategy is left to Spark's size checks: the planner broadcasts it
-        when its file-based size estimate is under ``spark.sql.autoBroadcastJoinThreshold`` and
-        AQE re-checks the real size at run time; above the threshold it is a shuffle join.
-        ``checked=True`` adds an explicit bounded count before hinting a broadcast.
+        The join strategy is left to Spark's size checks: the planner broadcasts it when its
+        file-based size estimate is under ``spark.sql.autoBroadcastJoinThreshold`` and AQE
+        re-checks the real size at run time; above the threshold it is a shuffle join.
         """
-        key = f"currency_factors:{checked}"
-        if key not in self._memo:
+        if "currency_factors" not in self._memo:
             from ledgerline.functions.formats import amount_factor
             from pyspark.sql import functions as F
             dec = self.model("stg_currency_decimals")
-            factors = dec.select(F.col("currency_code").alias("__currency"),
-                                 amount_factor("currency_decimals").alias("__factor"))
-            if checked:
-                factors, _ = bounded_broadcast(factors, MAX_CURRENCY_ROWS)
-            self._memo[key] = factors
-        return self._memo[key]
+            self._memo["currency_factors"] = dec.select(
+                F.col("currency_code").alias("__currency"), amount_factor("currency_decimals").alias("__factor"))
+        return self._memo["currency_factors"]

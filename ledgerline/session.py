@@ -1,14 +1,12 @@
 """Spark session defaults and the shared working folder.
 
 Everything that must survive executor loss (published bronze batches, streaming checkpoints,
-lineage cuts) goes below ``spark.checkpoint.dir``. On a cluster that setting names a shared
-file system and is read from the session; only a local session without it gets a private one.
+lineage cuts) goes below ``spark.checkpoint.dir``, which names a shared file system and is read from
+the session.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -35,43 +33,31 @@ def get_session(
 ) -> SparkSession:
     """Build (or reuse) a session with the library defaults.
 
-    ``master`` defaults to ``local[$LEDGERLINE_CPUS or 8]`` only when no master is configured by
-    the launcher; on a cluster the launcher's master wins.
+    The launcher names the master (spark-submit, or the cluster's configuration); ``master`` is for
+    tests and single-machine runs that have no launcher.
     """
     builder = SparkSession.builder.appName(app_name)
-    if master is None and "spark.master" not in os.environ.get("PYSPARK_SUBMIT_ARGS", ""):
-        master = f"local[{os.environ.get('LEDGERLINE_CPUS', '8')}]"
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULTS)
-    conf["spark.driver.memory"] = os.environ.get("LEDGERLINE_DRIVER_MEMORY", "16g")
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return builder.getOrCreate()
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``; a session without it is an error.
 
-    A local session without the setting gets a private folder (tests, single-node runs). A
-    cluster session without it is an error: a machine-local folder is not visible to executors
-    and does not survive their loss.
+    A folder of one machine is not visible to executors and does not survive their loss, so none is
+    made up here. Tests and single-machine runs set their own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root:
-        return root.rstrip("/")
-    master = spark.sparkContext.master
-    if not master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    root = tempfile.mkdtemp(prefix="ledgerline-shared-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
-    return root
+    if not root:
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return root.rstrip("/")
 
 
 def shared_dir(spark: SparkSession, name: str, unique: bool = True) -> str:

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.operators import cdc
+from ledgerline.operators.state import current_state
 from ledgerline.schemas import BRONZE_META, TABLES, TableSpec
 
 PARTITION_COLUMNS = ("_extracted_day", "_watermark", "_batch_id")
@@ -108,30 +109,36 @@ def current_watermark(spark: SparkSession, root: str, table: str,
     return max((b["watermark"] for b in batches), default=None)
 
 
+def published_leaf(spark: SparkSession, root: str, table: str, batch_id: str) -> str | None:
+    """Where a batch is published, or None: a listing of that one id, however many batches there are."""
+    fs, base = _fs(spark, f"{root}/{table}")
+    found = fs.globStatus(_path(spark, f"{root}/{table}/_extracted_day=*/_watermark=*/_batch_id={batch_id}"))
+    return found[0].getPath().toString() if fs.exists(base) and found else None
+
+
 def publish_batch(spark: SparkSession, events: DataFrame, root: str, table: str,
                   watermark: int, batch_id: str, extracted_at: dt.datetime) -> int:
     """Write one stamped event batch and publish it with a single rename. Returns its row
-    count; an empty batch publishes nothing and returns 0."""
+    count; an empty batch publishes nothing and returns 0. A batch id that is published already
+    is left as it is, and its row count returned: publishing twice changes nothing."""
     day = extracted_at.astimezone(dt.UTC).date().isoformat()
-    staging = f"{root}/{table}/_staging/{batch_id}"
+    # each attempt stages in a folder of its own, so two runs of one batch cannot mix their files
+    staging = f"{root}/{table}/_staging/{batch_id}-{uuid.uuid4().hex[:8]}"
     spec = TABLES[table]
     cols = [*spec.fields, *[f.name for f in BRONZE_META.fields if f.name != "_batch_id"]]
     fs, staged = _fs(spark, staging)
-    if fs.exists(staged):
-        # left by an attempt of this batch that failed before publishing: never visible, redo it
-        fs.delete(staged, True)
+    done = published_leaf(spark, root, table, batch_id)
+    if done:
+        return spark.read.parquet(done).count()
     (events.select(*cols).sortWithinPartitions("_seq")
            .write.mode("errorifexists").parquet(staging))
     rows = spark.read.parquet(staging).count()  # footer metadata only
     if rows == 0:
         fs.delete(staged, True)
         return 0
-    leaf_parent = _path(spark, f"{root}/{table}/_extracted_day={day}/_watermark={watermark}")
-    fs.mkdirs(leaf_parent)
-    target = _path(spark, f"{root}/{table}/_extracted_day={day}/_watermark={watermark}"
-                          f"/_batch_id={batch_id}")
-    if not fs.rename(staged, target):
-        raise RuntimeError(f"publishing {staging} -> {target} failed")
+    target = f"{root}/{table}/_extracted_day={day}/_watermark={watermark}/_batch_id={batch_id}"
+    if not fs_rename_if_absent(spark, staging, target):
+        return spark.read.parquet(target).count()  # another run of this batch was faster
     return rows
 
 
@@ -157,25 +164,43 @@ def batch_history(bronze: DataFrame) -> DataFrame:
                   .withColumnRenamed("_load_type", "load_type"))
 
 
+def roll_back(spark: SparkSession, root: str, table: str, as_of_day: str) -> int | None:
+    """Remove the batches that landed after ``as_of_day`` and return the watermark that is left: the next
+    extraction resumes from it and sends again what has changed since."""
+    for b in published_batches(spark, root, table):
+        if b["extracted_day"] > as_of_day:
+            fs_delete(spark, f"{root}/{table}/_extracted_day={b['extracted_day']}/_watermark={b['watermark']}"
+                             f"/_batch_id={b['batch_id']}")
+    return current_watermark(spark, root, table)
+
+
 def extract_table(spark: SparkSession, log: DataFrame, source: DataFrame, root: str,
                   table: str, batch_id: str | None = None,
-                  extracted_at: dt.datetime | None = None) -> dict:
-    """One extraction run for one table (INIT, DELTA or NONE), published atomically."""
+                  extracted_at: dt.datetime | None = None, safe: bool = False,
+                  high: int | None = None) -> dict:
+    """One extraction run for one table (INIT, DELTA or NONE), published atomically.
+
+    ``safe`` also deletes keys that were created and removed inside the window but that bronze holds
+    as live (an earlier run read them after its high mark). ``high``: the log's high mark, if the
+    caller has read it, before any source.
+    """
     spec = TABLES[table]
     watermark = current_watermark(spark, root, table)
-    high = cdc.high_mark_value(log)            # read before the source is scanned
+    if high is None:
+        high = cdc.high_mark_value(log)            # read before the source is scanned
     batch_id = batch_id or new_batch_id()
     extracted_at = extracted_at or dt.datetime.now(dt.UTC)
     netted = None
-    if watermark is None:
-        load_type, events = "INIT", cdc.initial_events(source, spec, high)
+    load_type = cdc.load_mode(watermark, has_events=True)
+    if load_type == "INIT":
+        events = cdc.initial_events(source, spec, high)
     else:
-        load_type = "DELTA"
-        # the netted keys are read twice (size check, then the image lookup): keep them for the
+        # the netted keys are read twice (their count, then the image lookup): keep them for the
         # run instead of scanning the log window twice
         netted = cdc.net_change(cdc.log_window(log, table, watermark, high)).persist(
             StorageLevel.MEMORY_AND_DISK)
-        events = cdc.delta_events(netted, source, spec)
+        live = current_state(read_bronze(spark, root, table), spec.keys).select(*spec.keys) if safe else None
+        events = cdc.delta_events(netted, source, spec, live_keys=live)
     stamped = cdc.stamp_batch(events, load_type, batch_id, extracted_at)
     try:
         rows = publish_batch(spark, stamped, root, table, high, batch_id, extracted_at)
@@ -194,15 +219,17 @@ def extract_table(spark: SparkSession, log: DataFrame, source: DataFrame, root:
 
 def extract_all(spark: SparkSession, log: DataFrame, sources: dict[str, DataFrame], root: str,
                 batch_id: str | None = None, extracted_at: dt.datetime | None = None,
-                parallelism: int = 1) -> list[dict]:
-    """All tables in declared order under one batch id. Each table reads its own high mark, so
-    the runs are independent; ``parallelism > 1`` submits them as concurrent Spark jobs."""
+                parallelism: int = 1, safe: bool = False) -> list[dict]:
+    """All tables in declared order under one batch id. The log's high mark is read once, before
+    any source, so the runs are independent; ``parallelism > 1`` submits them as concurrent Spark
+    jobs."""
     from concurrent.futures import ThreadPoolExecutor
     batch_id = batch_id or new_batch_id()
     names = [t for t in TABLES if t in sources]
+    high = cdc.high_mark_value(log)
 
     def run(t: str) -> dict:
-        return extract_table(spark, log, sources[t], root, t, batch_id, extracted_at)
+        return extract_table(spark, log, sources[t], root, t, batch_id, extracted_at, safe, high)
 
     if parallelism <= 1:
         return [run(t) for t in names]

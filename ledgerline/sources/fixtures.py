@@ -10,13 +10,16 @@ The ``bz_*`` derivations are the bronze event tables of a demo lakehouse:
 * INIT batch (``_seq`` 0, extracted 2026-01-05 06:00) of every table,
 * ``bz_vbak``: INIT plus a DELTA batch with updates (``_seq`` 5) and deletes (``_seq`` 6),
 * ``bz_kna1``: INIT of the customer master, a DELTA batch replaying the ``events`` change
-  stream, and a second delivery of that same DELTA batch (an extraction re-run).
+  stream, and a second delivery of that same DELTA batch (an extraction re-run) in which some
+  events have another image.
+
+Rules that plant faults for the checks: customers of an unknown country, texts of a second client
+whose decoded ids collide, corrected headers and items, deleted orders whose items remain.
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
 import re
 import uuid
 from functools import lru_cache
@@ -49,7 +52,7 @@ FIXTURE_SQL: dict[str, str] = {
 select '100' as mandt,
   case when c_custkey % 50 = 0 then concat('IC-', cast(c_custkey as string)) else lpad(cast(c_custkey + 100000 as string), 10, '0') end as kunnr,
   c_name as name1,
-  case c_nationkey % 8 when 0 then 'PT' when 1 then 'ES' when 2 then 'DE' when 3 then 'FR' when 4 then 'GB' when 5 then 'US' when 6 then 'JP' else 'KW' end as land1,
+  case when c_custkey % 211 = 0 then 'XX' else case c_nationkey % 8 when 0 then 'PT' when 1 then 'ES' when 2 then 'DE' when 3 then 'FR' when 4 then 'GB' when 5 then 'US' when 6 then 'JP' else 'KW' end end as land1,
   c_mktsegment as ort01,
   case when c_custkey % 50 = 0 then '0005' else '0001' end as ktokd,
   replace(cast((date '1994-01-01' + cast(c_custkey % 300 as int)) as string), '-', '') as erdat,
@@ -72,7 +75,9 @@ select m.mandt, m.matnr, t.spras, concat(t.spras, ' ', t.p_name) as maktx
 from (select p_partkey, p_name, 'E' as spras from {part} where p_partkey % 5 <> 0
       union all select p_partkey, p_name, 'D' from {part} where p_partkey % 10 <> 0
       union all select p_partkey, p_name, 'P' from {part} where p_partkey % 20 <> 0) t
-join {fx_mara} m on m.matnr = case when t.p_partkey % 40 = 0 then concat('MAT-', cast(t.p_partkey as string)) else lpad(cast(t.p_partkey + 100000 as string), 18, '0') end""",
+join {fx_mara} m on m.matnr = case when t.p_partkey % 40 = 0 then concat('MAT-', cast(t.p_partkey as string)) else lpad(cast(t.p_partkey + 100000 as string), 18, '0') end
+union all
+select '200', lpad(cast(p_partkey + 100000 as string), 18, '0'), 'E', concat('second client ', p_name) from {part} where p_partkey % 50 = 7""",
     "fx_vbak": """
 select '100' as mandt,
   lpad(cast(o_orderkey + 10000000 as string), 10, '0') as vbeln,
@@ -132,7 +137,17 @@ select '100' as mandt, t.vbeln, case when t.vbeln >= '0095000000' then 'G2' else
 from (select vbeln, max(aubel) as aubel, cast(sum(case when netwr like '%-' then -1 * cast(replace(netwr, '-', '') as decimal(18,2)) else cast(netwr as decimal(18,2)) end) as decimal(18,2)) as amt from {fx_vbrp} r group by vbeln) t
 join {orders} o on lpad(cast(o.o_orderkey + 10000000 as string), 10, '0') = t.aubel""",
     "fx_tcurx": """
-select * from (values ('JPY', '0'), ('KWD', '3')) t(currkey, currdec)""",
+select distinct case o_custkey % 5 when 3 then 'JPY' else 'KWD' end as currkey, case o_custkey % 5 when 3 then '0' else '3' end as currdec
+from {orders} where o_custkey % 5 in (3, 4)
+union all
+select concat('S', lpad(cast(s_suppkey as string), 4, '0')), cast(s_suppkey % 5 as string)
+from {supplier} where s_suppkey < 10000""",  # five characters hold no more codes
+    # the price of each order item in the currency of its supplier
+    "fx_supplier_prices": """
+select l_orderkey, l_linenumber, case when l_suppkey < 10000 then concat('S', lpad(cast(l_suppkey as string), 4, '0')) else 'EUR' end as waerk,
+  cast(l_extendedprice as decimal(18,3)) as eur_price,
+  cast(1 + l_suppkey % 7 + cast(l_suppkey as decimal(18,6)) * 0.001237 as decimal(18,6)) as units_per_eur
+from {lineitem}""",
     "fx_delta_log": """
 select event_id + 1 as seq, 'KNA1' as tabname, rpad('100', 3, ' ') || rpad(lpad(cast(user_id + 100000 as string), 10, '0'), 10, ' ') as tabkey,
   case event_type when 'signup' then 'I' when 'error' then 'D' else 'U' end as op, ts as logged_at
@@ -204,7 +219,7 @@ select mandt, kunnr, name1, land1, ort01, ktokd, erdat, loevm,
   {_meta("_op", "_seq", "cast(_changed_at as $NTZ)", DELTA_BATCH)}
 from {{fx_kna1_events}}
 union all
-select mandt, kunnr, name1, land1, ort01, ktokd, erdat, loevm,
+select mandt, kunnr, name1, land1, case when _seq % 40 = 3 and _op <> 'D' then 'CITY_CORRECTED' else ort01 end, ktokd, erdat, loevm,
   {_meta("_op", "_seq", "cast(_changed_at as $NTZ)", REDELIVERY_BATCH)}
 from {{fx_kna1_events}}""",
 }
@@ -250,16 +265,23 @@ def fixture(spark: SparkSession, sf_dir: str, name: str,
     return memo[name]
 
 
-def _fingerprint(sf_dir: str) -> str:
-    """Changes whenever an input file or a derivation text changes."""
-    h = hashlib.sha1(sf_dir.encode())
-    for t in BASE_TABLES:
-        path = f"{sf_dir.rstrip('/')}/{t}.parquet"
-        if os.path.exists(path):
-            st = os.stat(path)
-            h.update(f"{t}:{st.st_size}:{st.st_mtime_ns}".encode())
-    for name in sorted(FIXTURE_SQL):
-        h.update(FIXTURE_SQL[name].encode())
+def _fingerprint(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Changes whenever a file that ``name`` is derived from, or a derivation's text, changes: names,
+    sizes and times from a listing of the inputs, on whatever file system they are."""
+    from ledgerline.sources.bronze import _fs
+    h = hashlib.sha1(f"{sf_dir}:{name}".encode())
+    inputs = {d for x in _closure(name) for d in dependencies(x) if d in BASE_TABLES}
+    for t in sorted(inputs):
+        fs, path = _fs(spark, f"{sf_dir.rstrip('/')}/{t}.parquet")
+        if fs.exists(path):
+            files = fs.listFiles(path, True)
+            found = []
+            while files.hasNext():
+                st = files.next()
+                found.append(f"{st.getPath().toString()}:{st.getLen()}:{st.getModificationTime()}")
+            h.update(f"{t}:{sorted(found)}".encode())
+    for x in _closure(name):
+        h.update(FIXTURE_SQL[x].encode())
     return h.hexdigest()[:16]
 
 
@@ -278,16 +300,16 @@ def materialize_bronze(spark: SparkSession, sf_dir: str, tables, rebuild: bool =
     from pyspark import StorageLevel
 
     from ledgerline.session import checkpoint_root
-    from ledgerline.sources.bronze import fs_delete, fs_rename_if_absent
-    root = f"{checkpoint_root(spark)}/ledgerline-bronze-{_fingerprint(sf_dir)}"
-    paths = {t: f"{root}/{t}" for t in tables}
-    todo = [t for t in tables
-            if rebuild or not (os.path.exists(f"{paths[t]}/_SUCCESS") or _remote_exists(spark, paths[t]))]
+    from ledgerline.sources.bronze import fs_delete, fs_exists, fs_rename_if_absent
+    root = f"{checkpoint_root(spark)}/ledgerline-bronze"
+    paths = {t: f"{root}/{t}-{_fingerprint(spark, sf_dir, f'bz_{t}')}" for t in tables}
+    todo = [t for t in tables if rebuild or not fs_exists(spark, f"{paths[t]}/_SUCCESS")]
     if not todo:
         return paths
     memo: dict[str, DataFrame] = {}
+    # worth keeping only where several of the tables need them
     shared = [fixture(spark, sf_dir, n, memo).persist(StorageLevel.MEMORY_AND_DISK)
-              for n in SHARED_DERIVATIONS]
+              for n in SHARED_DERIVATIONS if sum(n in _closure(f"bz_{t}") for t in todo) > 1]
     plans = {t: fixture(spark, sf_dir, f"bz_{t}", memo) for t in todo}
 
     def write(t: str) -> None:
@@ -306,13 +328,6 @@ def materialize_bronze(spark: SparkSession, sf_dir: str, tables, rebuild: bool =
     return paths
 
 
-def _remote_exists(spark: SparkSession, path: str) -> bool:
-    if path.startswith("/") or path.startswith("file:"):
-        return False
-    from ledgerline.sources.bronze import fs_exists
-    return fs_exists(spark, f"{path}/_SUCCESS")
-
-
 @lru_cache(maxsize=None)
 def _closure(name: str) -> tuple[str, ...]:
     """Derivations ``name`` depends on, in dependency order, ``name`` last."""
@@ -327,15 +342,68 @@ def _closure(name: str) -> tuple[str, ...]:
     return tuple(out)
 
 
-def duckdb_ctes(*names: str) -> str:
-    """``name AS (...)`` CTE definitions for DuckDB covering ``names`` and their inputs."""
+def duckdb_ctes(*names: str, source_only: bool = False) -> str:
+    """``name AS (...)`` CTE definitions for DuckDB covering ``names`` and their inputs. With
+    ``source_only`` each bronze table holds the source's rows and nothing else."""
+    texts = dict(FIXTURE_SQL)
+    if source_only:
+        texts |= {n: f"select *, {INIT_META} from {{fx_{n.removeprefix('bz_')}}}" for n in texts if n.startswith("bz_")}
     order: list[str] = []
+
+    def visit(name: str) -> None:
+        if name not in BASE_TABLES and name not in order:
+            for d in dict.fromkeys(_PLACEHOLDER.findall(texts[name])):
+                visit(d)
+            order.append(name)
+
     for n in names:
-        for x in _closure(n):
-            if x not in order:
-                order.append(x)
+        visit(n)
     parts = []
     for n in order:
-        body = _PLACEHOLDER.sub(lambda m: m.group(1), _typed(FIXTURE_SQL[n], "duckdb"))
+        body = _PLACEHOLDER.sub(lambda m: m.group(1), _typed(texts[n], "duckdb"))
         parts.append(f"{n} AS ({body.strip()}\n)")
     return ",\n".join(parts)
+
+
+def change_scenario(spark: SparkSession, sf_dir: str, folder: str) -> list[tuple[dict[str, DataFrame], DataFrame]]:
+    """Three moments of all ten source tables: (images by table, change log so far).
+
+    At first a tenth of the keys is missing, two tenths have an older image, and a tenth has a
+    phantom twin (of another client, or another currency). Then the missing keys come and half of
+    the older images change; at last the other half change and the phantoms go. What is left is
+    the source as derived. The log is written below ``folder`` and read back, so that its sequence
+    numbers are fixed.
+    """
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators.cdc import encode_tabkeys
+    from ledgerline.schemas import CHANGE_LOG_SCHEMA, TABLES
+
+    moments: list[dict[str, DataFrame]] = [{}, {}, {}]
+    logs: list[list[DataFrame]] = [[], []]
+    for table, spec in TABLES.items():
+        full = fixture(spark, sf_dir, f"fx_{table}").select(*spec.fields)
+        part = F.pmod(F.xxhash64(*spec.keys), F.lit(10))
+        value = spec.fields[-1]
+        old = full.withColumn(value, F.concat(F.lit("old "), F.col(value)))
+        twin = (full.filter(part == 3).withColumn("mandt", F.lit("300")) if "mandt" in spec.keys else
+                full.filter(part == 3).withColumn(spec.keys[0], F.concat(F.lit("X"), F.substring(F.col(spec.keys[0]), 2, 9))))
+        moments[0][table] = full.filter(~part.isin(0, 1, 2)).unionByName(old.filter(part.isin(1, 2))).unionByName(twin)
+        moments[1][table] = full.filter(part != 2).unionByName(old.filter(part == 2)).unionByName(twin)
+        moments[2][table] = full
+
+        def entries(rows: DataFrame, op: str, table: str = table, keys=spec.keys) -> DataFrame:
+            return encode_tabkeys(rows, keys).select(F.lit(table.upper()).alias("tabname"), "tabkey", F.lit(op).alias("op"))
+
+        logs[0] += [entries(full.filter(part == 0), "I"), entries(full.filter(part == 1), "U")]
+        logs[1] += [entries(full.filter(part == 2), "U"), entries(twin, "D")]
+    for k, parts in enumerate(logs):
+        log = parts[0]
+        for p in parts[1:]:
+            log = log.unionByName(p)
+        seq = F.monotonically_increasing_id() + F.lit(1 + (k << 52))
+        when = F.lit(f"2026-01-0{6 + k} 05:00:00").cast(CHANGE_LOG_SCHEMA["logged_at"].dataType)
+        (log.select(seq.alias("seq"), "tabname", "tabkey", "op", when.alias("logged_at"))
+            .write.parquet(f"{folder}/log/window={k}"))
+    read = [spark.read.schema(CHANGE_LOG_SCHEMA).parquet(*[f"{folder}/log/window={i}" for i in range(k)]) for k in (1, 2)]
+    return [(moments[0], read[0].limit(0)), (moments[1], read[0]), (moments[2], read[1])]

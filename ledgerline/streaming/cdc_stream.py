@@ -6,9 +6,12 @@ re-run over the same files is a no-op. Each micro-batch is one extraction window
 
 * ``foreachBatch`` nets the batch's log entries per key, looks up the current images in the
   source, classifies I/U/D and publishes the batch to bronze with one rename;
-* the batch id is derived from the stream's epoch, and an epoch whose batch is already
-  published is skipped, so a micro-batch replayed after a failure is not written twice
-  (at-least-once delivery becomes exactly-once in bronze);
+* the batch id is the stream's own id, kept in its checkpoint folder, and the epoch: an epoch that
+  is replayed after a failure finds its batch published and adds nothing (at-least-once delivery
+  becomes exactly-once in bronze), while another stream, or one that lost its checkpoint, has ids
+  of its own and never passes for it;
+* a table without a watermark is initialised first, from its current rows at the log's high mark;
+  entries up to that mark are in those rows and are not sent again;
 * the bronze watermark of a micro-batch is the highest sequence number it consumed.
 
 Late or re-delivered change-log entries need no event-time watermark: state is resolved by
@@ -18,6 +21,7 @@ sequence number downstream (current state and SCD2 both order by ``_seq`` and de
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -26,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.operators import cdc
+from ledgerline.operators.state import current_state
 from ledgerline.schemas import CHANGE_LOG_SCHEMA, TABLES
 from ledgerline.sources import bronze
 
@@ -39,25 +44,58 @@ def read_change_log(spark: SparkSession, log_dir: str, max_files_per_trigger: in
     return reader.parquet(log_dir)
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the stream with this checkpoint folder; made when the stream first starts."""
+    folder = f"{checkpoint}/stream-id"
+    fs, path = bronze._fs(spark, folder)
+    if not fs.exists(path):
+        # the id is a folder name, and the rename that publishes it happens once
+        staging = f"{checkpoint}/stream-id-{uuid.uuid4().hex[:12]}"
+        fs.mkdirs(bronze._path(spark, f"{staging}/{uuid.uuid4().hex[:12]}"))
+        bronze.fs_rename_if_absent(spark, staging, folder)
+    return fs.listStatus(path)[0].getPath().getName()
+
+
+def initialise(spark: SparkSession, log_dir: str, source: Callable[[], DataFrame], table: str,
+               bronze_root: str, batch_id: str, clock: Callable[[], dt.datetime]) -> int:
+    """INIT of a table without a watermark; returns the mark up to which the log is in its first batch.
+
+    The log's high mark is read before the source. Where the table was initialised before, by a
+    batch run or another stream, its lowest watermark is that mark.
+    """
+    done = bronze.published_batches(spark, bronze_root, table)
+    if done:
+        return min(b["watermark"] for b in done)
+    high = cdc.high_mark_value(spark.read.schema(CHANGE_LOG_SCHEMA).parquet(log_dir))
+    now = clock()
+    events = cdc.stamp_batch(cdc.initial_events(source(), TABLES[table], high), "INIT", batch_id, now)
+    # an empty source publishes nothing: the whole log is then sent
+    return high if bronze.publish_batch(spark, events, bronze_root, table, high, batch_id, now) else 0
+
+
 def extraction_batch(spark: SparkSession, source: Callable[[], DataFrame], table: str,
-                     bronze_root: str, clock: Callable[[], dt.datetime] | None = None):
-    """The ``foreachBatch`` function: one micro-batch = one DELTA extraction window."""
+                     bronze_root: str, stream: str, after: int = 0,
+                     clock: Callable[[], dt.datetime] | None = None, safe: bool = False):
+    """The ``foreachBatch`` function: one micro-batch = one DELTA extraction window over the log
+    entries above ``after``."""
     spec = TABLES[table]
     clock = clock or (lambda: dt.datetime.now(dt.UTC))
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        batch_id = f"stream-{epoch_id:08d}"
-        if any(b["batch_id"] == batch_id for b in bronze.published_batches(spark, bronze_root, table)):
+        batch_id = f"stream-{stream}-{epoch_id:08d}"
+        if bronze.published_leaf(spark, bronze_root, table, batch_id):
             return                                            # replayed epoch: already published
-        # the micro-batch is read several times (high mark, size check, lookup): read it once
-        window = batch.filter(F.col("tabname") == table.upper()).persist(
+        # the micro-batch is read several times (high mark, netting, lookup): read it once
+        window = batch.filter((F.col("tabname") == table.upper()) & (F.col("seq") > after)).persist(
             StorageLevel.MEMORY_AND_DISK)
         try:
             high = window.agg(F.max("seq").alias("h")).first()["h"]
             if high is None:
                 return
             netted = cdc.net_change(window)
-            events = cdc.delta_events(netted, source(), spec)
+            live = (current_state(bronze.read_bronze(spark, bronze_root, table), spec.keys).select(*spec.keys)
+                    if safe else None)
+            events = cdc.delta_events(netted, source(), spec, live_keys=live)
             extracted_at = clock()
             stamped = cdc.stamp_batch(events, "DELTA", batch_id, extracted_at)
             bronze.publish_batch(spark, stamped, bronze_root, table, int(high), batch_id,
@@ -71,12 +109,16 @@ def extraction_batch(spark: SparkSession, source: Callable[[], DataFrame], table
 def start_extraction(spark: SparkSession, log_dir: str, source: Callable[[], DataFrame],
                      table: str, bronze_root: str, checkpoint: str, available_now: bool = True,
                      processing_time: str | None = None,
-                     clock: Callable[[], dt.datetime] | None = None) -> StreamingQuery:
-    """Start the streaming extraction of ``table``. ``source`` returns the current image table
-    when called (re-read per micro-batch)."""
-    writer = (read_change_log(spark, log_dir).writeStream
-              .foreachBatch(extraction_batch(spark, source, table, bronze_root, clock))
-              .option("checkpointLocation", checkpoint))
+                     clock: Callable[[], dt.datetime] | None = None, safe: bool = False,
+                     max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Start the streaming extraction of ``table``, after its INIT if it has no watermark.
+    ``source`` returns the current image table when called (re-read per micro-batch)."""
+    stream = stream_id(spark, checkpoint)
+    now = clock or (lambda: dt.datetime.now(dt.UTC))
+    after = initialise(spark, log_dir, source, table, bronze_root, f"stream-{stream}-init", now)
+    writer = (read_change_log(spark, log_dir, max_files_per_trigger).writeStream
+              .foreachBatch(extraction_batch(spark, source, table, bronze_root, stream, after, now, safe))
+              .option("checkpointLocation", f"{checkpoint}/spark"))
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:

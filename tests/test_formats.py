@@ -54,7 +54,7 @@ def test_number_scale(spark):
     assert one(spark, fm.number("v", 2), "99.9-") == Decimal("-99.90")
 
 
-# the source's amount table: value <-> stored text per currency (TCURX: JPY 0, KWD 3)
+# fixed values that state the format: value <-> stored text per currency (JPY has 0 decimals, KWD 3)
 AMOUNTS = [
     (Decimal("99.90"), "EUR", "99.90"),
     (Decimal("15000"), "JPY", "150.00"),
@@ -101,3 +101,15 @@ def test_tabkey_roundtrip_and_no_truncation(spark):
     dec = fm.tabkey_decode(F.lit(keyed[0]["k"]), ["mandt", "vbeln", "posnr"])
     row = df.limit(1).select(*[dec[k].alias(k) for k in dec]).first()
     assert (row["mandt"], row["vbeln"], row["posnr"]) == ("100", "0010000001", "000010")
+
+
+@pytest.mark.parametrize(("decimals", "price"), [(0, "2"), (1, "1.5"), (2, "1.52"), (None, "1.52"), (3, "1.525"), (4, "1.5247"), (6, "1.524690")])
+def test_price_rounds_to_the_currencys_own_decimals(spark, decimals, price):
+    df = spark.createDataFrame([(Decimal("1.235"), Decimal("1.234567"), decimals)], "p decimal(18,3), r decimal(18,6), d int")
+    assert df.select(fm.price_in("p", "r", "d").alias("x")).first()["x"] == Decimal(price)
+
+
+def test_price_with_too_many_decimals_is_an_error(spark):
+    df = spark.createDataFrame([(Decimal("1"), Decimal("1"), 9)], "p decimal(18,3), r decimal(18,6), d int")
+    with pytest.raises(Exception, match="decimals"):
+        df.select(fm.price_in("p", "r", "d")).collect()

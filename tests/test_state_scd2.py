@@ -6,21 +6,23 @@ import datetime as dt
 import random
 from decimal import Decimal
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerline.operators.scd2 import scd2_history, scd2_versions, scd2_changes_single_window
+from ledgerline.operators.scd2 import change_hash, scd2_history, scd2_versions
 from ledgerline.operators.state import current_state, state_as_of
 from ledgerline.plans.lakehouse import Lakehouse
 from ledgerline.schemas import TABLES, bronze_schema
 
+# own rows for the written rules: newest event, deletes, ALPHA, blank dates, currency shift, trailing minus
 VBAK_ROWS = [
-    ("100", "0010000001", "20260901", "081500", "TA", "3000", "10", "00", "0000100001", "150.00", "JPY", "00000000", "A", "I", 1, "INIT"),
-    ("100", "0010000001", "20260901", "081500", "TA", "3000", "10", "00", "0000100001", "175.00", "JPY", "20260902", "A", "U", 5, "DELTA"),
-    ("100", "0010000002", "20260901", "090000", "TA", "1000", "10", "00", "0000100002", "10.00", "EUR", "00000000", "A", "I", 2, "INIT"),
-    ("100", "0010000002", None, None, None, None, None, None, None, None, None, None, None, "D", 6, "DELTA"),
-    ("100", "0010000003", "20260902", "100000", "SO", "1000", "10", "00", "IC-NORTH", "1250.50-", "EUR", "00000000", "C", "I", 3, "INIT"),
+    ("100", "0000000451", "20250310", "142233", "SO", "2000", "10", "00", "0000000777", "8.40", "JPY", "00000000", "B", "I", 11, "INIT"),
+    ("100", "0000000451", "20250310", "142233", "SO", "2000", "10", "00", "0000000777", "9.15", "JPY", "20250314", "B", "U", 19, "DELTA"),
+    ("100", "0000000452", "20250311", "070000", "TA", "1000", "10", "00", "0000000778", "61.00", "USD", "00000000", "A", "I", 12, "INIT"),
+    ("100", "0000000452", None, None, None, None, None, None, None, None, None, None, None, "D", 23, "DELTA"),
+    ("100", "0000000453", "20250312", "235959", "TA", "3000", "10", "00", "EXT-77", "36.25-", "KWD", "00000000", "C", "I", 13, "INIT"),
 ]
-LANDED = dt.datetime(2026, 9, 2, 12, 0)
+LANDED = dt.datetime(2025, 3, 15, 12, 0)
 
 
 def bronze_df(spark, table, rows):
@@ -39,12 +41,12 @@ def test_sales_orders_resolve_cdc_and_formats(spark):
     bronze = {"vbak": bronze_df(spark, "vbak", VBAK_ROWS), "tcurx": tcurx(spark)}
     lh = Lakehouse(spark, lambda t: bronze[t])
     rows = {r["order_id"]: r for r in lh.model("stg_sales_orders").collect()}
-    assert set(rows) == {"10000001", "10000003"}
-    a, c = rows["10000001"], rows["10000003"]
-    assert (a["customer_id"], a["net_value"], a["currency_code"]) == ("100001", Decimal("17500.000"), "JPY")
-    assert (a["created_on"], a["last_changed_on"]) == (dt.date(2026, 9, 1), dt.date(2026, 9, 2))
-    assert a["created_at"] == dt.datetime(2026, 9, 1, 8, 15)
-    assert (c["customer_id"], c["net_value"], c["last_changed_on"]) == ("IC-NORTH", Decimal("-1250.500"), None)
+    assert set(rows) == {"451", "453"}
+    a, c = rows["451"], rows["453"]
+    assert (a["customer_id"], a["net_value"], a["currency_code"]) == ("777", Decimal("915.000"), "JPY")
+    assert (a["created_on"], a["last_changed_on"]) == (dt.date(2025, 3, 10), dt.date(2025, 3, 14))
+    assert a["created_at"] == dt.datetime(2025, 3, 10, 14, 22, 33)
+    assert (c["customer_id"], c["net_value"], c["last_changed_on"]) == ("EXT-77", Decimal("-3.625"), None)
 
 
 def test_current_state_tie_break_and_as_of(spark):
@@ -60,12 +62,14 @@ def test_current_state_tie_break_and_as_of(spark):
     assert [r["erdat"] for r in as_of.collect()] == ["A"]
 
 
+# own rows: a move, an unchanged re-delivery, a name change, a delete
 SCD2_EVENTS = [
-    ("100001", "Atlantic Tools Lda.", "PT", "Porto", "I", 10, dt.datetime(2026, 1, 1)),
-    ("100001", "Atlantic Tools Lda.", "PT", "Braga", "U", 20, dt.datetime(2026, 3, 1, 9)),
-    ("100001", "Atlantic Tools Lda.", "PT", "Braga", "U", 30, dt.datetime(2026, 4, 1, 9)),
-    ("100002", "Alpine Supply GmbH", "DE", "Köln", "I", 10, dt.datetime(2026, 1, 5)),
-    ("100002", None, None, None, "D", 40, dt.datetime(2026, 5, 1, 12)),
+    ("9", "Werk Nord", "DE", "Kiel", "I", 3, dt.datetime(2024, 6, 1)),
+    ("9", "Werk Nord", "DE", "Emden", "U", 5, dt.datetime(2024, 7, 2, 8)),
+    ("9", "Werk Nord", "DE", "Emden", "U", 8, dt.datetime(2024, 7, 9, 8)),
+    ("9", "Werk Nordsee", "DE", "Emden", "U", 13, dt.datetime(2024, 8, 20)),
+    ("12", "Mills Ltd", "GB", "Leeds", "I", 4, dt.datetime(2024, 6, 3)),
+    ("12", None, None, None, "D", 21, dt.datetime(2024, 9, 30, 17)),
 ]
 SCD2_SCHEMA = ("customer_id string, customer_name string, country_code string, city string, "
                "_op string, _seq long, changed_at timestamp_ntz")
@@ -79,12 +83,33 @@ def test_customer_history_golden(spark):
         got = sorted((r["customer_id"], r["city"], r["valid_from"], r["valid_to"], r["is_current"])
                      for r in scd2_history(ev, "customer_id", TRACKED, bucket_width=width).collect())
         assert got == [
-            ("100001", "Braga", dt.datetime(2026, 3, 1, 9), None, True),
-            ("100001", "Porto", dt.datetime(2026, 1, 1), dt.datetime(2026, 3, 1, 9), False),
-            ("100002", "Köln", dt.datetime(2026, 1, 5), dt.datetime(2026, 5, 1, 12), False),
+            ("12", "Leeds", dt.datetime(2024, 6, 3), dt.datetime(2024, 9, 30, 17), False),
+            ("9", "Emden", dt.datetime(2024, 7, 2, 8), dt.datetime(2024, 8, 20), False),
+            ("9", "Emden", dt.datetime(2024, 8, 20), None, True),
+            ("9", "Kiel", dt.datetime(2024, 6, 1), dt.datetime(2024, 7, 2, 8), False),
         ], width
 
 
+def test_one_version_per_key_and_sequence(spark):
+    """Two images of one (key, seq): that of the later extraction holds, and keys stay unique."""
+    rows = [("1", "n", "PT", city, "U", 7, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, h))
+            for city, h in (("Faro", 9), ("Evora", 6), ("Braga", 3))]
+    ev = spark.createDataFrame(rows, SCD2_SCHEMA + ", _extracted_at timestamp").repartition(3)
+    got = scd2_history(ev, "customer_id", TRACKED).collect()
+    assert [r["city"] for r in got] == ["Faro"]
+
+
+def scd2_changes_single_window(events, key, tracked, op_col="_op"):
+    """Single-window formulation (one group per key): the brute-force check."""
+    cols = [key, *tracked, op_col, "_seq", "changed_at"]
+    ev = events.select(*cols).distinct().withColumn("__h", change_hash(op_col, tracked))
+    w = Window.partitionBy(key).orderBy("_seq")
+    return (ev.withColumn("__prev", F.lag("__h").over(w))
+              .filter(~F.col("__h").eqNullSafe(F.col("__prev")))
+              .withColumn("valid_to", F.lead("changed_at").over(w))
+              .select(*cols, F.col("changed_at").alias("valid_from"), "valid_to"))
+
+
 def test_bucketed_scd2_equals_single_window(spark):
     """Property: for random event streams (hot keys, duplicates, deletes) every bucket width
     gives the single-window result."""

@@ -54,3 +54,34 @@ def test_stream_append_is_exactly_once(spark, scratch):
     q.awaitTermination()
     assert spark.read.parquet(sink).count() == 100
     assert dt.date.today()
+
+
+def _extract(spark, log_dir, source, root, ckpt, **kw):
+    q = start_extraction(spark, log_dir, lambda: source, "kna1", root, ckpt, **kw)
+    q.awaitTermination()
+    assert q.exception() is None
+
+
+def test_two_streams_into_one_root_lose_nothing(spark, scratch):
+    root = f"{scratch}/bronze"
+    source = kna1_df(spark, [("0000000001", "a", "x"), ("0000000002", "b", "y"), ("0000000003", "c", "z")])
+    bronze.extract_table(spark, log_df(spark, []), kna1_df(spark, [("0000000009", "old", "x")]), root, "kna1")
+    log = log_df(spark, [("kna1", key("0000000001"), "I"), ("kna1", key("0000000002"), "I"), ("kna1", key("0000000003"), "I")])
+    log.filter("seq < 3").write.parquet(f"{scratch}/a")
+    log.filter("seq = 3").write.parquet(f"{scratch}/b")
+    _extract(spark, f"{scratch}/a", source, root, f"{scratch}/ckpt-a")
+    _extract(spark, f"{scratch}/b", source, root, f"{scratch}/ckpt-b")
+    _extract(spark, f"{scratch}/a", source, root, f"{scratch}/ckpt-a")
+    events = bronze.read_bronze(spark, root, "kna1").filter("_load_type = 'DELTA'")
+    assert sorted(r["_seq"] for r in events.collect()) == [1, 2, 3]
+
+
+def test_a_lost_checkpoint_sends_again_and_drops_nothing(spark, scratch):
+    root = f"{scratch}/bronze"
+    log_df(spark, []).write.parquet(f"{scratch}/log")
+    _extract(spark, f"{scratch}/log", kna1_df(spark, [("0000000001", "a", "x")]), root, f"{scratch}/one")
+    log_df(spark, [("kna1", key("0000000001"), "U")]).write.mode("append").parquet(f"{scratch}/log")
+    source = kna1_df(spark, [("0000000001", "b", "x")])
+    _extract(spark, f"{scratch}/log", source, root, f"{scratch}/two")
+    replayed = replay(bronze.read_bronze(spark, root, "kna1"), KNA1.keys, KNA1.fields)
+    assert table_diff(replayed, source).count() == 0
