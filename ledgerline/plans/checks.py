@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.formats import tabkey_encode
 from ledgerline.operators import quality
+from ledgerline.plans.silver import billing_headers, order_headers
 from ledgerline.schemas import GOLD_PRIMARY_KEYS, TABLES
 
 TOLERANCE = Decimal("0.01")
@@ -47,7 +48,7 @@ def overbilling(lh) -> DataFrame:
 def orphans(lh) -> DataFrame:
     """Delivery items whose order does not exist, and invoice items (F2) whose delivery does
     not exist, in the current state."""
-    orders = lh.model("stg_sales_orders").select("order_id")
+    orders = order_headers(lh).select("order_id")
     deliveries = lh.model("stg_deliveries").select("delivery_id")
     di = lh.model("stg_delivery_items")
     lost_orders = (di.join(orders, "order_id", "left_anti")
@@ -55,7 +56,7 @@ def orphans(lh) -> DataFrame:
                              F.col("delivery_id").alias("document_id"), "item_number",
                              F.col("order_id").alias("missing_reference")))
     bi = lh.model("stg_billing_items").alias("bi")
-    f2 = (lh.model("stg_billing_documents").filter(F.col("billing_type") == "F2")
+    f2 = (billing_headers(lh).filter(F.col("billing_type") == "F2")
           .select("billing_id").alias("h"))
     invoice_items = bi.join(f2, F.col("bi.billing_id") == F.col("h.billing_id"), "left_semi")
     lost_deliveries = (invoice_items.join(deliveries, F.col("reference_document_id")

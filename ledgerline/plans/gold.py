@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.operators.scd2 import scd2_history, scd2_versions
+from ledgerline.plans.silver import HEADER_COLUMNS, billing_items_with_headers, order_headers
 
 EUR = "decimal(18,2)"
 SUM_EUR = "decimal(38,2)"   # sums of EUR amounts before the contract cast
@@ -85,7 +86,7 @@ def dim_material(lh) -> DataFrame:
 
 def fct_sales_order_items(lh) -> DataFrame:
     items = lh.model("stg_sales_order_items").alias("i")
-    orders = lh.model("stg_sales_orders").alias("o")
+    orders = order_headers(lh).alias("o")
     j = (items.join(orders, F.col("i.order_id") == F.col("o.order_id"), "inner")
          .join(lh.seed("sap_order_types").alias("ot"),
                F.col("o.order_type_sap") == F.col("ot.order_type_sap"), "left")
@@ -115,25 +116,28 @@ def fct_sales_order_items(lh) -> DataFrame:
 
 
 def fct_billing_items(lh) -> DataFrame:
-    items = lh.model("stg_billing_items").alias("i")
-    headers = lh.model("stg_billing_documents").alias("h")
-    orders = lh.model("stg_sales_orders").select("order_id", "sales_org").alias("o")
-    j = (items.join(headers, F.col("i.billing_id") == F.col("h.billing_id"), "inner")
-         .filter(~F.col("h.is_cancelled"))
+    """One row per billing item of a document that is not cancelled. Items meet their header once."""
+    if lh.is_stored("stg_billing_items") and lh.is_stored("stg_billing_documents"):
+        headers = lh.model("stg_billing_documents").select("billing_id", *HEADER_COLUMNS)
+        items = lh.model("stg_billing_items").join(headers, "billing_id")
+    else:
+        items = billing_items_with_headers(lh).filter("has_header")
+    orders = order_headers(lh).select("order_id", "sales_org").alias("o")
+    j = (items.filter(~F.col("is_cancelled")).alias("i")
          .join(orders, F.col("i.order_id") == F.col("o.order_id"), "left")
          .join(lh.seed("sap_billing_types").alias("bt"),
-               F.col("h.billing_type") == F.col("bt.billing_type"), "left")
+               F.col("i.billing_type") == F.col("bt.billing_type"), "left")
          .join(lh.seed("fx_rates_to_eur").alias("fx"),
                F.col("i.currency_code") == F.col("fx.currency_code"), "left"))
     return j.select(
         _doc_key("i.billing_id", "i.item_number").alias("billing_item_key"),
         F.col("i.billing_id").alias("billing_id"),
         F.col("i.item_number").alias("item_number"),
-        F.col("h.billing_type").alias("billing_type"),
+        F.col("i.billing_type").alias("billing_type"),
         F.col("bt.billing_type_name").alias("billing_type_name"),
         F.col("bt.is_credit_memo").alias("is_credit_memo"),
-        F.col("h.billing_date").alias("billing_date"),
-        F.col("h.payer_id").alias("customer_id"),
+        F.col("i.billing_date").alias("billing_date"),
+        F.col("i.payer_id").alias("customer_id"),
         F.col("i.material_id").alias("material_id"),
         F.col("i.order_id").alias("order_id"),
         F.col("i.order_item_number").alias("order_item_number"),

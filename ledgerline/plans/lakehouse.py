@@ -23,6 +23,7 @@ class Lakehouse:
         self.spark = spark
         self._bronze_fn = bronze
         self._memo: dict[str, DataFrame] = {}
+        self._stored: set[str] = set()
         self.scd2_bucket_width = scd2_bucket_width
 
     # -- sources -------------------------------------------------------------------------------
@@ -70,6 +71,11 @@ class Lakehouse:
     def use_table(self, name: str, df: DataFrame) -> None:
         """From now on, ``model(name)`` is this DataFrame (e.g. the written gold table)."""
         self._memo[name] = df
+        self._stored.add(name)
+
+    def is_stored(self, name: str) -> bool:
+        """``model(name)`` is a written table, so reading it costs a scan and no joins."""
+        return name in self._stored
 
     def model(self, name: str) -> DataFrame:
         if name not in self._memo:

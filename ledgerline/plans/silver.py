@@ -89,9 +89,8 @@ def stg_material_texts(lh) -> DataFrame:
         *_meta())
 
 
-def stg_sales_orders(lh) -> DataFrame:
-    cur = with_amount(lh, _current(lh, "vbak"), "netwr", "waerk", "__net_value")
-    return cur.select(
+def _order_columns() -> list:
+    return [
         alpha_out("vbeln").alias("order_id"),
         dats("erdat").alias("created_on"),
         timestamp_of("erdat", "erzet").alias("created_at"),
@@ -100,11 +99,23 @@ def stg_sales_orders(lh) -> DataFrame:
         F.col("vtweg").alias("distribution_channel"),
         F.col("spart").alias("division"),
         alpha_out("kunnr").alias("customer_id"),
-        F.col("__net_value").alias("net_value"),
         F.col("waerk").alias("currency_code"),
         dats("aedat").alias("last_changed_on"),
         F.col("gbstk").alias("overall_status"),
-        *_meta())
+        *_meta()]
+
+
+def stg_sales_orders(lh) -> DataFrame:
+    cur = with_amount(lh, _current(lh, "vbak"), "netwr", "waerk", "net_value")
+    columns = _order_columns()
+    return cur.select(*columns[:8], "net_value", *columns[8:])
+
+
+def order_headers(lh) -> DataFrame:
+    """Current orders without their amount, so without a look at the currency table."""
+    if lh.is_stored("stg_sales_orders"):
+        return lh.model("stg_sales_orders").drop("net_value")
+    return _current(lh, "vbak").select(*_order_columns())
 
 
 def stg_sales_order_items(lh) -> DataFrame:
@@ -146,25 +157,39 @@ def stg_delivery_items(lh) -> DataFrame:
         *_meta())
 
 
-def stg_billing_documents(lh) -> DataFrame:
-    cur = with_amount(lh, _current(lh, "vbrk"), "netwr", "waerk", "__net_value")
-    return cur.select(
+def _billing_columns() -> list:
+    return [
         alpha_out("vbeln").alias("billing_id"),
         F.col("fkart").alias("billing_type"),
         dats("fkdat").alias("billing_date"),
         alpha_out("kunrg").alias("payer_id"),
-        F.col("__net_value").alias("net_value"),
         F.col("waerk").alias("currency_code"),
         flag("fksto").alias("is_cancelled"),
-        *_meta())
+        *_meta()]
 
 
-def stg_billing_items(lh) -> DataFrame:
-    """Billing items valued in their header's currency (items carry none). Headers include
-    cancelled documents; an item without a header keeps a null currency."""
+def stg_billing_documents(lh) -> DataFrame:
+    cur = with_amount(lh, _current(lh, "vbrk"), "netwr", "waerk", "net_value")
+    columns = _billing_columns()
+    return cur.select(*columns[:4], "net_value", *columns[4:])
+
+
+def billing_headers(lh) -> DataFrame:
+    """Current billing documents without their amount."""
+    if lh.is_stored("stg_billing_documents"):
+        return lh.model("stg_billing_documents").drop("net_value")
+    return _current(lh, "vbrk").select(*_billing_columns())
+
+
+HEADER_COLUMNS = ("billing_type", "billing_date", "payer_id", "is_cancelled")
+
+
+def billing_items_with_headers(lh) -> DataFrame:
+    """Billing items valued in their header's currency (items carry none), with HEADER_COLUMNS and
+    ``has_header``. Headers include cancelled documents; an item without one keeps a null currency."""
     items = _current(lh, "vbrp").withColumn("__billing_id", alpha_out("vbeln"))
-    headers = lh.model("stg_billing_documents").select(
-        F.col("billing_id").alias("__h_billing_id"), F.col("currency_code").alias("__h_currency"))
+    headers = billing_headers(lh).select(
+        F.col("billing_id").alias("__h_billing_id"), F.col("currency_code").alias("__h_currency"), *HEADER_COLUMNS)
     joined = items.join(headers, F.col("__billing_id") == F.col("__h_billing_id"), "left")
     valued = with_amount(lh, joined, "netwr", "__h_currency", "__net_value")
     return valued.select(
@@ -178,7 +203,18 @@ def stg_billing_items(lh) -> DataFrame:
         number("fkimg").alias("billed_quantity"),
         F.col("__net_value").alias("net_value"),
         F.col("__h_currency").alias("currency_code"),
-        *_meta())
+        *_meta(), *HEADER_COLUMNS, F.col("__h_billing_id").isNotNull().alias("has_header"))
+
+
+def stg_billing_items(lh) -> DataFrame:
+    return billing_items_with_headers(lh).drop(*HEADER_COLUMNS, "has_header")
+
+
+def billed_references(lh) -> DataFrame:
+    """``delivery_id`` of every current billing item's reference: no header, no amount."""
+    if lh.is_stored("stg_billing_items"):
+        return lh.model("stg_billing_items").select(F.col("reference_document_id").alias("delivery_id"))
+    return _current(lh, "vbrp").select(alpha_out("vgbel").alias("delivery_id"))
 
 
 SILVER_MODELS = (

@@ -11,6 +11,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.plans.silver import billed_references, order_headers
+
 
 def _day(day) -> F.Column:
     return F.lit(day).cast("date") if not isinstance(day, F.Column) else day
@@ -19,7 +21,7 @@ def _day(day) -> F.Column:
 def due_deliveries(lh, day) -> DataFrame:
     """Open orders whose lead time (1 + order number mod 4 days) has passed and that still have
     a non-rejected item: they get a delivery today."""
-    orders = lh.model("stg_sales_orders")
+    orders = order_headers(lh)
     lead = F.lit(1) + F.col("order_id").try_cast("long") % 4
     open_due = orders.filter((F.col("overall_status") == "A")
                              & (F.date_add(F.col("created_on"), lead.cast("int")) <= _day(day)))
@@ -38,8 +40,7 @@ def pending_goods_issue(lh, day) -> DataFrame:
 def due_billing(lh, day) -> DataFrame:
     """Deliveries with goods issue before ``day`` that no billing item references yet."""
     d = lh.model("stg_deliveries").filter(F.col("goods_issue_on") < _day(day))
-    billed = lh.model("stg_billing_items").select(
-        F.col("reference_document_id").alias("delivery_id")).filter(F.col("delivery_id").isNotNull())
+    billed = billed_references(lh).filter(F.col("delivery_id").isNotNull())
     return d.join(billed, "delivery_id", "left_anti").select(
         "delivery_id", "customer_id", "goods_issue_on")
 
@@ -47,17 +48,19 @@ def due_billing(lh, day) -> DataFrame:
 def invoice_proposal(lh, day) -> DataFrame:
     """One proposed invoice per due delivery: its items valued from their order items."""
     due = due_billing(lh, day).select("delivery_id", F.col("customer_id").alias("payer_id"))
-    di = lh.model("stg_delivery_items").join(due, "delivery_id", "left_semi").alias("di")
+    # the payer comes with the delivery, so deliveries are read once
+    di = lh.model("stg_delivery_items").join(due, "delivery_id").alias("di")
     oi = lh.model("stg_sales_order_items").select(
         "order_id", "item_number", "net_value", "currency_code").alias("oi")
     j = di.join(oi, (F.col("di.order_id") == F.col("oi.order_id"))
                 & (F.col("di.order_item_number") == F.col("oi.item_number")), "left")
     per = j.groupBy(F.col("di.delivery_id").alias("delivery_id")).agg(
         F.min("di.order_id").alias("order_id"),
+        F.min("di.payer_id").alias("payer_id"),
         F.count(F.lit(1)).alias("items"),
         F.sum("oi.net_value").cast("decimal(18,3)").alias("net_value"),
         F.min("oi.currency_code").alias("currency_code"))
-    return per.join(due, "delivery_id", "inner").select(
+    return per.select(
         "delivery_id", "order_id", "payer_id", F.col("items").cast("int").alias("items"),
         "net_value", "currency_code")
 
@@ -69,7 +72,7 @@ def order_rollup(lh) -> DataFrame:
         F.sum(F.when(~F.col("is_rejected"), F.col("net_value"))).alias("__value"),
         F.bool_and("is_rejected").alias("__all_rejected"),
         F.count(F.lit(1)).alias("__items"))
-    orders = lh.model("stg_sales_orders").select("order_id", "currency_code", "overall_status")
+    orders = order_headers(lh).select("order_id", "currency_code", "overall_status")
     j = orders.join(items, "order_id", "left")
     all_rej = F.coalesce(F.col("__all_rejected"), F.lit(True))
     return j.select(
@@ -82,7 +85,7 @@ def order_rollup(lh) -> DataFrame:
 
 def deletable_orders(lh, day) -> DataFrame:
     """Open orders created since yesterday that no delivery item references."""
-    orders = lh.model("stg_sales_orders").filter(
+    orders = order_headers(lh).filter(
         (F.col("overall_status") == "A") & (F.col("created_on") >= F.date_sub(_day(day), 1)))
     delivered = lh.model("stg_delivery_items").select("order_id")
     return orders.join(delivered, "order_id", "left_anti").select(

@@ -114,3 +114,13 @@ def test_query_matches_oracle(spark, duck, name):
     res = duck.execute(ORACLE_SQL[name])
     d_cols = [c[0] for c in res.description]
     assert _rows(sdf.columns, [tuple(r) for r in sdf.collect()]) == _rows(d_cols, res.fetchall())
+
+
+@pytest.mark.parametrize(("model", "table", "scans"), [
+    ("fct_billing_items", "vbrk", 1), ("fct_billing_items", "tcurx", 1), ("fct_billing_items", "vbak", 1),
+    ("fct_sales_order_items", "vbak", 1), ("fct_sales_order_items", "tcurx", 1), ("fct_order_fulfillment", "vbrk", 1),
+    ("fct_order_fulfillment", "likp", 1)])
+def test_sources_are_scanned_once(lh, model, table, scans):
+    plan = lh.model(model)._jdf.queryExecution().optimizedPlan().toString()
+    keyed = {"vbrk": "fksto#", "tcurx": "currdec#", "vbak": "vkorg#", "likp": "wadat_ist#"}[table]
+    assert sum(line.lstrip(" :+-").startswith("Relation") and keyed in line for line in plan.splitlines()) == scans
