@@ -46,7 +46,6 @@ def write_archives(pages: DataFrame, folder: str, min_revisit_bytes: int = 0, da
     than once are joined back; Spark broadcasts that list if it is small and shuffles it otherwise,
     so rows move only where duplicates abound.
     """
-    spark = pages.sparkSession
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumn("sha1", F.sha1("html"))  # a column of its own is made once
