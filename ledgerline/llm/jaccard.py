@@ -24,9 +24,12 @@ from pyspark.sql import functions as F
 from .common import blocks, staged
 from .lm import GOLDEN, mixed, words
 
-BUCKETS = 1 << 18
+BUCKETS = 1 << 19
 BLOCK = 512
 LEADERS = 8
+#: a pair whose bitmaps differ by this share of the limit is near beyond doubt; of others a member names so many a round
+SURE = 0.7
+NAMED = 8
 #: tables of this many narrow rows at most are broadcast, larger ones are shuffled
 SMALL_ROWS = 2_000_000
 
@@ -74,7 +77,7 @@ def shingle_hashes(texts: list[str | None], width: int) -> list[np.ndarray]:
 
 
 def frequency_levels(docs: DataFrame, width: int) -> np.ndarray:
-    """Level of each hash bucket: 0 up to the mean count, then one per factor 1.4. The table's size is fixed.
+    """Level of each hash bucket: 0 up to the mean count, then one per factor 1.2. The table's size is fixed.
 
     Prefixes prefer low levels, so that very frequent shingles hardly ever bring documents together;
     any table gives the same links.
@@ -93,7 +96,7 @@ def frequency_levels(docs: DataFrame, width: int) -> np.ndarray:
     sums = np.zeros(BUCKETS, np.int64)
     sums[found.column("bucket").to_numpy()] = found.column("n").to_numpy()
     mean = max(1.0, sums.mean())
-    return np.maximum(0, np.floor(np.log2(np.maximum(sums, 1) / mean) * 2)).astype(np.int8)
+    return np.maximum(0, np.floor(np.log2(np.maximum(sums, 1) / mean) * 4)).astype(np.int8)
 
 
 def parity_bitmap(members: np.ndarray) -> bytes:
@@ -103,12 +106,12 @@ def parity_bitmap(members: np.ndarray) -> bytes:
     return np.packbits(np.bincount(at, minlength=size) & 1, bitorder="little").tobytes()
 
 
-def folded(bits: int, have: int, want: int) -> int:
-    """A parity bitmap of ``have`` bits as one of ``want``: halves are added up."""
-    while have > want:
-        have >>= 1
-        bits = (bits >> have) ^ (bits & ((1 << have) - 1))
-    return bits
+def folded(bitmap: np.ndarray, words: int) -> np.ndarray:
+    """A parity bitmap as one of ``words`` 64-bit words: halves are added up."""
+    while len(bitmap) > words:
+        half = len(bitmap) // 2
+        bitmap = bitmap[:half] ^ bitmap[half:]
+    return bitmap
 
 
 def sketches(docs: DataFrame, levels: np.ndarray, rule: Rule) -> DataFrame:
@@ -155,51 +158,59 @@ def shared_postings(classes: DataFrame) -> DataFrame:
 
 
 def _pairs_of(rows: list[tuple], rule: Rule) -> list[tuple[int, int]]:
-    """Pairs of one block that may link and would connect components; each row: (place, cls, n, grp, bitmap, comp, failed, side)."""
-    if len({r[5] for r in rows}) < 2:
+    """Pairs of one block that may link and would connect components; each row: (place, cls, n, grp, bitmap, comp, failed, side).
+
+    Member by member: those it may still be connected with, by their groups' sizes and places, then by
+    bitmaps. Pairs that are near beyond doubt come first and join two components for the rest of the
+    block, so dense blocks are one component after a few members. Of pairs close to the limit, which
+    may fail, each member names a few at a time and joins nothing; the block is looked at again.
+    """
+    comp = np.unique(np.array([r[5] for r in rows], np.int64), return_inverse=True)[1]
+    if comp.max() == 0:
         return []
-    groups: dict[tuple[int, int], list[tuple]] = {}
-    for r in rows:
-        groups.setdefault((r[3], r[0]), []).append(r)
-    keys = list(groups)
-    place = np.array([k[1] for k in keys])
-    n = np.array([groups[k][0][2] for k in keys])
+    place, n = (np.array([r[k] for r in rows], np.int64) for k in (0, 2))
     # groups: sizes, and the most that sets can share if they meet at these places of their orders
-    small, large = np.minimum.outer(n, n), np.maximum.outer(n, n)
-    most = np.minimum.outer(place, place) + 1 + np.minimum.outer(n - place - 1, n - place - 1)
-    need = rule.overlap(np.add.outer(n, n))
-    near = np.triu((100 * small >= rule.percent * large) & (most >= need))
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while parent.setdefault(x, x) != x:
-            parent[x] = x = parent[parent[x]]
-        return x
-
-    bits: dict[int, tuple[int, int]] = {}
+    first, group = np.unique(np.array([(r[3], r[0]) for r in rows], np.int64), axis=0, return_index=True, return_inverse=True)[1:]
+    group = group.ravel()
+    gp, gn = place[first], n[first]
+    small, large = np.minimum.outer(gn, gn), np.maximum.outer(gn, gn)
+    most = np.minimum.outer(gp, gp) + 1 + np.minimum.outer(gn - gp - 1, gn - gp - 1)
+    need = rule.overlap(np.add.outer(gn, gn))
+    near = (100 * small >= rule.percent * large) & (most >= need)
+    side = np.array([r[7] for r in rows])
+    index = {r[1]: k for k, r in enumerate(rows)}
+    bitmaps = [np.frombuffer(r[4], np.uint64) for r in rows]
+    words = np.array([len(b) for b in bitmaps])
+    stacked: dict[int, np.ndarray] = {}
     out: list[tuple[int, int]] = []
-    for i, j in zip(*np.nonzero(near), strict=True):
-        first, second = groups[keys[i]], groups[keys[j]]
-        limit = int(n[i] + n[j] - 2 * need[i, j])  # linked sets differ in no more members
-        for a, x in enumerate(first):
-            for y in second[a + 1:] if i == j else second:
-                if x[5] == y[5] or (x[7] == y[7] and x[7] >= 0) or y[1] in x[6] or x[1] in y[6]:
-                    continue
-                if root(x[5]) == root(y[5]):
-                    continue
-                for r in (x, y):
-                    if r[1] not in bits:
-                        bits[r[1]] = (int.from_bytes(r[4], "little"), 8 * len(r[4]))
-                (bx, sx), (by, sy) = bits[x[1]], bits[y[1]]
-                size = min(sx, sy)
-                if (folded(bx, sx, size) ^ folded(by, sy, size)).bit_count() <= limit:
-                    parent[root(x[5])] = root(y[5])
-                    out.append((min(x[1], y[1]), max(x[1], y[1])))
+    for sure in (True, False):
+        for i, row in enumerate(rows[:-1]):
+            open_ = near[group[i]][group] & (comp != comp[i]) & ((side != side[i]) | (side[i] < 0))
+            open_[:i + 1] = False
+            for missed in row[6]:
+                if missed in index:
+                    open_[index[missed]] = False
+            js = np.flatnonzero(open_)
+            named = 0
+            for size in np.unique(np.minimum(words[js], words[i])).tolist() if len(js) else []:
+                if size not in stacked:
+                    stacked[size] = np.stack([folded(b, size) if len(b) >= size else np.zeros(size, np.uint64) for b in bitmaps])
+                these = js[np.minimum(words[js], words[i]) == size]
+                apart = np.bitwise_count(stacked[size][these] ^ stacked[size][i]).sum(1, dtype=np.int64)
+                # linked sets differ in no more members
+                limit = n[these] + n[i] - 2 * need[group[i]][group[these]]
+                for j in these[apart <= limit * SURE if sure else apart <= limit].tolist():
+                    if comp[j] != comp[i] and row[1] not in rows[j][6] and named < NAMED:
+                        out.append((min(row[1], rows[j][1]), max(row[1], rows[j][1])))
+                        if sure:
+                            comp[comp == comp[j]] = comp[i]
+                        else:
+                            named += 1
     return out
 
 
 def candidate_pairs(postings: DataFrame, classes: DataFrame, labels: DataFrame, failed: DataFrame, rule: Rule, full: bool) -> DataFrame:
-    """a, b: pairs that may link, not yet verified, that would connect components; a forest within each block.
+    """shingle, a, b: pairs that may link, not yet verified, that would connect components; a forest within each block.
 
     Lists longer than BLOCK are dealt into blocks. Not ``full``: each block by itself, with a few
     leaders of its list, which costs no more than the list is long. ``full``: each pair of blocks,
@@ -242,7 +253,8 @@ def candidate_pairs(postings: DataFrame, classes: DataFrame, labels: DataFrame,
 
         def done() -> pa.RecordBatch:
             pairs = _pairs_of(held, rule)
-            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
+            columns = [[key[0]] * len(pairs), [p[0] for p in pairs], [p[1] for p in pairs]]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["shingle", "a", "b"])
 
         for batch in batches:
             listed = [batch.column(c).to_pylist() for c in ("shingle", "block", "block_b", "place", "cls", "n", "grp", "bitmap", "comp",
@@ -256,7 +268,7 @@ def candidate_pairs(postings: DataFrame, classes: DataFrame, labels: DataFrame,
         if held:
             yield done()
 
-    return dealt.drop("task").mapInArrow(run, "a long, b long").distinct()
+    return dealt.drop("task").mapInArrow(run, "shingle long, a long, b long")
 
 
 def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
@@ -335,13 +347,20 @@ def components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     failed = docs.sparkSession.createDataFrame([], "a long, b long")
     full = False
     while True:
-        pairs = staged(candidate_pairs(postings, classes, labels, failed, rule, full), "pairs")
+        found = staged(candidate_pairs(postings, classes, labels, failed, rule, full), "found")
+        pairs = staged(found.select("a", "b").distinct(), "pairs")
         if pairs.limit(1).count():
             done = staged(verify(pairs, classes, docs, rule), "verified")
             labels = connect(labels, done.filter("linked"))
             failed = staged(failed.unionByName(done.filter("not linked").select("a", "b")), "failed")
-        elif full:
+        # a list that yielded no pair has none left, now or later; long ones were not looked at in full yet
+        left = found.select("shingle")
+        if not full:
+            left = left.unionByName(postings.filter(F.col("size") > BLOCK).select("shingle"))
+        left = staged(left.distinct(), "left")
+        if not left.limit(1).count():
             break
+        postings = staged(postings.join(_small(left), "shingle", "left_semi"), "lists-left")
         full = True
     least = classes.join(labels, "cls").groupBy("comp").agg(F.min("rep").alias("component_id"))
     named = labels.join(least, "comp").select("cls", "component_id")
