@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: The classifier is fitted on about this many labelled rows, taken by a hash of doc_id; nothing else is bounded.
-TRAIN_ROWS = 8000
+TRAIN_ROWS = 6000
 SEGMENT = 128
 MAX_SEGMENTS = 4000
 STEPS = 150
@@ -123,21 +123,30 @@ def _forms(word: bytes) -> list[bytes]:
 
 def find_evidence(rows: Sequence[tuple[list[bytes], int]]) -> dict[bytes, int]:
     """Words and beginnings that chance does not explain in toxic documents, by bucket of their log odds; near copies count once."""
-    counts: tuple[Counter[bytes], Counter[bytes]] = (Counter(), Counter())
     documents = [0, 0]
+    kept: tuple[list[list[bytes]], list[list[bytes]]] = ([], [])
     seen: set[tuple[int, int]] = set()
     for words, label in rows:
         if (key := (_once(words), label)) not in seen:
             seen.add(key)
-            counts[label].update({f for w in set(words) for f in _forms(w)})
+            kept[label].append(words)
             documents[label] += 1
     if not all(documents):
         return {}
+    toxic: Counter[bytes] = Counter()
+    for words in kept[1]:
+        toxic.update({f for w in set(words) for f in _forms(w)})
     share = documents[1] / sum(documents)
-    limit = CHANCE / max(1, len(counts[0].keys() | counts[1].keys()))
-    odds = {w: math.log((n + 0.5) / (documents[1] + 1)) - math.log((counts[0][w] + 0.5) / (documents[0] + 1))
-            for w, n in counts[1].items() if n > 2 and _tail(n, n + counts[0][w], share) < limit}
-    return {w: 1 + min(BUCKETS - 1, max(0, int(x))) for w, x in odds.items()}
+    limit = CHANCE / max(1, len(toxic))
+    # other documents are counted for these forms only
+    often = {f: n for f, n in toxic.items() if n > 2}
+    del toxic
+    others: Counter[bytes] = Counter()
+    for words in kept[0]:
+        others.update({f for w in set(words) for f in _forms(w) if f in often})
+    odds = {f: math.log((n + 0.5) / (documents[1] + 1)) - math.log((others[f] + 0.5) / (documents[0] + 1))
+            for f, n in often.items() if _tail(n, n + others[f], share) < limit}
+    return {f: 1 + min(BUCKETS - 1, max(0, int(x))) for f, x in odds.items()}
 
 
 class Buckets(dict):
@@ -160,7 +169,8 @@ def _buckets(words: list[bytes], known: Buckets) -> np.ndarray:
 
 def train(rows: Sequence[tuple[str, int]]) -> Model:
     """Model from (text, label 0 or 1) rows. With no usable label all texts score the share of toxic rows."""
-    split = [(tokens(text), label) for text, label in rows]
+    same: dict[bytes, bytes] = {}  # one object for each word
+    split = [([same.setdefault(w, w) for w in tokens(text)], label) for text, label in rows]
     evidence = find_evidence(split)
     known = Buckets(evidence)
     quiet = [b[i:i + SEGMENT] for words, _ in split for b in [_buckets(words, known)] for i in range(0, len(b), SEGMENT)]
