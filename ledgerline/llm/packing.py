@@ -17,20 +17,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .bpe import Kept
-from .common import per_process, staged
+from .common import blocks, per_process, staged
 
 CAPACITY = 4096
 END = b"\x01\x00\x00\x00"  # id 1 ends each document
 PART_ROWS = 1 << 20
+KEPT_WORDS = 1_000_000
+CALL_WORDS = 256
+BLOCK_BYTES = 1 << 20
 
 
 class WordIds:
     """Ids of whole texts by the tokenizers file at ``path``, whose words never reach across white space.
 
-    The library encodes each distinct word once while it is kept: ids of a text are the ids of its
-    words, joined. The file lower-cases, so A-Z are lowered first, and a full stop or comma after a
-    letter is a word of its own.
+    The library encodes each distinct word once while it is kept, many in one call with a special
+    token between them: ids of a text are the ids of its words, joined. The file lower-cases, so A-Z
+    are lowered first, and a full stop or comma after a letter is a word of its own.
     """
 
     def __init__(self, path: str) -> None:
@@ -39,19 +41,40 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.words = Kept(self._word)
-
-    def _word(self, word: bytes) -> bytes:
-        if len(word) > 1 and word[-1:] in b",." and word[-2:-1].isalpha():
-            return self.words[word[:-1]] + self.words[word[-1:]]
-        return np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-
-    def packed(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        raw = text.encode()
-        # special tokens are found before lower-casing
-        words = [w if b"<|" in w else w.lower() for w in raw.split()] if b"<|" in raw else raw.lower().split()
-        return b"".join(map(self.words.__getitem__, words))
+        special = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items() if not (t.lstrip or t.rstrip or t.single_word)}
+        self.cut, self.cut_text = min(special.items()) if special else (None, "")
+        self.ids: dict[bytes, bytes] = {}
+
+    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, missing: set[bytes]) -> None:
+        ended = {w for w in missing if len(w) > 1 and w[-1:] in b",." and w[-2:-1].isalpha()}
+        new = [w for w in {*(missing - ended), *(w[:-1] for w in ended), b",", b"."} if w not in self.ids]
+        alone = [w for w in new if self.cut is None or b"<|" in w]  # may hold a special token
+        joined = [w for w in new if self.cut is not None and b"<|" not in w]
+        for w, ids in zip(alone, self._encoded([w.decode() for w in alone]), strict=True):
+            self.ids[w] = ids.tobytes()
+        for at in range(0, len(joined), CALL_WORDS):
+            part = joined[at:at + CALL_WORDS]
+            ids = self._encoded([self.cut_text.join(w.decode() for w in part)])[0]
+            ends = [-1, *np.flatnonzero(ids == self.cut).tolist(), len(ids)]
+            for w, a, b in zip(part, ends[:-1], ends[1:], strict=True):
+                self.ids[w] = ids[a + 1:b].tobytes()
+        for w in ended:
+            self.ids[w] = self.ids[w[:-1]] + self.ids[w[-1:]]
+
+    def packed(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        if len(self.ids) > KEPT_WORDS:
+            self.ids.clear()
+        split = []
+        for text in texts:
+            raw = text.encode()
+            # special tokens are found before lower-casing
+            split.append([w if b"<|" in w else w.lower() for w in raw.split()] if b"<|" in raw else raw.lower().split())
+        self._learn(set().union(*split).difference(self.ids))
+        return [b"".join(map(self.ids.__getitem__, words)) for words in split]
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
@@ -60,10 +83,10 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: WordIds = per_process(("words", path), lambda: WordIds(path))
         step = 4 * capacity
-        for batch in batches:
+        for batch in (part for whole in batches for part in blocks(whole, 1, BLOCK_BYTES)):
             rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = words.packed(text.as_py() or "") + END
+            for doc, packed in zip(batch.column(0).to_pylist(), words.packed([x or "" for x in batch.column(1).to_pylist()]), strict=True):
+                ids = packed + END
                 rows += [(doc, k, at // 4, (min(at + step, len(ids)) - at) // 4, zlib.crc32(ids[at:at + step]))
                          for k, at in enumerate(range(0, len(ids), step))]
             columns = list(zip(*rows, strict=True)) or [()] * 5
