@@ -3,7 +3,12 @@
 References are histograms per language over all its documents: the median share of each character
 class, which junk in the corpus does not shift, and the summed counts of common words. A document is judged by the Jensen-Shannon distance of its own histograms to the
 nearest reference: junk such as tables, symbol noise, shouting or one word over and over lies far
-from every language. Guards leave texts that are too short for a histogram to the length rule.
+from every language. Guards leave texts that are too short for a histogram to the length rule, and
+documents of a language with too little text for a reference as well.
+
+Every language with enough text has a reference, however small it is beside the others. Those of
+large languages are broadcast and each document is compared with all of them; those of the others
+are joined to their own documents by language.
 """
 
 from __future__ import annotations
@@ -13,16 +18,22 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .common import staged
+
 SYMBOLS = "#*$%&|<>"
 COMMON = 200
-#: languages with a smaller share of all documents have no reference, so there are at most 1000 references
+#: documents and words that a language needs for a reference
+MIN_DOCUMENTS, MIN_WORDS = 10, 2000
+#: the references of languages with this share of all documents, at most 1000, are compared with every document; this bounds the broadcast
 MIN_SHARE = 0.001
 FLUSH = 400_000
+FLUSH_LANGS = 2000
 STEPS = 256
 
 # character classes by UTF-8 byte. Digits belong to no language and count for nothing, nor do bytes
@@ -81,13 +92,25 @@ def base_counts(text: str) -> tuple[int, int, int, int, int]:
     return (len(words), len(text) - spaces, sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines)), repeat)
 
 
-def references(docs: DataFrame, common: int = COMMON) -> tuple[list[str], dict[bytes, int], np.ndarray, np.ndarray]:
-    """Languages, index of common words, and per language the shares of classes and of common words (last: all others).
+@dataclass(frozen=True)
+class References:
+    """Of large languages: names, index of common words, shares of classes and of common words (last: all others).
 
-    Counts are over all documents; tasks add up before they shuffle, and only the ``common`` most
-    frequent words of each language reach the driver.
+    ``others``: lang, classes, words, shares of each further language with a reference, or None if
+    every document is of a large language.
     """
 
+    langs: list[str]
+    index: dict[bytes, int]
+    classes: np.ndarray
+    words: np.ndarray
+    others: DataFrame | None
+
+
+def references(docs: DataFrame, common: int = COMMON) -> References:
+    """Counts are over all documents; tasks add up before they shuffle, and only the ``common`` most frequent
+    words of each large language reach the driver."""
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, Counter[bytes]] = {}
         shares: dict[str, np.ndarray] = {}
@@ -113,34 +136,65 @@ def references(docs: DataFrame, common: int = COMMON) -> tuple[list[str], dict[b
                 # how many documents have each share of each class, in steps of the root of the share
                 steps = (np.sqrt(_shares(class_histogram(raw))) * (STEPS - 1)).astype(int)
                 shares[lang][np.arange(KINDS) * STEPS + steps] += 1
-                if sum(map(len, counts.values())) > FLUSH:
+                if len(shares) > FLUSH_LANGS or sum(map(len, counts.values())) > FLUSH:
                     yield rows()
         yield rows()
 
-    sums = (docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), F.col("text").cast("string").alias("text"))
+    sums = (docs.select(_lang(F.col("lang")).alias("lang"), F.col("text").cast("string").alias("text"))
             .mapInArrow(count, "lang string, kind int, word string, n long").groupBy("lang", "kind", "word").agg(F.sum("n").alias("n")))
     order = F.row_number().over(W.partitionBy("lang", "kind").orderBy(F.desc("n"), "word"))
-    found = (sums.withColumn("place", order).filter((F.col("kind") == 0) | (F.col("place") <= common)).drop("place")
-             .unionByName(sums.filter("kind = 1").groupBy("lang").agg(F.sum("n").alias("n"))
-                          .select("lang", F.lit(2).alias("kind"), F.lit("").alias("word"), "n"))).collect()
-    shares = {x: np.zeros((KINDS, STEPS)) for x in {r.lang for r in found}}
-    for r in found:
-        if r.kind == 0:
-            shares[r.lang].flat[int(r.word)] = r.n
-    documents = {x: h[0].sum() for x, h in shares.items()}
-    langs = sorted(x for x, n in documents.items() if n >= MIN_SHARE * sum(documents.values()))
-    index = {w: i for i, w in enumerate(sorted({r.word.encode() for r in found if r.kind == 1 and r.lang in langs}))}
-    # medians, then made to sum to 1
-    middle = [(shares[x].cumsum(1) * 2 >= documents[x]).argmax(1) for x in langs]
-    classes = ((np.array(middle).reshape(-1, KINDS) + 0.5) / STEPS) ** 2
-    classes /= classes.sum(1, keepdims=True)
+    found = staged(sums.withColumn("place", order).filter((F.col("kind") == 0) | (F.col("place") <= common)).drop("place")
+                   .unionByName(sums.filter("kind = 1").groupBy("lang").agg(F.sum("n").alias("n"))
+                                .select("lang", F.lit(2).alias("kind"), F.lit("").alias("word"), "n")), "references")
+    # every document is in the histogram of the first class once
+    sizes = found.groupBy("lang").agg(F.sum(F.expr(f"if(kind = 0 and int(word) < {STEPS}, n, 0)")).alias("documents"),
+                                      F.sum(F.expr("if(kind = 2, n, 0)")).alias("words"))
+    total = sizes.agg(F.coalesce(F.sum("documents"), F.lit(0))).first()[0]
+    enough = sizes.filter((F.col("documents") >= MIN_DOCUMENTS) & (F.col("words") >= MIN_WORDS))
+    large = {r.lang: r.documents for r in enough.filter(F.col("documents") >= MIN_SHARE * total).collect()}
+    langs = sorted(large)
+    rows: dict[str, list[tuple[int, str, int]]] = {x: [] for x in langs}
+    for r in found.filter(F.col("lang").isin(langs)).collect():
+        rows[r.lang].append((r.kind, r.word, r.n))
+    parts = [_reference(rows[x]) for x in langs]
+    index = {w: i for i, w in enumerate(sorted({w for _, own, _ in parts for w in own}))}
+    classes = np.array([c for c, _, _ in parts]).reshape(-1, KINDS)
     words = np.zeros((len(langs), len(index) + 1))
-    at = {x: i for i, x in enumerate(langs)}
-    for r in found:
-        if r.lang in at and r.kind:
-            words[at[r.lang], index[r.word.encode()] if r.kind == 1 else -1] += r.n
-    words[:, -1] -= words[:, :-1].sum(1)
-    return langs, index, classes, _shares(words)
+    for i, (_, own, shares) in enumerate(parts):
+        words[i, [index[w] for w in own] + [-1]] = shares
+    others = None
+    if sum(large.values()) < total:
+        small = found.join(enough.filter(~F.col("lang").isin(langs)).select("lang"), "lang", "left_semi")
+        others = staged(small.groupBy("lang").applyInPandas(_one_reference, "lang string, classes array<double>, words array<string>,"
+                                                                            "shares array<double>"), "small-references")
+    return References(langs, index, classes, words, others)
+
+
+def _lang(lang: Column) -> Column:
+    return F.coalesce(lang.cast("string"), F.lit(""))
+
+
+def _reference(rows: list[tuple[int, str, int]]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """Shares of classes, common words, and their shares (last: all other words) from the rows (kind, word, n) of a language."""
+    steps = np.zeros((KINDS, STEPS))
+    common: dict[bytes, int] = {}
+    every = 0
+    for kind, word, n in rows:
+        if kind == 0:
+            steps.flat[int(word)] = n
+        elif kind == 1:
+            common[word.encode()] = common.get(word.encode(), 0) + n
+        else:
+            every = n
+    # medians, then made to sum to 1
+    classes = (((steps.cumsum(1) * 2 >= steps[0].sum()).argmax(1) + 0.5) / STEPS) ** 2
+    counts = np.array([*common.values(), every - sum(common.values())], float)
+    return classes / classes.sum(), list(common), _shares(counts)
+
+
+def _one_reference(rows: pd.DataFrame) -> pd.DataFrame:
+    classes, words, shares = _reference(list(zip(rows["kind"], rows["word"], rows["n"], strict=True)))
+    return pd.DataFrame({"lang": rows["lang"].iloc[:1], "classes": [classes], "words": [[w.decode() for w in words]], "shares": [shares]})
 
 
 def _shares(counts: np.ndarray) -> np.ndarray:
@@ -164,12 +218,12 @@ def judge(docs: DataFrame, rules: Rules = Rules(), common: int = COMMON, carry:
     doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept,
     class_distance, word_distance, then the columns in ``carry``, named ``in_<name>``. A null text is empty: it has no
     words and fails the length rule. A null lang is a language of its own. A distance is null where
-    the text is below its guard, or no language has a reference. Repeated rows each count and are all
+    the text is below its guard, or its language has no reference. Repeated rows each count and are all
     returned; an empty table gives no rows.
     """
-    langs, index, classes, words = references(docs, common)
-    shared = docs.sparkSession.sparkContext.broadcast((index, classes, words))  # <= 1000 languages x common words
-    del langs
+    known = references(docs, common)
+    # <= 1000 languages x common words
+    shared = docs.sparkSession.sparkContext.broadcast((known.index, known.classes, known.words))
     fixed = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean,"
              "kept boolean, class_distance double, word_distance double")
     kinds = [*[pa.int64()] * 6, pa.bool_(), pa.bool_(), pa.float64(), pa.float64()]
@@ -178,28 +232,57 @@ def judge(docs: DataFrame, rules: Rules = Rules(), common: int = COMMON, carry:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, classes, words = shared.value
         every = np.arange(KINDS)
-        other = len(index)
+        owns: dict[str, tuple[np.ndarray, dict[bytes, int], np.ndarray]] = {}
+
+        def own(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, dict[bytes, int], np.ndarray] | None:
+            """The joined reference of a small language, if it has one."""
+            if not batch.column("classes")[i].is_valid:
+                return None
+            lang = batch.column("lang")[i].as_py()
+            if lang not in owns:
+                if len(owns) >= FLUSH_LANGS:
+                    owns.clear()
+                one, common, shares = (batch.column(c)[i].as_py() for c in ("classes", "words", "shares"))
+                owns[lang] = np.array([one]), {w.encode(): k for k, w in enumerate(common)}, np.array([shares])
+            return owns[lang]
+
+        def word_distance(tokens: list[bytes], index: dict[bytes, int], words: np.ndarray) -> float:
+            other = len(index)
+            bins, counts = np.unique(np.fromiter((index.get(w, other) for w in tokens), np.int64, len(tokens)), return_counts=True)
+            return distance(counts, bins, words)
+
         for batch in batches:
             out = []
-            for doc, cell in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            joined = "classes" in batch.schema.names
+            for i, (doc, cell) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1), strict=True)):
                 text = cell.as_py() or ""
                 n, chars, symbols, lines, repeat = base_counts(text)
                 failed = n < rules.min_words or 100 * repeat > rules.max_repeat_percent * n
                 by_class = by_word = None
                 raw = text.encode()
-                if len(classes) and chars >= rules.min_class_chars:
-                    by_class = distance(class_histogram(raw), every, classes)
+                mine = own(batch, i) if joined else None
+                refs = [(classes, index, words)] * (len(classes) > 0) + [mine] * joined if mine or not joined else []
+                if refs and chars >= rules.min_class_chars:
+                    by_class = min(distance(class_histogram(raw), every, c) for c, _, _ in refs)
                 tokens = raw.translate(LETTERS).split()
-                if len(words) and len(tokens) >= rules.min_word_words:
-                    bins, counts = np.unique(np.fromiter((index.get(w, other) for w in tokens), np.int64, len(tokens)), return_counts=True)
-                    by_word = distance(counts, bins, words)
+                if refs and len(tokens) >= rules.min_word_words:
+                    by_word = min(word_distance(tokens, x, w) for _, x, w in refs)
                 far = (by_class or 0) > rules.max_class_distance or (by_word or 0) > rules.max_word_distance
                 out.append((doc, n, chars, symbols, lines, repeat, failed, not failed and not far, by_class, by_word))
             columns = list(zip(*out, strict=True)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(columns, kinds, strict=True)),
-                                              *batch.columns[2:]], names=[*names, *(f"in_{c}" for c in carry)])
+                                              *batch.columns[2:2 + len(carry)]], names=[*names, *(f"in_{c}" for c in carry)])
+
+    def rows(part: DataFrame) -> DataFrame:
+        return part.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                           *[F.col(f"`{c}`").alias(f"in_{c}") for c in carry], _lang(F.col("lang")).alias("lang"))
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-                       *[F.col(f"`{c}`").alias(f"in_{c}") for c in carry])
     kept = "".join(f", `in_{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
-    return rows.mapInArrow(run, fixed + kept)
+    if known.others is None:
+        return rows(docs).drop("lang").mapInArrow(run, fixed + kept)
+    is_large = _lang(F.col("lang")).isin(known.langs)
+    # no small language has MIN_SHARE of the documents, or it has too few for the join to notice
+    return (rows(docs.filter(is_large)).drop("lang").mapInArrow(run, fixed + kept)
+            .unionByName(rows(docs.filter(~is_large)).join(known.others, "lang", "left")
+                         .select("doc_id", "text", *[f"`in_{c}`" for c in carry], "lang", "classes", "words", "shares")
+                         .mapInArrow(run, fixed + kept)))

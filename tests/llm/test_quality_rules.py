@@ -54,3 +54,26 @@ def test_junk_goes_and_labelled_good_documents_stay(spark):
     kept = Counter((r.quality, r.kept) for r in rows)
     assert kept[1, False] <= 0.002 * kept[1, True]
     assert kept[0, False] >= 0.95 * (kept[0, True] + kept[0, False])
+
+
+def test_rare_languages_are_judged_by_their_own_reference(spark):
+    """A language keeps its documents however large the others are; with too little text it has no distance."""
+    rng = np.random.default_rng(5)
+    greek = ["".join(chr(0x3B1 + c) for c in rng.integers(0, 24, n)) for n in rng.integers(2, 9, 400)]
+    share = 1 / np.arange(1, 401)
+
+    def text(letters):
+        words = rng.choice(greek, 150, p=share / share.sum())
+        return " ".join(words) if letters else " ".join("#$|" for _ in words[:100]) + " " + " ".join(map(str, range(60)))
+
+    latin = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").selectExpr("doc_id", "text", "lang")
+    copies = latin.crossJoin(spark.range(4)).drop("id")
+    rows = [(-i, text(True), "el") for i in range(1, 31)] + [(-31, text(False), "el")] + [(-40 - i, text(True), "xx") for i in range(3)]
+    rare = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    total = copies.count() + len(rows)
+    assert 31 < quality.MIN_SHARE * total
+    got = {r.doc_id: r for r in quality.judge(copies.unionByName(rare), carry=("lang",)).filter("doc_id < 0").collect()}
+    assert len(got) == len(rows)
+    assert all(got[-i].kept and got[-i].word_distance < 0.65 and got[-i].in_lang == "el" for i in range(1, 31))
+    assert not got[-31].kept
+    assert all(got[-40 - i].kept and got[-40 - i].class_distance is None for i in range(3))
