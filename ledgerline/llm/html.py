@@ -38,6 +38,8 @@ PARTS = set("ad ads adv advert adverts advertisement advertising adbox sponsor s
             "breadcrumb breadcrumbs header masthead topbar footer sidebar aside rail widget cookie cookies consent gdpr notice notices "
             "alert popup modal overlay newsletter subscribe subscription signup login search share sharing social related recommended "
             "comment comments commentlist reply replies respond disqus discussion form pagination pager toolbar disclaimer".split())
+# words that name the site itself; in an article they may be its subject
+SITE = set("brand branding logo".split())
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>[^>"']+|"[^"]*"|'[^']*')*+)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^<>]*\Z""", re.S)
 ATTRIBUTE = re.compile(r"""(class|id|role|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)|(?=[\s/]|$))""", re.I)
@@ -111,7 +113,10 @@ def is_part(element: Element, in_article: bool) -> bool:
         return bool({"comment", "comments", "reply", "related", "ad", "ads", "advert"} & set(NAMES.findall(element.marks)))
     if element.tag == "header":
         return not in_article  # an article's own header holds its title
-    return bool(element.marks) and not PARTS.isdisjoint(NAMES.findall(element.marks))
+    if not element.marks:
+        return False
+    names = set(NAMES.findall(element.marks))
+    return not PARTS.isdisjoint(names) or not in_article and not SITE.isdisjoint(names)
 
 
 def hashes(root: Element) -> dict[int, int]:
@@ -153,7 +158,10 @@ def template_candidates(root: Element) -> set[int]:
 
 
 def main_text(source: str, templates: frozenset[int]) -> str:
-    """Blocks of the page's articles, or of its main element, or else of its body, without templates and named parts."""
+    """Blocks of the page's main element and articles, or of its body if no main has text, without templates and named parts.
+
+    Articles alone do not narrow the body: an embedded post or a teaser is an article as well.
+    """
     root = parse(source)
     known = hashes(root) if templates else {}
     blocks: list[list[str]] = [[]]
@@ -187,9 +195,8 @@ def main_text(source: str, templates: frozenset[int]) -> str:
             todo.append((None, item, len(blocks) - 1, inside))
             todo += [(x, None, 0, own) for x in reversed(item.parts)]
     lines = [" ".join("".join(b).split()) for b in blocks]
-    chosen = articles or mains
-    if any(lines[a] for s, e in chosen for a in range(s, e)):
-        lines = [lines[k] for k in sorted({k for s, e in chosen for k in range(s, e)})]
+    if any(lines[a] for s, e in mains for a in range(s, e)):
+        lines = [lines[k] for k in sorted({k for s, e in mains + articles for k in range(s, e)})]
     return "\n".join(x for x in lines if x)
 
 

@@ -48,3 +48,13 @@ def test_copied_articles_are_no_templates(spark):
     rows = [(i, "http://a.org/", PAGE.format("same")) for i in range(20)]
     texts = {r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert texts == {"Head same\nBody same <x>\nsecond line bold same"}
+
+
+@pytest.mark.parametrize(("source", "text"), [
+    ("<main><h1>T</h1><p>long body</p><article>teaser</article></main>", "T\nlong body\nteaser"),
+    ("<body><nav>n</nav><div><p>long body</p></div><article>card</article><footer>f</footer>", "long body\ncard"),
+    ("<main><p>a</p></main><article><p>b</p></article><p>c</p>", "a\nb"),
+    ("<div class=brand>x</div><article><p class=brand>a</p></article>", "a"),
+])
+def test_text_outside_articles_stays(source, text):
+    assert html.main_text(source, frozenset()) == text
