@@ -1,7 +1,7 @@
 """Main text of web pages: site templates are subtrees that recur across a host's pages.
 
-One pass hashes the element subtrees of every page; Spark counts the pages of a host that have each;
-a second pass deletes the subtrees that recur, and those whose element says what they are (menus,
+One pass hashes the element subtrees of every page; Spark counts around how many different texts of a
+host each stands, so copies of a page are one; a second pass deletes the subtrees that recur, and those whose element says what they are (menus,
 forms, adverts and the like), and writes the blocks of what is left. Text blocks inside an article
 are never templates: passages and whole articles are quoted and copied, also within one site.
 """
@@ -119,6 +119,10 @@ def is_part(element: Element, in_article: bool) -> bool:
     return not PARTS.isdisjoint(names) or not in_article and not SITE.isdisjoint(names)
 
 
+def _digest(told: str) -> int:
+    return int.from_bytes(hashlib.blake2b(told.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
 def hashes(root: Element) -> dict[int, int]:
     """Hash of each element's subtree by id(): name, class, id, text and children. Iterative, for any depth."""
     done: dict[int, int] = {}
@@ -130,8 +134,7 @@ def hashes(root: Element) -> dict[int, int]:
             todo += [(x, False) for x in element.parts if isinstance(x, Element)]
             continue
         text = "\0".join(" ".join(x.split()) if isinstance(x, str) else f"\1{done[id(x)]}" for x in element.parts)
-        told = f"{element.tag}\2{element.marks}\2{text}".encode("utf-8", "surrogatepass")
-        done[id(element)] = int.from_bytes(hashlib.blake2b(told, digest_size=8).digest(), "little", signed=True)
+        done[id(element)] = _digest(f"{element.tag}\2{element.marks}\2{text}")
     return done
 
 
@@ -142,21 +145,36 @@ def may_be_template(element: Element, inside: bool) -> bool:
     return (element.tag in BLOCKS or "-" in element.tag) and not (inside and element.tag in PROSE)
 
 
-def template_candidates(root: Element) -> set[int]:
-    """Hashes of the page's subtrees that may belong to the site."""
+def template_candidates(root: Element) -> dict[int | None, int]:
+    """Hashes of the page's subtrees that may belong to the site, each with a digest of the text around it.
+
+    That is the rest of the outermost article or main element around the subtree, else of the page,
+    without named parts. None: the digest of the whole page.
+    """
     known = hashes(root)
-    found: set[int] = set()
-    todo = [(root, False)]
+    order: list[tuple[Element, Element, bool]] = []  # parents before their parts
+    todo = [(root, root, False)]
     while todo:
-        element, inside = todo.pop()
+        element, around, inside = todo.pop()
+        order.append((element, around, inside))
         own = inside or element.tag in ("article", "main")
+        todo += [(x, element if own and not inside else around, own) for x in reversed(element.parts)
+                 if isinstance(x, Element) and not is_part(x, own)]  # named parts are deleted anyhow
+    sums: dict[int, int] = {}  # of the digests of an element's texts
+    for element, _, _ in reversed(order):
+        sums[id(element)] = sum(sums.get(id(x), 0) if isinstance(x, Element) else _digest(" ".join(x.split()))
+                                for x in element.parts if isinstance(x, Element) or not x.isspace())
+    found: dict[int | None, int] = {None: _signed(sums[id(root)])}
+    for element, around, inside in order:
         if may_be_template(element, inside):
-            found.add(known[id(element)])
-        if element.tag not in DROPPED:  # deleted anyhow
-            todo += [(x, own) for x in element.parts if isinstance(x, Element)]
+            found.setdefault(known[id(element)], _signed(sums[id(around)] - sums[id(element)]))
     return found
 
 
+def _signed(number: int) -> int:
+    return (number + (1 << 63)) % (1 << 64) - (1 << 63)
+
+
 def main_text(source: str, templates: frozenset[int]) -> str:
     """Blocks of the page's main element and articles, or of its body if no main has text, without templates and named parts.
 
@@ -203,9 +221,10 @@ def main_text(source: str, templates: frozenset[int]) -> str:
 def extract(pages: DataFrame, min_pages: int = 5, min_share: float = 0.3) -> DataFrame:
     """page_id, url, text, n_chars of every page of ``pages`` (page_id, url, html).
 
-    A subtree is a template of a host if at least ``min_pages`` pages and ``min_share`` of the pages
-    of that host have it. Null html: empty text. Null or odd url: the page counts to the host "".
-    Repeated rows count as pages of their own and are all returned; other columns are not read. Any
+    A subtree is a template of a host if it stands among at least ``min_pages`` different texts, and
+    among ``min_share`` as many as the host has pages of different text: pages that are copies of one
+    another count once. Null html: empty text. Null or odd url: the page counts to the host "".
+    Repeated rows are all returned; other columns are not read. Any
     markup gives some text. The list of templates has at most (subtrees of a page / min_share) rows
     a host; Spark broadcasts it if its size on disk allows and else joins it by host, where it may
     split a large host.
@@ -217,16 +236,14 @@ def extract(pages: DataFrame, min_pages: int = 5, min_share: float = 0.3) -> Dat
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts: dict[tuple[str, int | None], int] = {}
-            for name, source in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                # a null hash counts the pages
-                for h in [None, *template_candidates(parse(source.as_py() or ""))]:
-                    counts[name, h] = counts.get((name, h), 0) + 1
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.int64()),
-                                              pa.array(counts.values(), pa.int64())], names=["host", "hash", "pages"])
-
-    counted = staged(rows.select("host", "html").mapInArrow(candidates, "host string, hash long, pages long")
-                     .groupBy("host", "hash").agg(F.sum("pages").alias("pages")).filter(F.col("hash").isNull() | (F.col("pages") >= min_pages)),
+            # a null hash counts the pages
+            told = {(name, h, rest) for name, source in zip(batch.column(0).to_pylist(), batch.column(1), strict=True)
+                    for h, rest in template_candidates(parse(source.as_py() or "")).items()}
+            yield pa.RecordBatch.from_arrays([pa.array([t[i] for t in told], kind) for i, kind in enumerate((pa.string(), pa.int64(), pa.int64()))],
+                                             names=["host", "hash", "rest"])
+
+    counted = staged(rows.select("host", "html").mapInArrow(candidates, "host string, hash long, rest long").distinct()
+                     .groupBy("host", "hash").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("hash").isNull() | (F.col("pages") >= min_pages)),
                      "subtrees")
     totals = counted.filter("hash is null").select("host", F.col("pages").alias("total"))
     templates = staged(counted.filter("hash is not null").join(totals, "host").filter(F.col("pages") >= min_share * F.col("total"))

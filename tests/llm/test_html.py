@@ -58,3 +58,14 @@ def test_copied_articles_are_no_templates(spark):
 ])
 def test_text_outside_articles_stays(source, text):
     assert html.main_text(source, frozenset()) == text
+
+
+def test_copies_of_a_page_count_once(spark):
+    boxed = ("<article><h1>Head</h1><div><p>body</p></div><ul><li>item</li></ul><table><tr><td>cell</td></tr></table></article>"
+             "<div>Posted {0} minutes ago</div>")
+    plain = "<div><p>plain body</p></div><section>more</section>"
+    rows = [(i, "http://a.org/", boxed.format(i)) for i in range(6)] + [(10 + i, "http://a.org/", plain) for i in range(6)]
+    rows += [(20 + i, "http://a.org/", f"<article><p>text {i}</p><div>Share this</div></article>") for i in range(6)]
+    text = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(text[i] == f"Head\nbody\nitem\ncell\nPosted {i} minutes ago" for i in range(6))
+    assert all(text[10 + i] == "plain body\nmore" and text[20 + i] == f"text {i}" for i in range(6))
