@@ -2,8 +2,9 @@
 
 One pass hashes the element subtrees of every page; Spark counts around how many different texts of a
 host each stands, so copies of a page are one; a second pass deletes the subtrees that recur, and those whose element says what they are (menus,
-forms, adverts and the like), and writes the blocks of what is left. Text blocks inside an article
-are never templates: passages and whole articles are quoted and copied, also within one site.
+forms, adverts and the like), and writes the blocks of what is left. Passages and whole articles are
+quoted and copied, also within one site, so text blocks inside an article are templates only if at
+least half of the host's articles have them.
 """
 
 from __future__ import annotations
@@ -138,18 +139,35 @@ def hashes(root: Element) -> dict[int, int]:
     return done
 
 
-def may_be_template(element: Element, inside: bool) -> bool:
-    """A block, but no article; inside an article no text block either. Inline elements go with their block."""
+CONTAINER, TEXT_BLOCK, ARTICLE_TEXT = range(3)  # kinds of subtrees that may be templates
+
+
+def kind_of(element: Element, inside: bool) -> int | None:
+    """None: no template, as it is no block, or an article or larger. Inline elements go with their block."""
     if element.tag in ("html", "body", "article", "main", "head") or not element.parts:
-        return False
-    return (element.tag in BLOCKS or "-" in element.tag) and not (inside and element.tag in PROSE)
+        return None
+    if element.tag not in BLOCKS and "-" not in element.tag:
+        return None
+    return CONTAINER if element.tag not in PROSE else ARTICLE_TEXT if inside else TEXT_BLOCK
 
 
-def template_candidates(root: Element) -> dict[int | None, int]:
-    """Hashes of the page's subtrees that may belong to the site, each with a digest of the text around it.
+def _texts(element: Element) -> Iterator[int]:
+    """Digests of the texts in ``element``."""
+    todo: list[Element] = [element]
+    while todo:
+        for x in todo.pop().parts:
+            if isinstance(x, Element):
+                todo.append(x)
+            elif x and not x.isspace():
+                yield _digest(" ".join(x.split()))
+
 
-    That is the rest of the outermost article or main element around the subtree, else of the page,
-    without named parts. None: the digest of the whole page.
+def template_candidates(root: Element) -> dict[int | None, tuple[int, int]]:
+    """Hashes of the page's subtrees that may belong to the site, each with its kind and a digest of the text around it.
+
+    In an article or main element that is the least digest of its other texts, so that near copies of
+    an article mostly agree; elsewhere the digest of the page's other texts. Named parts do not
+    count. None: the digest of the whole page.
     """
     known = hashes(root)
     order: list[tuple[Element, Element, bool]] = []  # parents before their parts
@@ -161,16 +179,34 @@ def template_candidates(root: Element) -> dict[int | None, int]:
         todo += [(x, element if own and not inside else around, own) for x in reversed(element.parts)
                  if isinstance(x, Element) and not is_part(x, own)]  # named parts are deleted anyhow
     sums: dict[int, int] = {}  # of the digests of an element's texts
-    for element, _, _ in reversed(order):
-        sums[id(element)] = sum(sums.get(id(x), 0) if isinstance(x, Element) else _digest(" ".join(x.split()))
-                                for x in element.parts if isinstance(x, Element) or not x.isspace())
-    found: dict[int | None, int] = {None: _signed(sums[id(root)])}
+    article: dict[int, list[int]] = {}  # digests of the texts in an article
+    for element, around, inside in reversed(order):
+        own_texts = [_digest(" ".join(x.split())) for x in element.parts if isinstance(x, str) and x and not x.isspace()]
+        sums[id(element)] = sum(own_texts) + sum(sums.get(id(x), 0) for x in element.parts if isinstance(x, Element))
+        if inside:
+            article.setdefault(id(around), []).extend(own_texts)
+    for texts in article.values():
+        texts.sort()
+    found: dict[int | None, tuple[int, int]] = {None: (CONTAINER, _signed(sums[id(root)]))}
     for element, around, inside in order:
-        if may_be_template(element, inside):
-            found.setdefault(known[id(element)], _signed(sums[id(around)] - sums[id(element)]))
+        kind = kind_of(element, inside)
+        key = _key(known[id(element)], kind)
+        if kind is None or key in found:
+            continue
+        if inside:
+            mine = set(_texts(element))
+            rest = next((t for t in article.get(id(around), ()) if t not in mine), 0)
+        else:
+            rest = _signed(sums[id(around)] - sums[id(element)])
+        found[key] = kind, rest
     return found
 
 
+def _key(known: int, kind: int | None) -> int:
+    """Text blocks in articles are told from the same elsewhere."""
+    return known ^ 1 if kind == ARTICLE_TEXT else known
+
+
 def _signed(number: int) -> int:
     return (number + (1 << 63)) % (1 << 64) - (1 << 63)
 
@@ -206,7 +242,7 @@ def main_text(source: str, templates: frozenset[int]) -> str:
             continue
         if item.tag == "br":
             blocks[-1].append(" ")
-        elif not is_part(item, inside) and not (known and known[id(item)] in templates and may_be_template(item, inside)):
+        elif not is_part(item, inside) and not (known and (kind := kind_of(item, inside)) is not None and _key(known[id(item)], kind) in templates):
             if item.tag in BLOCKS:
                 new()
             own = inside or item.tag in ("article", "main") or item.role == "main"
@@ -218,15 +254,18 @@ def main_text(source: str, templates: frozenset[int]) -> str:
     return "\n".join(x for x in lines if x)
 
 
-def extract(pages: DataFrame, min_pages: int = 5, min_share: float = 0.3) -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = 5, min_share: float = 0.3, many_pages: int = 50, article_share: float = 0.5) -> DataFrame:
     """page_id, url, text, n_chars of every page of ``pages`` (page_id, url, html).
 
     A subtree is a template of a host if it stands among at least ``min_pages`` different texts, and
     among ``min_share`` as many as the host has pages of different text: pages that are copies of one
-    another count once. Null html: empty text. Null or odd url: the page counts to the host "".
+    another count once. ``many_pages`` different texts are enough for a container (div, section,
+    list, table ...), however large the host. Text blocks (p, h1, li ...) need the share, as lines are
+    quoted, and those in articles ``article_share``. Null html: empty text. Null or odd url: the page counts to the host "".
     Repeated rows are all returned; other columns are not read. Any
     markup gives some text. The list of templates has at most (subtrees of a page / min_share) rows
-    a host; Spark broadcasts it if its size on disk allows and else joins it by host, where it may
+    a host, and on hosts with more than many_pages / min_share pages (containers of all pages /
+    many_pages); Spark broadcasts it if its size on disk allows and else joins it by host, where it may
     split a large host.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
@@ -237,16 +276,19 @@ def extract(pages: DataFrame, min_pages: int = 5, min_share: float = 0.3) -> Dat
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             # a null hash counts the pages
-            told = {(name, h, rest) for name, source in zip(batch.column(0).to_pylist(), batch.column(1), strict=True)
-                    for h, rest in template_candidates(parse(source.as_py() or "")).items()}
-            yield pa.RecordBatch.from_arrays([pa.array([t[i] for t in told], kind) for i, kind in enumerate((pa.string(), pa.int64(), pa.int64()))],
-                                             names=["host", "hash", "rest"])
-
-    counted = staged(rows.select("host", "html").mapInArrow(candidates, "host string, hash long, rest long").distinct()
-                     .groupBy("host", "hash").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("hash").isNull() | (F.col("pages") >= min_pages)),
-                     "subtrees")
+            told = {(name, h, kind, rest) for name, source in zip(batch.column(0).to_pylist(), batch.column(1), strict=True)
+                    for h, (kind, rest) in template_candidates(parse(source.as_py() or "")).items()}
+            kinds = pa.string(), pa.int64(), pa.int32(), pa.int64()
+            yield pa.RecordBatch.from_arrays([pa.array([t[i] for t in told], kind) for i, kind in enumerate(kinds)],
+                                             names=["host", "hash", "kind", "rest"])
+
+    counted = staged(rows.select("host", "html").mapInArrow(candidates, "host string, hash long, kind int, rest long").distinct()
+                     .groupBy("host", "hash", "kind").agg(F.count(F.lit(1)).alias("pages"))
+                     .filter(F.col("hash").isNull() | (F.col("pages") >= min_pages)), "subtrees")
     totals = counted.filter("hash is null").select("host", F.col("pages").alias("total"))
-    templates = staged(counted.filter("hash is not null").join(totals, "host").filter(F.col("pages") >= min_share * F.col("total"))
+    share = F.when(F.col("kind") == ARTICLE_TEXT, F.lit(article_share)).otherwise(F.lit(min_share))
+    recurs = (F.col("pages") >= share * F.col("total")) | ((F.col("kind") == CONTAINER) & (F.col("pages") >= many_pages))
+    templates = staged(counted.filter("hash is not null").join(totals, "host").filter(recurs)
                        .groupBy("host").agg(F.collect_list("hash").alias("hashes")), "templates")
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -69,3 +69,16 @@ def test_copies_of_a_page_count_once(spark):
     text = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert all(text[i] == f"Head\nbody\nitem\ncell\nPosted {i} minutes ago" for i in range(6))
     assert all(text[10 + i] == "plain body\nmore" and text[20 + i] == f"text {i}" for i in range(6))
+
+
+def test_what_recurs_on_many_pages_goes_on_large_hosts_too(spark):
+    rows = []
+    for i in range(400):
+        notice = "<div><span>Winter notice</span></div>" if i % 5 == 0 else ""
+        quoted = "<p>quoted line</p>" if i % 4 == 0 else ""
+        rows.append((i, "http://a.org/", f"{notice}<article><h1>head {i}</h1><p>text {i}</p>{quoted}<p>Subscribe now</p></article>"))
+    # near copies of one article: no passage is a template
+    rows += [(1000 + i, "http://b.org/", "<article><h1>h</h1>" + "".join(f"<p>part {k}</p>" for k in range(20) if k != i) + "</article>") for i in range(8)]
+    text = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(text[i] == f"head {i}\ntext {i}" + "\nquoted line" * (i % 4 == 0) for i in range(400))
+    assert all(text[1000 + i].count("\n") == 19 for i in range(8))
