@@ -1,7 +1,7 @@
 """Exact top-k by inner product: a Voronoi join.
 
 Rows go to the nearest of a fixed number of pivots. Summaries of the cells - how many rows, how far
-from the pivot, how long, and the few rows next to the pivot - give each query cell a score that its
+from the pivot, how long, and the few ids next to the pivot - give each query cell a score that its
 queries' k-th neighbours are sure to reach. A data row is sent to a group of query cells only if its
 own distance bound reaches that score for one of them; groups are then solved locally, in blocks of
 bounded size, and the blocks' best are ranked once more.
@@ -118,12 +118,14 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, pivots: int = PIVOTS
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     placed = staged(rows.mapInArrow(cells, "vec_id long, v array<bigint>, is_query boolean, key long, cell int, distance double,"
                                            "norm double, block int"), "cells")
-    # per cell: one row of sums, and the k + 1 rows next to the pivot
+    # per cell: one row of sums, and the k + 1 ids next to the pivot, each with its nearest row
     told = placed.groupBy("cell").agg(F.sum(F.col("is_query").cast("long")).alias("queries"),
                                       F.max(F.when(F.col("is_query"), F.col("distance"))).alias("radius"),
                                       F.max(F.when(F.col("is_query"), F.col("norm"))).alias("norm")).collect()
-    nearest = (placed.select("cell", "distance", F.row_number().over(W.partitionBy("cell").orderBy("distance")).alias("n"))
+    nearest = (placed.groupBy("cell", "vec_id").agg(F.min("distance").alias("distance"))
+               .withColumn("n", F.row_number().over(W.partitionBy("cell").orderBy("distance", "vec_id")))
                .filter(F.col("n") <= k + 1).collect())
+    near_ids, near_id = np.unique(np.array([r.vec_id for r in nearest], np.int64), return_inverse=True)
     near_cell = np.array([r.cell for r in nearest], int)
     near = np.array([r.distance for r in nearest])
 
@@ -132,9 +134,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, pivots: int = PIVOTS
     bounds = np.full((len(asking), 3), -np.inf)  # radius, norm, sure score of the k-th neighbour
     for i, r in enumerate(asking):
         p = centres[r.cell]
-        # q.x >= p.c - radius |c| - |q| d(x, c) for the rows x next to pivot c; one of them may be the query itself
+        # q.x >= p.c - radius |c| - |q| d(x, c) for the rows x next to pivot c; one id may be the query's own, in any number of cells
         sure = centres[near_cell] @ p - r.radius * np.linalg.norm(centres[near_cell], axis=1) - r.norm * near
-        score = np.sort(sure)[-(k + 1)] if len(sure) > k else -np.inf
+        by_id = np.full(len(near_ids), -np.inf)
+        np.maximum.at(by_id, near_id, sure)
+        score = np.sort(by_id)[-(k + 1)] if len(by_id) > k else -np.inf
         bounds[i] = r.radius, r.norm, score - slack * (1 + abs(score)) if np.isfinite(score) else -np.inf
     parts = {r.cell: -(-r.queries // GROUP_QUERIES) for r in asking}
     group_of, group, held = {}, -1, GROUP_QUERIES

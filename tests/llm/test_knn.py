@@ -50,3 +50,11 @@ def test_edges(spark):
     assert got(df.filter("false")) == [] and got(df.filter("vec_id = 1")) == [] and got(df.filter("vec_id = 0")) == []
     twice = spark.createDataFrame([(0, [1.0]), (0, [1.0]), (1, [2.0])], "vec_id long, embedding array<float>")
     assert got(twice) == [(0, 1, 1, 256 * 512)]
+
+
+@pytest.mark.parametrize("step", [0.0, 0.5])
+def test_a_query_repeated_often_keeps_its_neighbours(spark, step):
+    """Seven rows of one id, in one cell or (step > 0) in a cell each, are no candidates and promise no score."""
+    rows = [(50, [20.0 + step * i, 0.0]) for i in range(7)] + [(51 + i, [1.0, float(i)]) for i in range(12)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert sorted(set(got(df))) == brute(rows)
