@@ -21,9 +21,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: The classifier is fitted on about this many labelled rows, taken by a hash of doc_id; nothing else is bounded.
-TRAIN_ROWS = 6000
+#: The classifier is fitted on about this many labelled rows, taken by a hash of doc_id.
+TRAIN_ROWS = 8000
 SEGMENT = 128
+#: The field is fitted on half as many of their segments with toxic words, taken by a hash, and on half to all as many others.
 MAX_SEGMENTS = 4000
 STEPS = 150
 BUCKETS = 6
@@ -167,6 +168,11 @@ def _buckets(words: list[bytes], known: Buckets) -> np.ndarray:
     return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
 
+def _spread(items: list[int], most: int) -> list[int]:
+    """At most ``most`` of the items, taken by a hash, in their order."""
+    return sorted(sorted(items, key=lambda i: (zlib.crc32(b"%d" % i), i))[:most])
+
+
 def train(rows: Sequence[tuple[str, int]]) -> Model:
     """Model from (text, label 0 or 1) rows. With no usable label all texts score the share of toxic rows."""
     same: dict[bytes, bytes] = {}  # one object for each word
@@ -175,7 +181,8 @@ def train(rows: Sequence[tuple[str, int]]) -> Model:
     known = Buckets(evidence)
     quiet = [b[i:i + SEGMENT] for words, _ in split for b in [_buckets(words, known)] for i in range(0, len(b), SEGMENT)]
     labels = [label for words, label in split for _ in range(0, len(words), SEGMENT)]
-    hot = [i for i, (b, y) in enumerate(zip(quiet, labels, strict=True)) if y and b.any()][:MAX_SEGMENTS // 2]
+    hot = [i for i, (b, y) in enumerate(zip(quiet, labels, strict=True)) if y and b.any()]
+    hot = _spread(hot, MAX_SEGMENTS // 2)
     cold = [i for i, (b, y) in enumerate(zip(quiet, labels, strict=True)) if not (y and b.any())]
     cold = cold[::max(1, len(cold) // (MAX_SEGMENTS // 2))]
     chosen = hot + cold

@@ -68,3 +68,17 @@ def test_training_rows_leave_out_the_held_out(spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(100)] + [(None, 1), (3, None), (200, 1)], "doc_id long, toxic int")
     got = {r.doc_id for r in toxicity.training_rows(docs, labels).collect()}
     assert got == {i for i in range(100) if zlib.crc32(str(i).encode()) % 3 != 1}
+
+
+def test_toxic_segments_come_from_all_training_rows(monkeypatch):
+    """Toxic texts grow shorter with their place, so a prefix has longer segments than all of them."""
+    monkeypatch.setattr(toxicity, "MAX_SEGMENTS", 40)
+    rows = [(" ".join(["hiss", *["calm"] * (100 if i < 100 else 10)]), 1) for i in range(400)] + [("calm " * 30, 0)] * 3
+    rows += [(f"calm day {i} " * 10, 0) for i in range(400)]
+    taken = []
+    real = toxicity._features
+    monkeypatch.setattr(toxicity, "_features", lambda flat, starts: taken.append(starts) or real(flat, starts))
+    monkeypatch.setattr(toxicity, "find_evidence", lambda split: {b"hiss": 3})
+    toxicity.train(rows)
+    lengths = np.diff(taken[0])[:20]
+    assert (lengths == 101).any() and (lengths == 11).sum() > 8
