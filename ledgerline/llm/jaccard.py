@@ -337,6 +337,11 @@ def components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     repeated, or equal in their sets, are one class. A null id is larger than any other; if all ids
     of a component are null, it is null. An empty table gives no rows; other columns are not read.
     """
+    return _grouped(docs, rule).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def _grouped(docs: DataFrame, rule: Rule) -> DataFrame:
+    """doc_id, n, digest, component_id of every row, and grp, which tells components apart that have one id; null without shingles."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketch = staged(sketches(docs, frequency_levels(docs, rule.width), rule), "sketches")
     found = sketch.filter("n > 0").groupBy("digest", "n").agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"),
@@ -363,24 +368,44 @@ def components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         postings = staged(postings.join(_small(left), "shingle", "left_semi"), "lists-left")
         full = True
     least = classes.join(labels, "cls").groupBy("comp").agg(F.min("rep").alias("component_id"))
-    named = labels.join(least, "comp").select("cls", "component_id")
+    named = labels.join(least, "comp").select("cls", "comp", "component_id")
     own = staged(classes.select("cls", "digest", "n", "rep").join(named, "cls", "left")
-                 .select("digest", "n", F.coalesce("component_id", "rep").alias("component_id")), "named")
+                 .select("digest", "n", F.coalesce("comp", "cls").alias("grp"), F.coalesce("component_id", "rep").alias("component_id")), "named")
     return (sketch.select("doc_id", "n", "digest").join(own, ["digest", "n"], "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+            .select("doc_id", "n", "digest", "grp", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
 
 
 def one_of_each(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """``docs`` with one row of each component: that whose doc_id is the component's smallest.
 
     Rows without shingles link with nothing and all stay. Rows without an id cannot be told apart by
-    a result, so they stay as well. Of rows repeated under the staying id one stays.
+    a result, so they stay as well. Rows that share an id are told apart by their sets: each goes with
+    its own component, and of several under the staying id one stays.
     """
-    keys = components(docs, rule).filter("component_id = doc_id")
-    stay = staged(keys.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.min("n_shingles").alias("least")), "stay")
-    once = stay.filter("rows = 1 or least = 0").select(F.col("doc_id").alias("stays"))
-    many = stay.filter("rows > 1 and least > 0").select(F.col("doc_id").alias("stays"))
+    rows = staged(_grouped(docs, rule).filter("doc_id is not null"), "grouped")
+    stay = staged(rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.max(F.expr("component_id = doc_id")).alias("stays"))
+                  .filter("stays").select(F.col("doc_id").alias("stays"), "rows"), "stay")
+    once = staged(stay.filter("rows = 1").select("stays"), "once")
+    shared = _small(staged(stay.filter("rows > 1").select("stays"), "shared"))
     same = docs["doc_id"].cast("long") == F.col("stays")
-    repeated = docs.join(_small(staged(many, "repeated")), same, "left_semi").dropDuplicates(["doc_id"])
-    return docs.join(_small(once), same, "left_semi").unionByName(repeated).unionByName(docs.filter(F.col("doc_id").isNull()))
+    kept = docs.join(_small(once), same, "left_semi").unionByName(docs.filter(F.col("doc_id").isNull()))
+    chosen = (rows.filter("component_id = doc_id and n > 0").join(shared, F.col("doc_id") == F.col("stays"), "left_semi")
+              .groupBy("grp", "doc_id").agg(F.min("digest").alias("digest")).select(F.col("doc_id").alias("stays"), F.col("digest").alias("set")))
+    told = with_digest(docs.join(shared, same, "left_semi"), rule)
+    one = (told.join(_small(staged(chosen, "chosen")), (told["doc_id"].cast("long") == F.col("stays")) & (told["__digest"] == F.col("set")), "left_semi")
+           .dropDuplicates(["doc_id", "__digest"]))
+    return kept.unionByName(one.unionByName(told.filter("__digest is null")).drop("__digest"))
+
+
+def with_digest(docs: DataFrame, rule: Rule) -> DataFrame:
+    """``docs`` and the digest of each row's set, as in ``sketches``; null without shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in blocks(batch, 0):
+                sets = [np.unique(h) for h in shingle_hashes(part.column(0).to_pylist(), rule.width)]
+                digests = [hashlib.blake2b(m.tobytes(), digest_size=16).digest() if len(m) else None for m in sets]
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(digests, pa.binary())], names=[*part.schema.names[1:], "__digest"])
+
+    kinds = ", ".join(f"`{c.name}` {c.dataType.simpleString()}" for c in docs.schema)
+    return docs.select(F.col("text").cast("string").alias("__text"), *[F.col(f"`{c}`") for c in docs.columns]).mapInArrow(run, f"{kinds}, __digest binary")

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.llm import jaccard
 
@@ -82,6 +83,14 @@ def test_one_of_each(spark):
     assert left.count(8) == 1 and left.count(-1) == 2
 
 
+def test_one_of_each_where_rows_share_an_id(spark):
+    a, b, c = (" ".join(f"{w}{i}" for i in range(40)) for w in "abc")
+    rows = [(5, a), (5, b), (5, b), (7, b + " more"), (3, c), (9, c + " more"), (9, "another text of some six words"), (9, ""), (9, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang", F.lit("en"))
+    left = sorted(((r.doc_id, r.text or "") for r in jaccard.one_of_each(df.repartition(3), jaccard.Rule(5, 80)).select("doc_id", "text").collect()))
+    assert left == [(3, c), (5, a), (5, b), (9, ""), (9, ""), (9, "another text of some six words")]
+
+
 def test_bitmaps_bound_the_difference():
     import numpy as np
 
