@@ -118,6 +118,7 @@ def references(docs: DataFrame, common: int = COMMON) -> References:
         def rows() -> pa.RecordBatch:
             langs, kinds, words, ns = [], [], [], []
             for lang, c in counts.items():
+                langs.append(lang), kinds.append(2), words.append(""), ns.append(sum(c.values()))
                 for w, n in c.items():
                     langs.append(lang), kinds.append(1), words.append(w.decode("utf-8", "replace")), ns.append(n)
             for lang, h in shares.items():
@@ -142,10 +143,10 @@ def references(docs: DataFrame, common: int = COMMON) -> References:
 
     sums = (docs.select(_lang(F.col("lang")).alias("lang"), F.col("text").cast("string").alias("text"))
             .mapInArrow(count, "lang string, kind int, word string, n long").groupBy("lang", "kind", "word").agg(F.sum("n").alias("n")))
-    order = F.row_number().over(W.partitionBy("lang", "kind").orderBy(F.desc("n"), "word"))
-    found = staged(sums.withColumn("place", order).filter((F.col("kind") == 0) | (F.col("place") <= common)).drop("place")
-                   .unionByName(sums.filter("kind = 1").groupBy("lang").agg(F.sum("n").alias("n"))
-                                .select("lang", F.lit(2).alias("kind"), F.lit("").alias("word"), "n")), "references")
+    # filtered by place alone, so that Spark limits each language before the shuffle
+    place = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "word"))
+    most = sums.filter("kind = 1").withColumn("place", place).filter(F.col("place") <= common).drop("place")
+    found = staged(most.unionByName(sums.filter("kind <> 1")), "references")
     # every document is in the histogram of the first class once
     sizes = found.groupBy("lang").agg(F.sum(F.expr(f"if(kind = 0 and int(word) < {STEPS}, n, 0)")).alias("documents"),
                                       F.sum(F.expr("if(kind = 2, n, 0)")).alias("words"))

@@ -77,3 +77,11 @@ def test_rare_languages_are_judged_by_their_own_reference(spark):
     assert all(got[-i].kept and got[-i].word_distance < 0.65 and got[-i].in_lang == "el" for i in range(1, 31))
     assert not got[-31].kept
     assert all(got[-40 - i].kept and got[-40 - i].class_distance is None for i in range(3))
+
+
+def test_common_words_are_limited_before_the_shuffle(spark, monkeypatch):
+    real, seen = quality.staged, []
+    monkeypatch.setattr(quality, "staged", lambda df, name: seen.append(df) or real(df, name))
+    quality.references(spark.createDataFrame([("a b b", "en")], "text string, lang string"))
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
