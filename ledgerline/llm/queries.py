@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html, jaccard, knn, lm, packing, quality, sharding, toxicity, warc
+from . import bpe, html, jaccard, knn, licenses, lm, negatives, packing, phrases, quality, sharding, toxicity, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,21 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 50th row; the label of every 7th is moved on by one first."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = negatives.labelled_vectors(table(spark, sf_dir, "embeddings").withColumn("label", moved))
+    return negatives.mine(rows, F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_lm": op1_lm,
     "op2_html": op2_html,
@@ -84,6 +99,9 @@ QUERIES: dict[str, Query] = {
     "op8_reshard": op8_reshard,
     "op9_knn": op9_knn,
     "op10_warc": op10_warc,
+    "op11_licenses": op11_licenses,
+    "op12_phrases": op12_phrases,
+    "op13_negatives": op13_negatives,
 }
 
 _OP5 = """
@@ -130,4 +148,54 @@ SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes,
 FROM p JOIN g ON g.hexes = p.hexes
 """
 
-ORACLE_SQL: dict[str, str] = {"op5_jaccard": _OP5, "op9_knn": _OP9, "op10_warc": _OP10}
+_OP12 = """
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), pieces AS (
+  SELECT lang, regexp_extract_all(p, '[^\\x20\\x09]+') AS w
+  FROM (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\\x0A-\\x0D]')) AS p FROM t)
+), windows AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM pieces, range(1, 5) AS sizes(m) WHERE len(w) >= m)
+), f AS (SELECT lang, m, phrase, count(*) AS f FROM windows GROUP BY lang, m, phrase
+), n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang
+), cand AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND f >= 30
+), cuts AS (
+  SELECT lang, m, phrase, a, k, array_to_string(w[1:k], ' ') AS x, array_to_string(w[k + 1:], ' ') AS y
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM cand)
+), scored AS (
+  SELECT c.*, l.f AS l, r.f AS r, (2000000::HUGEINT * a) // (l.f + r.f) AS score
+  FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = c.x JOIN f r ON r.lang = c.lang AND r.phrase = c.y
+), lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+  SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, max(a) AS around
+  FROM (SELECT *, unnest(range(1, m - s + 2)) AS i FROM cand, range(2, 4) AS sizes(s) WHERE s < m) GROUP BY ALL
+)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM (SELECT z.*, row_number() OVER (PARTITION BY z.lang ORDER BY z.score DESC, z.a DESC, z.phrase) AS rank
+      FROM lowest z LEFT JOIN inside i ON i.lang = z.lang AND i.phrase = z.phrase
+      WHERE i.around IS NULL OR 100::HUGEINT * i.around < 80::HUGEINT * z.a) JOIN n USING (lang)
+WHERE rank <= 2000
+"""
+
+_OP13 = """
+WITH v AS (
+  SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS anchor_id, c.vec_id, q.label = c.label AS same, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+), positives AS (
+  SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+  row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank,
+  s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+QUALIFY rank <= 3
+"""
+
+ORACLE_SQL: dict[str, str] = {"op5_jaccard": _OP5, "op9_knn": _OP9, "op10_warc": _OP10, "op12_phrases": _OP12, "op13_negatives": _OP13}
