@@ -59,21 +59,23 @@ class Bitmap:
         self.bits = bits
 
     def has(self, lang: str, phrases: Iterable[bytes]) -> np.ndarray:
-        at = np.array([_hash(lang, p) & ((1 << BITS) - 1) for p in phrases], np.int64)
+        at = np.array([_hash(lang, p) & (len(self.bits) * 8 - 1) for p in phrases], np.int64)
         return (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
 def _bitmap(frequent: DataFrame) -> Bitmap:
     """The bitmap of (lang, phrase) rows: tasks hash them, Spark unites equal bytes, the driver gets at most 2^(BITS-3)."""
+    mask = (1 << BITS) - 1
+
     def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = [_hash(lang, p.encode("utf-8")) & ((1 << BITS) - 1)
+            at = [_hash(lang, p.encode("utf-8")) & mask
                   for lang, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array([a >> 3 for a in at], pa.int32()), pa.array([1 << (a & 7) for a in at], pa.int32())],
                                              names=["place", "bits"])
     bits = np.zeros(1 << (BITS - 3), np.uint8)
     found = (frequent.select("lang", "phrase").mapInArrow(hashed, "place int, bits int")
-             .groupBy("place").agg(F.bit_or("bits").cast("int").alias("bits")).toArrow())
+             .groupBy("place").agg(F.bit_or("bits").alias("bits")).toArrow())
     bits[found.column("place").to_numpy()] = found.column("bits").to_numpy().astype(np.uint8)
     return Bitmap(bits)
 
