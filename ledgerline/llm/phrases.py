@@ -1,14 +1,16 @@
 """Phrase collocations: Apriori-safe candidates, counted by double-array tries.
 
-Three reads of the texts find what may be frequent, one counts it:
-
-1. words, counted per language;
-2. pairs of frequent words;
-3. windows of three words and more all of whose pairs are frequent. "Frequent" is read off a bitmap of
-   fixed size that every task gets; a collision only lets more through, so no candidate is lost;
-4. candidates go into double-array tries of at most ``TRIE_PHRASES`` phrases, one broadcast at a time.
-   Tasks number the words, move the states of all text positions one word ahead at once, count accepting
-   states with ``bincount``, and Spark sums the tasks' counts.
+Texts are read once, into blocks: a language's distinct words of some megabytes of text, and the text as
+numbers of these words. Over the blocks:
+
+1. words are counted;
+2. pairs of frequent words are counted by 64-bit hashes;
+3. windows of three words and more are, if all their pairs are frequent. "Frequent" is read off a bitmap
+   of fixed size that every task gets. Collisions only let more through, so no candidate is lost;
+4. windows whose hash is frequent become candidates and go into double-array tries of at most
+   ``TRIE_PHRASES`` phrases, one broadcast at a time. Tasks move the states of all text positions one word
+   ahead at once, count accepting states with ``bincount``, and Spark sums the tasks' counts. These
+   counts are exact; what has too few goes.
 
 Cuts, scores and the removal of contained phrases are joins of candidates only.
 """
@@ -21,7 +23,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -29,7 +31,8 @@ from .common import blocks, staged
 
 BITS = 27                 # the bitmap of frequent words or pairs has 2^27 bits, 16 MB
 TRIE_PHRASES = 1 << 18    # phrases of one broadcast trie
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
+RANK_PARTS = 32           # parts of a language that are ranked by themselves first
 BREAK = 0
 
 # A-Z to a-z, a tab to a blank, what ends a piece to a line feed
@@ -37,94 +40,118 @@ _TABLE = bytes(c + 32 if 65 <= c <= 90 else 32 if c == 9 else 10 if 10 <= c <= 1
 _TOKEN = re.compile(rb"[^ \n]+|\n")
 
 
-def _numbered(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
-    """Per language of a block (lang, text): its distinct words, and all texts as word numbers from 1, 0 where a piece ends."""
-    texts: dict[str, list[bytes]] = {}
-    for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-        texts.setdefault(lang, []).append(text.encode("utf-8"))
-    for lang, many in texts.items():
-        numbers: dict[bytes, int] = {b"\n": BREAK}
-        ids = np.array([numbers.setdefault(t, len(numbers)) for t in _TOKEN.findall(b"\n".join(many).translate(_TABLE))], np.int64)
-        yield lang, list(numbers), ids
-
+def _numbered(texts: DataFrame) -> DataFrame:
+    """lang, words, counts, hashes, ids: blocks of text as numbers of their words; number 0 ends a piece."""
+    def number(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in blocks(whole, 1, BLOCK_BYTES):
+                texts: dict[str, list[bytes]] = {}
+                for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    texts.setdefault(lang, []).append(text.encode("utf-8"))
+                for lang, many in texts.items():
+                    numbers: dict[bytes, int] = {b"\n": BREAK}
+                    ids = np.array([numbers.setdefault(t, len(numbers)) for t in _TOKEN.findall(b"\n".join(many).translate(_TABLE))], np.int32)
+                    seed = xxhash.xxh32_intdigest(lang)
+                    hashes = np.array([xxhash.xxh3_64_intdigest(w, seed=seed) for w in numbers], np.uint64).view(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang], pa.string()), pa.array([[w.decode("utf-8") for w in numbers]], pa.list_(pa.string())),
+                         *(pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x))
+                           for x in (np.bincount(ids, minlength=len(numbers)).astype(np.int64), hashes, ids))],
+                        names=["lang", "words", "counts", "hashes", "ids"])
+    return texts.mapInArrow(number, "lang string, words array<string>, counts array<long>, hashes array<long>, ids array<int>")
 
-def _hash(lang: str, phrase: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(phrase, seed=xxhash.xxh32_intdigest(lang))
 
+def _mixed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    x = left * np.uint64(0x9E3779B97F4A7C15) + right
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
 
-class Bitmap:
-    """A set of (lang, phrase) by hash: never denies a member."""
 
-    def __init__(self, bits: np.ndarray):
-        self.bits = bits
+def _bitmap(hashes: DataFrame) -> np.ndarray:
+    """A set of hashes, that never denies a member: Spark unites equal bytes, the driver gets at most 2^(BITS-3)."""
+    bits = np.zeros(1 << (BITS - 3), np.uint8)
+    at = F.col("hash").bitwiseAND(F.lit((1 << BITS) - 1))
+    one = F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (at % 8 + 1).cast("int"))
+    found = hashes.select((at - at % 8).alias("place"), one.alias("bit")).groupBy("place").agg(F.bit_or("bit").alias("bits")).toArrow()
+    bits[found.column("place").to_numpy() >> 3] = found.column("bits").to_numpy().astype(np.uint8)
+    return bits
+
+
+def _has(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = (hashes & np.uint64(len(bits) * 8 - 1)).astype(np.int64)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def _windows(batch: pa.RecordBatch, known: np.ndarray, sizes: tuple[int, ...]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(words, where, hash) of a block's windows: pairs of known words, or longer ones all of whose pairs are known."""
+    ids = batch.column("ids").flatten().to_numpy()
+    if not len(ids):
+        return
+    word = batch.column("hashes").flatten().to_numpy().view(np.uint64)
+    whole = ids != BREAK
+    at = word[ids]
+    hashes = {1: at, 2: _mixed(at[:-1], at[1:])}
+    if sizes == (2,):
+        fine = _has(known, word)[ids] & whole
+        safe = fine[:-1] & fine[1:]
+    else:
+        safe = whole[:-1] & whole[1:]
+        safe[safe] = _has(known, hashes[2][safe])
+    for size in range(2, max(sizes) + 1):
+        if len(ids) < size:
+            return
+        n = len(ids) - size + 1
+        if size > 2:
+            hashes[size] = _mixed(hashes[size - 1][:n], at[size - 1:])
+        if size in sizes:
+            ok = np.logical_and.reduce([safe[j:j + n] for j in range(size - 1)])
+            starts = np.flatnonzero(ok)
+            yield size, starts, hashes[size][starts]
 
-    def has(self, lang: str, phrases: Iterable[bytes]) -> np.ndarray:
-        at = np.array([_hash(lang, p) & (len(self.bits) * 8 - 1) for p in phrases], np.int64)
-        return (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
+def _frequent(texts: DataFrame, known: np.ndarray, sizes: tuple[int, ...], support: int) -> DataFrame:
+    """Hashes of the windows that reach ``support``; equal ones of a block are added up before the shuffle."""
+    shared = texts.sparkSession.sparkContext.broadcast(known)
 
-def _bitmap(frequent: DataFrame) -> Bitmap:
-    """The bitmap of (lang, phrase) rows: tasks hash them, Spark unites equal bytes, the driver gets at most 2^(BITS-3)."""
-    mask = (1 << BITS) - 1
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for i in range(whole.num_rows):
+                for _, _, found in _windows(whole.slice(i, 1), shared.value, sizes):
+                    hashes, counts = np.unique(found, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts.astype(np.int64))], names=["hash", "f"])
 
-    def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = [_hash(lang, p.encode("utf-8")) & mask
-                  for lang, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array([a >> 3 for a in at], pa.int32()), pa.array([1 << (a & 7) for a in at], pa.int32())],
-                                             names=["place", "bits"])
-    bits = np.zeros(1 << (BITS - 3), np.uint8)
-    found = (frequent.select("lang", "phrase").mapInArrow(hashed, "place int, bits int")
-             .groupBy("place").agg(F.bit_or("bits").alias("bits")).toArrow())
-    bits[found.column("place").to_numpy()] = found.column("bits").to_numpy().astype(np.uint8)
-    return Bitmap(bits)
+    return (texts.select("hashes", "ids").mapInArrow(count, "hash long, f long").groupBy("hash").agg(F.sum("f").alias("f"))
+            .filter(F.col("f") >= support).select("hash"))
 
 
-def _windows(words: list[bytes], ids: np.ndarray, lang: str, known: Bitmap, least: int, most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(length, distinct windows, their counts): 2 words whose words are known, or ``least`` and more whose pairs all are."""
-    if least == 2:
-        fine = np.concatenate(([False], known.has(lang, words[1:])))
-        safe = fine[ids[:-1]] & fine[ids[1:]]
-    else:
-        inner = (ids[:-1] != BREAK) & (ids[1:] != BREAK)
-        codes, back = np.unique((ids[:-1] * len(words) + ids[1:])[inner], return_inverse=True)
-        fine = known.has(lang, (words[c // len(words)] + b" " + words[c % len(words)] for c in codes.tolist()))
-        safe = np.zeros(len(ids) - 1, bool)
-        safe[inner] = fine[back]
-    for size in range(least, most + 1):
-        if len(ids) < size:
-            return
-        ok = np.ones(len(ids) - size + 1, bool)
-        for j in range(size - 1):
-            ok &= safe[j:len(ids) - size + 1 + j]
-        starts = np.flatnonzero(ok)
-        code = ids[starts]  # windows as numbers, closed up after each word so that they don't overflow
-        for j in range(1, size):
-            code = np.unique(code * len(words) + ids[starts + j], return_inverse=True)[1]
-        _, first, counts = np.unique(code, return_index=True, return_counts=True)
-        yield size, np.stack([ids[starts[first] + j] for j in range(size)], 1), counts
-
-
-def _frequent(texts: DataFrame, known: Bitmap, least: int, most: int, support: int) -> DataFrame:
-    """lang, phrase, words, f of the windows that reach ``support``; each task adds up its blocks' before the shuffle."""
-    spark = texts.sparkSession
-    shared = spark.sparkContext.broadcast(known)
+def _phrases(texts: DataFrame, pairs: np.ndarray, frequent: DataFrame, longest: int) -> DataFrame:
+    """lang, phrase of the windows whose hash is frequent."""
+    shared = texts.sparkSession.sparkContext.broadcast((pairs, _bitmap(frequent)))
 
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def spell(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs, frequent = shared.value
+        seen: set[int] = set()  # what this task has spelled, at most as many as there are candidates
         for whole in batches:
-            for batch in blocks(whole, 1, BLOCK_BYTES):
-                for lang, words, ids in _numbered(batch):
-                    if len(ids) < 2:
+            for i in range(whole.num_rows):
+                batch = whole.slice(i, 1)
+                words, ids = batch.column("words").flatten(), batch.column("ids").flatten().to_numpy()
+                lang = batch.column("lang")[0].as_py()
+                for size, starts, found in _windows(batch, pairs, tuple(range(2, max(longest, 3) + 1))):
+                    if size > longest:
                         continue
-                    for size, found, counts in _windows(words, ids, lang, shared.value, least, most):
-                        phrases = [b" ".join([words[i] for i in row]).decode("utf-8") for row in found.tolist()]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.string()),
-                             pa.array(np.full(len(phrases), size), pa.int32()), pa.array(counts, pa.int64())],
-                            names=["lang", "phrase", "words", "f"])
+                    likely = _has(frequent, found)
+                    hashes, first = np.unique(found[likely], return_index=True)
+                    starts = starts[likely][first]
+                    fresh = np.array([h not in seen for h in hashes.tolist()], bool)
+                    seen.update(hashes[fresh].tolist())
+                    columns = [words.take(pa.array(ids[starts[fresh] + j])).to_pylist() for j in range(size)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(hashes[fresh].view(np.int64)), pa.array([lang] * int(fresh.sum()), pa.string()),
+                         pa.array([" ".join(w) for w in zip(*columns, strict=True)], pa.string())], names=["hash", "lang", "phrase"])
 
-    return (texts.mapInArrow(count, "lang string, phrase string, words int, f long").groupBy("lang", "phrase", "words")
-            .agg(F.sum("f").alias("f")).filter(F.col("f") >= support))
+    return (texts.select("lang", "words", "hashes", "ids").mapInArrow(spell, "hash long, lang string, phrase string").distinct()
+            .join(frequent, "hash", "left_semi").select("lang", "phrase").distinct())
 
 
 class Trie:
@@ -193,13 +220,13 @@ def _counted(texts: DataFrame, candidates: DataFrame, trie_phrases: int) -> Data
         by_lang: dict[str, list[str]] = {}
         for lang, phrase in zip(listed.column(0).to_pylist(), listed.column(1).to_pylist(), strict=True):
             by_lang.setdefault(lang, []).append(phrase)
-        tries: dict[str, tuple[list[str], dict[bytes, int], Trie]] = {}
+        tries: dict[str, tuple[list[str], dict[str, int], Trie]] = {}
         for lang, phrases in by_lang.items():
-            numbers: dict[bytes, int] = {}
-            coded = [tuple(numbers.setdefault(w, len(numbers) + 1) for w in p.encode("utf-8").split(b" ")) for p in phrases]
+            numbers: dict[str, int] = {}
+            coded = [tuple(numbers.setdefault(w, len(numbers) + 1) for w in p.split(" ")) for p in phrases]
             tries[lang] = phrases, numbers, Trie(coded, len(numbers))
         shared = spark.sparkContext.broadcast(tries)
-        done.append(staged(texts.mapInArrow(_counter(shared), "lang string, phrase string, f long")
+        done.append(staged(texts.select("lang", "words", "ids").mapInArrow(_counter(shared), "lang string, phrase string, f long")
                            .groupBy("lang", "phrase").agg(F.sum("f").alias("f")), "counts"))
         shared.destroy()
     counts = done[0]
@@ -213,11 +240,13 @@ def _counter(shared) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordB
         tries = shared.value
         totals = {lang: np.zeros(len(phrases), np.int64) for lang, (phrases, _, _) in tries.items()}
         for whole in batches:
-            for batch in blocks(whole, 1, BLOCK_BYTES):
-                for lang, words, ids in _numbered(batch):
-                    if lang in tries:
-                        _, numbers, trie = tries[lang]
-                        totals[lang] += trie.count(np.array([numbers.get(w, 0) for w in words], np.int64)[ids])
+            for i in range(whole.num_rows):
+                lang = whole.column("lang")[i].as_py()
+                if lang in tries:
+                    _, numbers, trie = tries[lang]
+                    batch = whole.slice(i, 1)
+                    known = np.array([numbers.get(w, 0) for w in batch.column("words").flatten().to_pylist()], np.int32)
+                    totals[lang] += trie.count(known[batch.column("ids").flatten().to_numpy()])
         for lang, total in totals.items():
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays(
@@ -226,17 +255,12 @@ def _counter(shared) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordB
     return count
 
 
-def _words(texts: DataFrame) -> DataFrame:
-    """lang, phrase, f of every word; each block adds up its own first."""
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in blocks(whole, 1, BLOCK_BYTES):
-                for lang, words, ids in _numbered(batch):
-                    counts = np.bincount(ids, minlength=len(words))[1:]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(counts), pa.string()), pa.array([w.decode("utf-8") for w in words[1:]], pa.string()),
-                         pa.array(counts.astype(np.int64))], names=["lang", "phrase", "f"])
-    return texts.mapInArrow(count, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+def _ranked(scored: DataFrame, order: list[Column | str], per_lang: int) -> DataFrame:
+    """``rank`` within a language, the first ``per_lang``; parts of a language are ranked first, so no task sorts all of it."""
+    part = F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS))
+    first = (scored.withColumn("part", part).withColumn("place", F.row_number().over(W.partitionBy("lang", "part").orderBy(*order)))
+             .filter(F.col("place") <= per_lang).drop("part", "place"))
+    return first.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= per_lang)
 
 
 def mine(docs: DataFrame, support: int = 30, longest: int = 4, contained_percent: int = 80, per_lang: int = 2000,
@@ -248,14 +272,18 @@ def mine(docs: DataFrame, support: int = 30, longest: int = 4, contained_percent
     An empty table, or no phrase with ``support``: no rows. Texts of any length are read whole.
     """
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    words = staged(_words(texts), "words")
+    numbered = staged(_numbered(texts), "numbered")
+    word = F.explode(F.arrays_zip("words", "hashes", "counts")).alias("w")
+    words = staged(numbered.select("lang", word).filter("w.words <> '\n'")
+                   .groupBy("lang", F.col("w.words").alias("phrase"), F.col("w.hashes").alias("hash")).agg(F.sum("w.counts").alias("f")), "words")
     total = words.groupBy("lang").agg(F.sum("f").alias("n"))
     known = words.filter(F.col("f") >= support)
-    pairs = staged(_frequent(texts, _bitmap(known), 2, 2, support), "pairs")
-    candidates = pairs
+    frequent = staged(_frequent(numbered, _bitmap(known), (2,), support), "pairs")
+    pairs = _bitmap(frequent)
     if longest > 2:
-        candidates = pairs.unionByName(staged(_frequent(texts, _bitmap(pairs), 3, longest, support), "longer"))
-    counted = staged(_counted(texts, candidates, trie_phrases), "candidates")
+        frequent = frequent.unionByName(staged(_frequent(numbered, pairs, tuple(range(3, longest + 1)), support), "longer"))
+    candidates = staged(_phrases(numbered, pairs, frequent, longest), "candidates")
+    counted = staged(_counted(numbered, candidates, trie_phrases).filter(F.col("f") >= support), "counted")
 
     parts = known.select("lang", "phrase", "f").unionByName(counted.select("lang", "phrase", "f"))
     split = F.split("phrase", " ")
@@ -275,7 +303,6 @@ def mine(docs: DataFrame, support: int = 30, longest: int = 4, contained_percent
               .groupBy("lang", "phrase").agg(F.max("f").alias("around")))
     alone = (scored.join(around, ["lang", "phrase"], "left")
              .filter(F.col("around").isNull() | F.expr(f"cast(around as decimal(20,0)) * 100 < cast(a as decimal(20,0)) * {int(contained_percent)}")))
-    best = W.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), "phrase")
-    return (alone.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= per_lang).join(total, "lang")
-            .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), "n",
-                    F.col("cut.score").cast("long").alias("score")))
+    best = _ranked(alone, [F.desc("cut.score"), F.desc("a"), "phrase"], per_lang).join(total, "lang")
+    return best.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), "n",
+                       F.col("cut.score").cast("long").alias("score"))
