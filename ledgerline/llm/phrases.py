@@ -7,7 +7,7 @@ numbers of these words. Over the blocks:
 2. pairs of frequent words are counted by 64-bit hashes;
 3. windows of three words and more are, if all their pairs are frequent. "Frequent" is read off a bitmap
    of fixed size that every task gets. Collisions only let more through, so no candidate is lost;
-4. windows whose hash is frequent become candidates and go into double-array tries of at most
+4. windows whose hash is frequent, each spelled by one block that holds it, become candidates and go into double-array tries of at most
    ``TRIE_PHRASES`` phrases, one broadcast at a time. Tasks move the states of all text positions one word
    ahead at once, count accepting states with ``bincount``, and Spark sums the tasks' counts. These
    counts are exact; what has too few goes.
@@ -23,6 +23,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -41,8 +42,9 @@ _TOKEN = re.compile(rb"[^ \n]+|\n")
 
 
 def _numbered(texts: DataFrame) -> DataFrame:
-    """lang, words, counts, hashes, ids: blocks of text as numbers of their words; number 0 ends a piece."""
+    """block, lang, words, counts, hashes, ids: blocks of text as numbers of their words; number 0 ends a piece."""
     def number(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = 0
         for whole in batches:
             for batch in blocks(whole, 1, BLOCK_BYTES):
                 texts: dict[str, list[bytes]] = {}
@@ -53,12 +55,14 @@ def _numbered(texts: DataFrame) -> DataFrame:
                     ids = np.array([numbers.setdefault(t, len(numbers)) for t in _TOKEN.findall(b"\n".join(many).translate(_TABLE))], np.int32)
                     seed = xxhash.xxh32_intdigest(lang)
                     hashes = np.array([xxhash.xxh3_64_intdigest(w, seed=seed) for w in numbers], np.uint64).view(np.int64)
+                    # a number of the block; two that share one only do some work twice
+                    block, made = xxhash.xxh32_intdigest(f"{TaskContext.get().partitionId()} {made}") >> 5, made + 1
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang], pa.string()), pa.array([[w.decode("utf-8") for w in numbers]], pa.list_(pa.string())),
+                        [pa.array([block], pa.int32()), pa.array([lang], pa.string()), pa.array([[w.decode("utf-8") for w in numbers]], pa.list_(pa.string())),
                          *(pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x))
                            for x in (np.bincount(ids, minlength=len(numbers)).astype(np.int64), hashes, ids))],
-                        names=["lang", "words", "counts", "hashes", "ids"])
-    return texts.mapInArrow(number, "lang string, words array<string>, counts array<long>, hashes array<long>, ids array<int>")
+                        names=["block", "lang", "words", "counts", "hashes", "ids"])
+    return texts.mapInArrow(number, "block int, lang string, words array<string>, counts array<long>, hashes array<long>, ids array<int>")
 
 
 def _mixed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -111,46 +115,46 @@ def _windows(batch: pa.RecordBatch, known: np.ndarray, sizes: tuple[int, ...]) -
 
 
 def _frequent(texts: DataFrame, known: np.ndarray, sizes: tuple[int, ...], support: int) -> DataFrame:
-    """Hashes of the windows that reach ``support``; equal ones of a block are added up before the shuffle."""
+    """hash, block of the windows that reach ``support``: a block that holds one. Equal ones of a block are added up before the shuffle."""
     shared = texts.sparkSession.sparkContext.broadcast(known)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for i in range(whole.num_rows):
+                block = whole.column("block")[i].as_py()
                 for _, _, found in _windows(whole.slice(i, 1), shared.value, sizes):
                     hashes, counts = np.unique(found, return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts.astype(np.int64))], names=["hash", "f"])
+                    yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts.astype(np.int64)),
+                                                      pa.array(np.full(len(hashes), block, np.int32))], names=["hash", "f", "block"])
 
-    return (texts.select("hashes", "ids").mapInArrow(count, "hash long, f long").groupBy("hash").agg(F.sum("f").alias("f"))
-            .filter(F.col("f") >= support).select("hash"))
+    return (texts.select("block", "hashes", "ids").mapInArrow(count, "hash long, f long, block int").groupBy("hash")
+            .agg(F.sum("f").alias("f"), F.min("block").alias("block")).filter(F.col("f") >= support).select("hash", "block"))
 
 
 def _phrases(texts: DataFrame, pairs: np.ndarray, frequent: DataFrame, longest: int) -> DataFrame:
-    """lang, phrase of the windows whose hash is frequent."""
-    shared = texts.sparkSession.sparkContext.broadcast((pairs, _bitmap(frequent)))
+    """lang, phrase of the windows whose hash is frequent, from the block named beside it."""
+    owned = frequent.select(F.col("hash").bitwiseXOR(F.col("block").cast("long")).alias("hash"))
+    shared = texts.sparkSession.sparkContext.broadcast((pairs, _bitmap(owned)))
 
     def spell(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs, frequent = shared.value
-        seen: set[int] = set()  # what this task has spelled, at most as many as there are candidates
+        pairs, owned = shared.value
         for whole in batches:
             for i in range(whole.num_rows):
                 batch = whole.slice(i, 1)
                 words, ids = batch.column("words").flatten(), batch.column("ids").flatten().to_numpy()
-                lang = batch.column("lang")[0].as_py()
+                lang, block = batch.column("lang")[0].as_py(), np.uint64(batch.column("block")[0].as_py())
                 for size, starts, found in _windows(batch, pairs, tuple(range(2, max(longest, 3) + 1))):
                     if size > longest:
                         continue
-                    likely = _has(frequent, found)
+                    likely = _has(owned, found ^ block)
                     hashes, first = np.unique(found[likely], return_index=True)
                     starts = starts[likely][first]
-                    fresh = np.array([h not in seen for h in hashes.tolist()], bool)
-                    seen.update(hashes[fresh].tolist())
-                    columns = [words.take(pa.array(ids[starts[fresh] + j])).to_pylist() for j in range(size)]
+                    columns = [words.take(pa.array(ids[starts + j])).to_pylist() for j in range(size)]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(hashes[fresh].view(np.int64)), pa.array([lang] * int(fresh.sum()), pa.string()),
+                        [pa.array(hashes.view(np.int64)), pa.array([lang] * len(hashes), pa.string()),
                          pa.array([" ".join(w) for w in zip(*columns, strict=True)], pa.string())], names=["hash", "lang", "phrase"])
 
-    return (texts.select("lang", "words", "hashes", "ids").mapInArrow(spell, "hash long, lang string, phrase string").distinct()
+    return (texts.select("block", "lang", "words", "hashes", "ids").mapInArrow(spell, "hash long, lang string, phrase string")
             .join(frequent, "hash", "left_semi").select("lang", "phrase").distinct())
 
 
