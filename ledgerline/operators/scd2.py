@@ -1,9 +1,9 @@
 """SCD type 2 history from a CDC event stream, with bounded window groups.
 
-Semantics (source project's customer history):
+Semantics:
 
-1. events with the same key and seq (an extraction re-run) count once, and of unlike images that
-   of the latest extraction;
+1. equal events (an extraction re-run) count once; unlike images of one key and seq all stay, in the
+   order of change time, op and attributes. With ``latest_image`` only that of the latest extraction does;
 2. an event is a new version when ``md5(op | tracked attributes)`` differs from the previous
    event's of the same key (ordered by ``_seq``). The op is part of the hash, so the first
    update after an insert always opens a version;
@@ -15,7 +15,7 @@ so one hot key (a third of the log) would be a single straggler. Here every wind
 ``(key, _seq div bucket_width)``: a group never holds more than ``bucket_width`` sequence
 numbers. The neighbour across a bucket boundary comes from a per-bucket summary (one row per
 key and bucket, read off the window output by a filter) windowed by key and joined back on
-(key, bucket). One exchange on (key, bucket) serves the choice among equal events and both
+(key, bucket). One exchange on (key, bucket) serves the removal of equal events and both
 row-level windows. The summaries are branches of the same plan with fewer columns, which Spark
 shuffles for themselves.
 """
@@ -48,22 +48,26 @@ def _bucketed(events: DataFrame, key: str, bucket_width: int) -> DataFrame:
 def scd2_versions(events: DataFrame, key: str, tracked: Sequence[str],
                   time_col: str = "changed_at", op_col: str = "_op",
                   bucket_width: int = 1 << 20, strict: bool = False,
-                  landed_col: str = "_extracted_at") -> DataFrame:
+                  landed_col: str = "_extracted_at", latest_image: bool = False) -> DataFrame:
     """Events that open a version, with ``valid_from``/``valid_to`` (deletes still included).
 
-    ``events`` needs ``key``, ``tracked``, ``op_col``, ``_seq`` and ``time_col``; with ``landed_col`` it
-    says which of several images of one (key, seq) holds, without it the greatest image does.
+    ``events`` needs ``key``, ``tracked``, ``op_col``, ``_seq`` and ``time_col``. With ``latest_image`` the
+    greatest ``landed_col`` says which of several images of one (key, seq) holds, without that column
+    the greatest image does.
     """
     cols = [key, *tracked, op_col, "_seq", time_col]
-    landed = [landed_col] if landed_col in events.columns else []
-    # one exchange on (key, bucket) serves the grouping and both row-level windows below
+    landed = [landed_col] if latest_image and landed_col in events.columns else []
+    # one exchange on (key, bucket) serves the removal of copies and both row-level windows below
     ev = _bucketed(events.select(*cols, *landed), key, bucket_width).repartition("__k", "__b")
-    image = [*landed, *[c for c in cols if c != "_seq"]]
-    ev = (ev.groupBy("__k", "__b", "_seq").agg(F.max(F.struct(*image)).alias("__e"))
-            .select("__k", "__b", "_seq", "__e.*").select("__k", "__b", *cols)
-            .withColumn("__h", change_hash(op_col, tracked, strict)))
-
-    wb = Window.partitionBy("__k", "__b").orderBy("_seq")
+    if latest_image:
+        image = [*landed, *[c for c in cols if c != "_seq"]]
+        ev = (ev.groupBy("__k", "__b", "_seq").agg(F.max(F.struct(*image)).alias("__e"))
+                .select("__k", "__b", "_seq", "__e.*").select("__k", "__b", *cols))
+    else:
+        ev = ev.distinct()
+    ev = ev.withColumn("__h", change_hash(op_col, tracked, strict))
+
+    wb = Window.partitionBy("__k", "__b").orderBy("_seq", time_col, op_col, *tracked)
     wk = Window.partitionBy("__k").orderBy("__b")
     ev = (ev.withColumn("__prev_h", F.lag("__h").over(wb))
             .withColumn("__first", F.row_number().over(wb) == 1)
@@ -92,9 +96,9 @@ def scd2_versions(events: DataFrame, key: str, tracked: Sequence[str],
 def scd2_history(events: DataFrame, key: str, tracked: Sequence[str],
                  time_col: str = "changed_at", op_col: str = "_op",
                  bucket_width: int = 1 << 20, strict: bool = False,
-                 landed_col: str = "_extracted_at") -> DataFrame:
+                 landed_col: str = "_extracted_at", latest_image: bool = False) -> DataFrame:
     """One row per version of a key: ``version_key``, key, tracked attributes, validity."""
-    v = scd2_versions(events, key, tracked, time_col, op_col, bucket_width, strict, landed_col)
+    v = scd2_versions(events, key, tracked, time_col, op_col, bucket_width, strict, landed_col, latest_image)
     return v.filter(F.col(op_col) != "D").select(
         F.md5(F.concat(F.col(key), F.lit("|"), F.col("_seq").cast("string"))).alias("version_key"),
         key, *tracked, "valid_from", "valid_to",

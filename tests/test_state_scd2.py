@@ -90,20 +90,23 @@ def test_customer_history_golden(spark):
         ], width
 
 
-def test_one_version_per_key_and_sequence(spark):
-    """Two images of one (key, seq): that of the later extraction holds, and keys stay unique."""
+def test_unlike_images_of_one_sequence(spark):
+    """Images of one (key, seq): each distinct one is a version, or that of the latest extraction alone."""
     rows = [("1", "n", "PT", city, "U", 7, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, h))
             for city, h in (("Faro", 9), ("Evora", 6), ("Braga", 3))]
     ev = spark.createDataFrame(rows, SCD2_SCHEMA + ", _extracted_at timestamp").repartition(3)
-    got = scd2_history(ev, "customer_id", TRACKED).collect()
+    got = scd2_history(ev, "customer_id", TRACKED, latest_image=True).collect()
     assert [r["city"] for r in got] == ["Faro"]
+    for width in (1, 1 << 20):
+        got = scd2_history(ev.unionByName(ev), "customer_id", TRACKED, bucket_width=width).collect()
+        assert sorted((r["city"], r["is_current"]) for r in got) == [("Braga", False), ("Evora", False), ("Faro", True)]
 
 
 def scd2_changes_single_window(events, key, tracked, op_col="_op"):
     """Single-window formulation (one group per key): the brute-force check."""
     cols = [key, *tracked, op_col, "_seq", "changed_at"]
     ev = events.select(*cols).distinct().withColumn("__h", change_hash(op_col, tracked))
-    w = Window.partitionBy(key).orderBy("_seq")
+    w = Window.partitionBy(key).orderBy("_seq", "changed_at", op_col, *tracked)
     return (ev.withColumn("__prev", F.lag("__h").over(w))
               .filter(~F.col("__h").eqNullSafe(F.col("__prev")))
               .withColumn("valid_to", F.lead("changed_at").over(w))
@@ -124,6 +127,8 @@ def test_bucketed_scd2_equals_single_window(spark):
                      dt.datetime(2026, 1, 1) + dt.timedelta(minutes=seq)))
         if rnd.random() < 0.1:
             rows.append(rows[-1])
+        if rnd.random() < 0.1:  # another image of the same sequence number
+            rows.append((cust, "n", "PT", "C", "U", seq, rows[-1][-1]))
     ev = spark.createDataFrame(rows, SCD2_SCHEMA)
     cols = ["customer_id", *TRACKED, "_op", "_seq", "valid_from", "valid_to"]
     expected = sorted(map(tuple, scd2_changes_single_window(ev, "customer_id", TRACKED).select(*cols).collect()),
