@@ -20,12 +20,10 @@ TOLERANCE = Decimal("0.01")
 
 def billing_reconcile(lh) -> DataFrame:
     """Billing headers whose value differs from the sum of their items by more than 0.01."""
-    h = lh.model("stg_billing_documents").select("billing_id", "net_value").alias("h")
-    i = lh.model("stg_billing_items").select("billing_id", "net_value").alias("i")
-    sums = (h.join(i, F.col("h.billing_id") == F.col("i.billing_id"), "left")
-             .groupBy(F.col("h.billing_id").alias("billing_id"),
-                      F.col("h.net_value").alias("header_value"))
-             .agg(F.sum("i.net_value").alias("items_value")))
+    h = lh.model("stg_billing_documents").select("billing_id", F.col("net_value").alias("header_value"))
+    i = (lh.model("stg_billing_items").groupBy("billing_id").agg(F.sum("net_value").alias("items_value")))
+    # items are added up before the join, so it meets one row of a document on each side
+    sums = h.join(i, "billing_id", "left")
     diff = F.abs(F.col("header_value") - F.coalesce(F.col("items_value"), F.lit(0)))
     return sums.filter(diff > F.lit(TOLERANCE)).select(
         "billing_id", "header_value", F.col("items_value").cast("decimal(18,3)").alias("items_value"))

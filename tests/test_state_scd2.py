@@ -10,6 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerline.operators.scd2 import change_hash, scd2_history, scd2_versions
+from ledgerline.operators.setops import table_diff
 from ledgerline.operators.state import current_state, state_as_of
 from ledgerline.plans.lakehouse import Lakehouse
 from ledgerline.schemas import TABLES, bronze_schema
@@ -160,3 +161,13 @@ def test_strict_mode_ignores_insert_to_update_without_change(spark):
     strict = scd2_history(ev, "customer_id", TRACKED, strict=True).collect()
     assert sorted((r["city"], r["valid_to"]) for r in strict) == [
         ("Braga", None), ("Porto", dt.datetime(2026, 1, 3))]
+
+
+def test_table_diff_counts_repeated_rows_and_reads_each_side_once(spark):
+    left = spark.createDataFrame([(1, "a"), (1, "a"), (1, "a"), (None, None), (2, "b")], "k int, v string")
+    right = spark.createDataFrame([("a", 1), (None, None), (None, None), ("c", 3)], "v string, k int")
+    got = sorted(map(tuple, table_diff(left, right).collect()), key=str)
+    assert got == sorted([(1, "a", "left_only")] * 2 + [(2, "b", "left_only"), (3, "c", "right_only"), (None, None, "right_only")], key=str)
+    assert table_diff(left, left).count() == 0 and table_diff(left.limit(0), right.limit(0)).count() == 0
+    plan = table_diff(left, right)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
