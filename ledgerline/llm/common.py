@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import uuid
 from collections.abc import Callable, Iterator
@@ -44,6 +45,23 @@ def blocks(batch: pa.RecordBatch, text: int, size: int = 4 << 20) -> Iterator[pa
             yield batch.slice(a, b - a)
 
 
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for mapInArrow; after its last batch the worker gives freed memory back to the system.
+
+    Workers live on for later tasks, and what the allocators hold for themselves would add up over the stages.
+    """
+
+    def to_the_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if sys.platform == "linux" and hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+                libc.malloc_trim(0)
+
+    return to_the_end
+
+
 def per_process(key: Any, make: Callable[[], Any]) -> Any:
     """What ``make`` returns, kept for the life of this worker process and its later tasks."""
     kept = sys.__dict__.setdefault("_ledgerline_llm_kept", {})

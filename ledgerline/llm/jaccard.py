@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import blocks, staged
+from .common import blocks, staged, trimmed
 from .lm import GOLDEN, mixed, words
 
 BUCKETS = 1 << 19
@@ -92,7 +92,7 @@ def frequency_levels(docs: DataFrame, width: int) -> np.ndarray:
         at = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(sums[at])], names=["bucket", "n"])
 
-    found = docs.select("text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    found = docs.select("text").mapInArrow(trimmed(count), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     sums = np.zeros(BUCKETS, np.int64)
     sums[found.column("bucket").to_numpy()] = found.column("n").to_numpy()
     mean = max(1.0, sums.mean())
@@ -135,7 +135,7 @@ def sketches(docs: DataFrame, levels: np.ndarray, rule: Rule) -> DataFrame:
                     [part.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())),
                      pa.array(bitmaps, pa.binary())], names=["doc_id", "n", "digest", "prefix", "bitmap"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, digest binary, prefix array<bigint>, bitmap binary")
+    return docs.select("doc_id", "text").mapInArrow(trimmed(run), "doc_id long, n long, digest binary, prefix array<bigint>, bitmap binary")
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -268,7 +268,7 @@ def candidate_pairs(postings: DataFrame, classes: DataFrame, labels: DataFrame,
         if held:
             yield done()
 
-    return dealt.drop("task").mapInArrow(run, "shingle long, a long, b long")
+    return dealt.drop("task").mapInArrow(trimmed(run), "shingle long, a long, b long")
 
 
 def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
@@ -288,7 +288,7 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, rule: Rule) ->
                     [part.column(0).filter(pa.array(right)), pa.array([s.tobytes() for s, r in zip(sets, right, strict=True) if r], pa.binary())],
                     names=["cls", "members"])
 
-    sets = staged(texts.mapInArrow(run, "cls long, members binary").dropDuplicates(["cls"]), "sets")
+    sets = staged(texts.mapInArrow(trimmed(run), "cls long, members binary").dropDuplicates(["cls"]), "sets")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -301,7 +301,7 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, rule: Rule) ->
 
     both = (pairs.join(sets.select(F.col("cls").alias("a"), F.col("members").alias("first")), "a")
             .join(sets.select(F.col("cls").alias("b"), F.col("members").alias("second")), "b"))
-    return both.select("a", "b", "first", "second").mapInArrow(compare, "a long, b long, linked boolean")
+    return both.select("a", "b", "first", "second").mapInArrow(trimmed(compare), "a long, b long, linked boolean")
 
 
 def connect(labels: DataFrame, edges: DataFrame) -> DataFrame:
@@ -408,4 +408,4 @@ def with_digest(docs: DataFrame, rule: Rule) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(digests, pa.binary())], names=[*part.schema.names[1:], "__digest"])
 
     kinds = ", ".join(f"`{c.name}` {c.dataType.simpleString()}" for c in docs.schema)
-    return docs.select(F.col("text").cast("string").alias("__text"), *[F.col(f"`{c}`") for c in docs.columns]).mapInArrow(run, f"{kinds}, __digest binary")
+    return docs.select(F.col("text").cast("string").alias("__text"), *[F.col(f"`{c}`") for c in docs.columns]).mapInArrow(trimmed(run), f"{kinds}, __digest binary")

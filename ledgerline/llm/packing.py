@@ -8,6 +8,7 @@ pieces of one length; a piece takes the slot that its rank among pieces of its l
 from __future__ import annotations
 
 import bisect
+import os
 import zlib
 from collections.abc import Iterator, Mapping
 
@@ -17,12 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import blocks, per_process, staged
+from .common import blocks, per_process, staged, trimmed
 
 CAPACITY = 4096
 END = b"\x01\x00\x00\x00"  # id 1 ends each document
 PART_ROWS = 1 << 20
-KEPT_WORDS = 1_000_000
+KEPT_BYTES = 32 << 20
+ENTRY_BYTES = 200  # of the table of words, beside the word and its ids
 CALL_WORDS = 256
 BLOCK_BYTES = 1 << 20
 
@@ -36,6 +38,7 @@ class WordIds:
     """
 
     def __init__(self, path: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks; threads here would each hold memory
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -44,6 +47,7 @@ class WordIds:
         special = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items() if not (t.lstrip or t.rstrip or t.single_word)}
         self.cut, self.cut_text = min(special.items()) if special else (None, "")
         self.ids: dict[bytes, bytes] = {}
+        self.kept = 0
 
     def _encoded(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -66,14 +70,17 @@ class WordIds:
 
     def packed(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.ids) > KEPT_WORDS:
-            self.ids.clear()
         split = []
         for text in texts:
             raw = text.encode()
             # special tokens are found before lower-casing
             split.append([w if b"<|" in w else w.lower() for w in raw.split()] if b"<|" in raw else raw.lower().split())
-        self._learn(set().union(*split).difference(self.ids))
+        missing = set().union(*split).difference(self.ids)
+        if self.kept > KEPT_BYTES:
+            self.ids.clear()
+            missing, self.kept = set().union(*split), 0
+        self._learn(missing)
+        self.kept += sum(ENTRY_BYTES + len(w) + len(self.ids[w]) for w in missing)
         return [b"".join(map(self.ids.__getitem__, words)) for words in split]
 
 
@@ -95,7 +102,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
                                              names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+        trimmed(run), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def plan(histogram: Mapping[int, int], capacity: int = CAPACITY) -> np.ndarray:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import staged, trimmed
 
 SYMBOLS = "#*$%&|<>"
 COMMON = 200
@@ -142,7 +142,7 @@ def references(docs: DataFrame, common: int = COMMON) -> References:
         yield rows()
 
     sums = (docs.select(_lang(F.col("lang")).alias("lang"), F.col("text").cast("string").alias("text"))
-            .mapInArrow(count, "lang string, kind int, word string, n long").groupBy("lang", "kind", "word").agg(F.sum("n").alias("n")))
+            .mapInArrow(trimmed(count), "lang string, kind int, word string, n long").groupBy("lang", "kind", "word").agg(F.sum("n").alias("n")))
     # filtered by place alone, so that Spark limits each language before the shuffle
     place = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "word"))
     most = sums.filter("kind = 1").withColumn("place", place).filter(F.col("place") <= common).drop("place")
@@ -280,10 +280,10 @@ def judge(docs: DataFrame, rules: Rules = Rules(), common: int = COMMON, carry:
 
     kept = "".join(f", `in_{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
     if known.others is None:
-        return rows(docs).drop("lang").mapInArrow(run, fixed + kept)
+        return rows(docs).drop("lang").mapInArrow(trimmed(run), fixed + kept)
     is_large = _lang(F.col("lang")).isin(known.langs)
     # no small language has MIN_SHARE of the documents, or it has too few for the join to notice
-    return (rows(docs.filter(is_large)).drop("lang").mapInArrow(run, fixed + kept)
+    return (rows(docs.filter(is_large)).drop("lang").mapInArrow(trimmed(run), fixed + kept)
             .unionByName(rows(docs.filter(~is_large)).join(known.others, "lang", "left")
                          .select("doc_id", "text", *[f"`in_{c}`" for c in carry], "lang", "classes", "words", "shares")
-                         .mapInArrow(run, fixed + kept)))
+                         .mapInArrow(trimmed(run), fixed + kept)))

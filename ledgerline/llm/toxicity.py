@@ -21,11 +21,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import blocks, trimmed
+
 #: The classifier is fitted on about this many labelled rows, taken by a hash of doc_id.
 TRAIN_ROWS = 8000
 SEGMENT = 128
 #: The field is fitted on half as many of their segments with toxic words, taken by a hash, and on half to all as many others.
 MAX_SEGMENTS = 4000
+#: texts scored at once, and words whose buckets a task remembers
+BLOCK_BYTES = 1 << 20
+KEPT_WORDS = 200_000
 STEPS = 150
 BUCKETS = 6
 CHANCE = 0.05
@@ -284,8 +289,9 @@ def score(docs: DataFrame, model: Model, carry: tuple[str, ...] = ()) -> DataFra
         model = shared.value
         known = Buckets(model.evidence)
         for whole in batches:
-            for at in range(0, max(1, whole.num_rows), 2048):
-                batch = whole.slice(at, 2048)
+            for batch in blocks(whole, 1, BLOCK_BYTES):
+                if len(known) > KEPT_WORDS:
+                    known = Buckets(model.evidence)
                 texts = [x or "" for x in batch.column(1).to_pylist()]
                 x, marginal, lengths = summaries([tokens(x) for x in texts], model, known)
                 scores = 1 / (1 + np.exp(-np.clip(x @ model.curve, -30, 30)))
@@ -298,4 +304,4 @@ def score(docs: DataFrame, model: Model, carry: tuple[str, ...] = ()) -> DataFra
                     names=["doc_id", "score", "spans", *(f"in_{c}" for c in carry)])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *[F.col(f"`{c}`").alias(f"in_{c}") for c in carry])
-    return rows.mapInArrow(run, f"doc_id long, score double, spans array<struct<start:int,end:int>>{kept}")
+    return rows.mapInArrow(trimmed(run), f"doc_id long, score double, spans array<struct<start:int,end:int>>{kept}")
