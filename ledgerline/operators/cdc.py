@@ -15,7 +15,8 @@ A run for one table:
 Plan notes: netting is a hash aggregation with fixed-width buffers (the op travels as a small
 int), so a key changed millions of times collapses map-side. The image lookup is one left join
 from the netted keys to the source; Spark sizes it (a small side is broadcast, by the planner's
-estimate or by adaptive execution from real sizes), so no row count of ours changes the plan.
+estimate or by adaptive execution from real sizes), so no row count of ours changes the plan. Images
+kept clustered by key (``sources.images``) are read only in the key ranges that the delta touches.
 """
 
 from __future__ import annotations

@@ -20,7 +20,7 @@ from ledgerline.plans.gold import GOLD_MODELS
 from ledgerline.plans.lakehouse import Lakehouse
 from ledgerline.plans.silver import SILVER_MODELS
 from ledgerline.schemas import TABLES
-from ledgerline.sources import bronze
+from ledgerline.sources import bronze, images, state_table
 from ledgerline.sources.fixtures import INIT_BATCH, change_scenario, fixture
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,10 +96,10 @@ def publish_all(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, DataFr
     from ledgerline.session import shared_dir
     base = shared_dir(spark, "bronze-all")
     runs = []
-    for k, (images, log) in enumerate(change_scenario(spark, sf_dir, base)):
+    for k, (sources, log) in enumerate(change_scenario(spark, sf_dir, base)):
         at = dt.datetime(2026, 1, 5 + k, 6, 0, tzinfo=dt.UTC)
-        runs.append(bronze.extract_all(spark, log, images, f"{base}/bronze", f"run-{k}", at, parallelism=4))
-    return f"{base}/bronze", images, runs
+        runs.append(bronze.extract_all(spark, log, sources, f"{base}/bronze", f"run-{k}", at, parallelism=4))
+    return f"{base}/bronze", sources, runs
 
 
 # ---- CDC extraction ---------------------------------------------------------------------------
@@ -125,6 +125,17 @@ def q_cdc_delta_events(spark, sf_dir):
     return kna1_delta_events(spark, sf_dir)
 
 
+@register("cdc_delta_events_pruned")
+def q_cdc_delta_events_pruned(spark, sf_dir):
+    """The same delta over customer images kept clustered by key: only the key ranges it touches are read."""
+    from ledgerline.session import shared_dir
+    path = shared_dir(spark, "images-kna1")
+    images.write_images(_fx(spark, sf_dir, "fx_kna1_live"), KNA1, path)
+    log = _fx(spark, sf_dir, "fx_delta_log")
+    netted = cdc.net_change(cdc.log_window(log, "kna1", 0, cdc.high_mark_value(log)))
+    return cdc.delta_events(netted, images.images_of(netted, KNA1, path), KNA1)
+
+
 @register("cdc_batch_counts")
 def q_cdc_batch_counts(spark, sf_dir):
     return cdc.batch_counts(kna1_delta_events(spark, sf_dir))
@@ -177,11 +188,14 @@ def q_tabkey_roundtrip(spark, sf_dir):
 @register("replay_equals_source")
 def q_replay_equals_source(spark, sf_dir):
     """Rows by which the replay of the published events and the source differ, over all ten tables: none."""
-    root, images, _ = publish_all(spark, sf_dir)
+    root, sources, _ = publish_all(spark, sf_dir)
+    return _differences({t: state.replay(bronze.read_bronze(spark, root, t), s.keys, s.fields) for t, s in TABLES.items()}, sources)
+
+
+def _differences(replayed: dict[str, DataFrame], sources: dict[str, DataFrame]) -> DataFrame:
     out = None
     for table, spec in TABLES.items():
-        replayed = state.replay(bronze.read_bronze(spark, root, table), spec.keys, spec.fields)
-        diff = setops.table_diff(replayed, images[table]).select(
+        diff = setops.table_diff(replayed[table], sources[table]).select(
             F.lit(table).alias("tabname"), F.concat_ws("|", *[F.coalesce(f, F.lit("<null>")) for f in spec.fields]).alias("row"),
             F.col("_side").alias("side"))
         out = diff if out is None else out.unionByName(diff)
@@ -197,6 +211,32 @@ def q_replay_safe_mode(spark, sf_dir):
     return setops.table_diff(replayed, _fx(spark, sf_dir, "fx_kna1_source"))
 
 
+@register("current_state_incremental")
+def q_current_state_incremental(spark, sf_dir):
+    """Customers' current state from the state table: made from INIT, brought up to date with DELTA alone."""
+    from ledgerline.session import shared_dir
+    root = shared_dir(spark, "bronze-state")
+    log = _fx(spark, sf_dir, "fx_delta_log")
+    bronze.extract_table(spark, log.filter(F.lit(False)), _fx(spark, sf_dir, "fx_kna1"), root, "kna1", *SCENARIO_INIT)
+    state_table.refresh(spark, root, "kna1", buckets=8)
+    bronze.extract_table(spark, log, _fx(spark, sf_dir, "fx_kna1_source"), root, "kna1", *SCENARIO_DELTA)
+    state_table.refresh(spark, root, "kna1")
+    return state_table.read_state(spark, root, "kna1").select(*KNA1.fields, "_op", "_seq", "_changed_at", "_load_type", "_batch_id")
+
+
+@register("replay_state_equals_source")
+def q_replay_state_equals_source(spark, sf_dir):
+    """Rows by which the state tables, brought up to date after each run, and the source differ, over
+    all ten tables: none."""
+    from ledgerline.session import shared_dir
+    base = shared_dir(spark, "bronze-states")
+    for k, (sources, log) in enumerate(change_scenario(spark, sf_dir, base)):
+        at = dt.datetime(2026, 1, 5 + k, 6, 0, tzinfo=dt.UTC)
+        bronze.extract_all(spark, log, sources, f"{base}/bronze", f"run-{k}", at, parallelism=4)
+        state_table.refresh_all(spark, f"{base}/bronze", buckets=8, parallelism=4)
+    return _differences({t: state_table.read_state(spark, f"{base}/bronze", t).select(*TABLES[t].fields) for t in TABLES}, sources)
+
+
 @register("agg_daily_sales_published")
 def q_agg_daily_sales_published(spark, sf_dir):
     """The flagship model over bronze that the extractor published."""
@@ -484,10 +524,10 @@ def q_stream_replay_equals_source(spark, sf_dir):
     base = shared_dir(spark, "stream-init")
     log = _fx(spark, sf_dir, "fx_delta_log")
     log.filter(F.lit(False)).write.parquet(f"{base}/log")
-    for images, entries in ((_fx(spark, sf_dir, "fx_kna1"), None), (_fx(spark, sf_dir, "fx_kna1_source"), log)):
+    for current, entries in ((_fx(spark, sf_dir, "fx_kna1"), None), (_fx(spark, sf_dir, "fx_kna1_source"), log)):
         if entries is not None:
             entries.write.mode("append").parquet(f"{base}/log")
-        _finished(start_extraction(spark, f"{base}/log", lambda: images, "kna1", f"{base}/bronze",
+        _finished(start_extraction(spark, f"{base}/log", lambda: current, "kna1", f"{base}/bronze",
                                    f"{base}/checkpoint", clock=lambda: STREAM_CLOCK, safe=True))
     replayed = state.replay(bronze.read_bronze(spark, f"{base}/bronze", "kna1"), KNA1.keys, KNA1.fields)
     return setops.table_diff(replayed, _fx(spark, sf_dir, "fx_kna1_source"))

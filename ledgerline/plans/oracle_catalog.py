@@ -25,6 +25,7 @@ ORACLE_SQL.update({
     "cdc_log_window": sql("select * from kna1_window"),
     "cdc_net_change": sql("select * from kna1_netted"),
     "cdc_delta_events": sql("select * from kna1_delta_live"),
+    "cdc_delta_events_pruned": sql("select * from kna1_delta_live"),
     "cdc_batch_counts": sql("""
 select count(*) filter (where _op = 'I') as inserts, count(*) filter (where _op = 'U') as updates,
   count(*) filter (where _op = 'D') as deletes from kna1_delta_live"""),
@@ -47,6 +48,10 @@ from (select mandt, vbeln, posnr, rpad(mandt, 3, ' ') || rpad(vbeln, 10, ' ') ||
     "replay_equals_source": "select '' as tabname, '' as row, '' as side where false",
     "replay_safe_mode": sql("select *, '' as _side from fx_kna1_source where false"),
     "stream_replay_equals_source": sql("select *, '' as _side from fx_kna1_source where false"),
+    "replay_state_equals_source": "select '' as tabname, '' as row, '' as side where false",
+    "current_state_incremental": sql(f"""
+select {KNA1_FIELDS}, _op, _seq, _changed_at, _load_type, _batch_id
+from ({latest('kna1_published', 'mandt, kunnr')}) c"""),
     "agg_daily_sales_published": sql("select * from agg_daily_sales", source_only=True),
     "table_diff": sql(diff_sql("vbak_current_fields", "fx_vbak")),
     # bronze store

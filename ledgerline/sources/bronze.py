@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -177,12 +178,14 @@ def roll_back(spark: SparkSession, root: str, table: str, as_of_day: str) -> int
 def extract_table(spark: SparkSession, log: DataFrame, source: DataFrame, root: str,
                   table: str, batch_id: str | None = None,
                   extracted_at: dt.datetime | None = None, safe: bool = False,
-                  high: int | None = None) -> dict:
+                  high: int | None = None,
+                  lookup: Callable[[DataFrame], DataFrame] | None = None) -> dict:
     """One extraction run for one table (INIT, DELTA or NONE), published atomically.
 
     ``safe`` also deletes keys that were created and removed inside the window but that bronze holds
     as live (an earlier run read them after its high mark). ``high``: the log's high mark, if the
-    caller has read it, before any source.
+    caller has read it, before any source. ``lookup`` returns, for a delta's netted keys, the part of
+    the source that can hold them (``images.images_of``); without it the whole source is looked at.
     """
     spec = TABLES[table]
     watermark = current_watermark(spark, root, table)
@@ -200,7 +203,7 @@ def extract_table(spark: SparkSession, log: DataFrame, source: DataFrame, root:
         netted = cdc.net_change(cdc.log_window(log, table, watermark, high)).persist(
             StorageLevel.MEMORY_AND_DISK)
         live = current_state(read_bronze(spark, root, table), spec.keys).select(*spec.keys) if safe else None
-        events = cdc.delta_events(netted, source, spec, live_keys=live)
+        events = cdc.delta_events(netted, lookup(netted) if lookup else source, spec, live_keys=live)
     stamped = cdc.stamp_batch(events, load_type, batch_id, extracted_at)
     try:
         rows = publish_batch(spark, stamped, root, table, high, batch_id, extracted_at)

@@ -75,9 +75,11 @@ def initialise(spark: SparkSession, log_dir: str, source: Callable[[], DataFrame
 
 def extraction_batch(spark: SparkSession, source: Callable[[], DataFrame], table: str,
                      bronze_root: str, stream: str, after: int = 0,
-                     clock: Callable[[], dt.datetime] | None = None, safe: bool = False):
+                     clock: Callable[[], dt.datetime] | None = None, safe: bool = False,
+                     lookup: Callable[[DataFrame], DataFrame] | None = None):
     """The ``foreachBatch`` function: one micro-batch = one DELTA extraction window over the log
-    entries above ``after``."""
+    entries above ``after``. ``lookup`` returns the part of the source that can hold a micro-batch's
+    netted keys, instead of all of it."""
     spec = TABLES[table]
     clock = clock or (lambda: dt.datetime.now(dt.UTC))
 
@@ -95,7 +97,7 @@ def extraction_batch(spark: SparkSession, source: Callable[[], DataFrame], table
             netted = cdc.net_change(window)
             live = (current_state(bronze.read_bronze(spark, bronze_root, table), spec.keys).select(*spec.keys)
                     if safe else None)
-            events = cdc.delta_events(netted, source(), spec, live_keys=live)
+            events = cdc.delta_events(netted, lookup(netted) if lookup else source(), spec, live_keys=live)
             extracted_at = clock()
             stamped = cdc.stamp_batch(events, "DELTA", batch_id, extracted_at)
             bronze.publish_batch(spark, stamped, bronze_root, table, int(high), batch_id,
@@ -110,14 +112,15 @@ def start_extraction(spark: SparkSession, log_dir: str, source: Callable[[], Dat
                      table: str, bronze_root: str, checkpoint: str, available_now: bool = True,
                      processing_time: str | None = None,
                      clock: Callable[[], dt.datetime] | None = None, safe: bool = False,
-                     max_files_per_trigger: int | None = None) -> StreamingQuery:
+                     max_files_per_trigger: int | None = None,
+                     lookup: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
     """Start the streaming extraction of ``table``, after its INIT if it has no watermark.
     ``source`` returns the current image table when called (re-read per micro-batch)."""
     stream = stream_id(spark, checkpoint)
     now = clock or (lambda: dt.datetime.now(dt.UTC))
     after = initialise(spark, log_dir, source, table, bronze_root, f"stream-{stream}-init", now)
     writer = (read_change_log(spark, log_dir, max_files_per_trigger).writeStream
-              .foreachBatch(extraction_batch(spark, source, table, bronze_root, stream, after, now, safe))
+              .foreachBatch(extraction_batch(spark, source, table, bronze_root, stream, after, now, safe, lookup))
               .option("checkpointLocation", f"{checkpoint}/spark"))
     if available_now:
         writer = writer.trigger(availableNow=True)
