@@ -548,3 +548,19 @@ def q_stream_append_events(spark, sf_dir):
         if q.exception():
             raise q.exception()
     return spark.read.schema(CHANGE_LOG_SCHEMA).parquet(f"{base}/out")
+
+
+@register("stream_append_once")
+def q_stream_append_once(spark, sf_dir):
+    """The change log lands in three parts, each with the part before it once more: the sink holds every
+    entry once."""
+    from ledgerline.schemas import CHANGE_LOG_SCHEMA
+    from ledgerline.session import shared_dir
+    from ledgerline.streaming.cdc_stream import start_deduplicated_append
+    base = shared_dir(spark, "stream-once")
+    log = _fx(spark, sf_dir, "fx_delta_log")
+    part = F.pmod(F.xxhash64("seq"), F.lit(3))
+    for k in range(3):
+        log.filter(part.isin(k, k - 1)).write.mode("append").parquet(f"{base}/in")
+        _finished(start_deduplicated_append(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint"))
+    return spark.read.schema(CHANGE_LOG_SCHEMA).parquet(f"{base}/out")

@@ -193,3 +193,4 @@ ORACLE_SQL["stream_delta_events"] = sql(
 union all select {KNA1_FIELDS}, 'I', cast(0 as bigint), cast(null as timestamp), 'INIT' from fx_kna1""")
 
 ORACLE_SQL["stream_append_events"] = sql("select seq, tabname, tabkey, op, logged_at from fx_delta_log")
+ORACLE_SQL["stream_append_once"] = ORACLE_SQL["stream_append_events"]

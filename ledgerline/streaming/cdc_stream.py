@@ -138,3 +138,20 @@ def start_append(spark: SparkSession, events_dir: str, schema, sink_dir: str, ch
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     return writer.trigger(availableNow=True).start(sink_dir)
+
+
+def start_deduplicated_append(spark: SparkSession, log_dir: str, sink_dir: str, checkpoint: str, within: str = "7 days",
+                              max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Append of the arriving change log, entries that are delivered again left out.
+
+    An entry is its table, key and sequence number; the first delivery stays. Spark's state holds what
+    arrived during the last ``within`` and drops older keys, so it is bounded by the arrivals of that
+    time, however long the stream runs. The watermark is on the time of arrival (of the micro-batch),
+    not on ``logged_at``: no entry is ever late, so none is lost, and one delivered again after more
+    than ``within`` passes (current state and history resolve it by its sequence number).
+    """
+    arrived = read_change_log(spark, log_dir, max_files_per_trigger).withColumn("__arrived", F.current_timestamp())
+    once = (arrived.withWatermark("__arrived", within)
+            .dropDuplicatesWithinWatermark(["tabname", "tabkey", "seq"]).drop("__arrived"))
+    return (once.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start(sink_dir))
