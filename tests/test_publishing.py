@@ -8,6 +8,7 @@ import subprocess
 import sys
 
 import pytest
+from pyspark.sql import functions as F
 from test_cdc import key, kna1_df, log_df
 
 from ledgerline import __main__ as cli
@@ -15,7 +16,7 @@ from ledgerline.operators import cdc
 from ledgerline.operators.setops import table_diff
 from ledgerline.operators.state import replay
 from ledgerline.plans import build, catalog
-from ledgerline.schemas import TABLES
+from ledgerline.schemas import CHANGE_LOG_SCHEMA, TABLES
 from ledgerline.session import checkpoint_root
 from ledgerline.sources import bronze, fixtures
 
@@ -108,3 +109,29 @@ def test_a_session_without_a_shared_folder_is_refused(spark):
 
     with pytest.raises(RuntimeError):
         checkpoint_root(Without)
+
+
+def test_scenario_derives_the_sources_once(spark, scratch):
+    """Each moment of a table is one read of its stored derivation, whatever the derivation joins."""
+    moments = fixtures.change_scenario(spark, "/root/testdata/sf0.001", scratch)
+    for sources, _ in moments:
+        for table in TABLES:
+            plan = sources[table]._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("FileScan parquet") == 1, table
+            assert "Join" not in plan and "Window" not in plan and "Exchange" not in plan, table
+
+
+def test_delta_without_lookup_keeps_nothing_in_memory(spark, scratch, monkeypatch):
+    """The netted keys are read once, so they are not cached; with a lookup they are read twice and are."""
+    kept = []
+    monkeypatch.setattr(type(spark.range(1)), "persist", lambda self, *a: kept.append(1) or self)
+    monkeypatch.setattr(type(spark.range(1)), "unpersist", lambda self, *a: self)
+    rows = [("100", "0000000001", *[""] * (len(TABLES["kna1"].fields) - 2))]
+    source = spark.createDataFrame(rows, TABLES["kna1"].source_schema)
+    log = spark.createDataFrame([(5, "KNA1", "100" + "0000000001", "U", dt.datetime(2026, 1, 5))], CHANGE_LOG_SCHEMA)
+    at = dt.datetime(2026, 1, 6, tzinfo=dt.UTC)
+    bronze.extract_table(spark, log.limit(0), source, scratch, "kna1", "a", at)
+    for lookup, batch, count in ((None, "b", 0), (lambda netted: source, "c", 1)):
+        log = log.withColumn("seq", F.col("seq") + 1)
+        run = bronze.extract_table(spark, log, source, scratch, "kna1", batch, at, lookup=lookup)
+        assert run["updates"] == 1 and len(kept) == count
