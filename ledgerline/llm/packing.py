@@ -23,7 +23,7 @@ from .common import blocks, per_process, staged, trimmed
 CAPACITY = 4096
 END = b"\x01\x00\x00\x00"  # id 1 ends each document
 PART_ROWS = 1 << 20
-KEPT_BYTES = 32 << 20
+KEPT_BYTES = 96 << 20  # of each of the two tables of words
 ENTRY_BYTES = 200  # of the table of words, beside the word and its ids
 CALL_WORDS = 256
 BLOCK_BYTES = 1 << 20
@@ -33,7 +33,7 @@ class WordIds:
     """Ids of whole texts by the tokenizers file at ``path``, whose words never reach across white space.
 
     The library encodes each distinct word once while it is kept, many in one call with a special
-    token between them: ids of a text are the ids of its words, joined. The file lower-cases, so A-Z
+    token between them. Two tables of bounded size keep them, so that words in use stay when others go: ids of a text are the ids of its words, joined. The file lower-cases, so A-Z
     are lowered first, and a full stop or comma after a letter is a word of its own.
     """
 
@@ -46,7 +46,9 @@ class WordIds:
         self.tokenizer.no_padding()
         special = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items() if not (t.lstrip or t.rstrip or t.single_word)}
         self.cut, self.cut_text = min(special.items()) if special else (None, "")
+        #: words met since the last change of tables, and those of the table before it
         self.ids: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.kept = 0
 
     def _encoded(self, texts: list[str]) -> list[np.ndarray]:
@@ -75,11 +77,12 @@ class WordIds:
             raw = text.encode()
             # special tokens are found before lower-casing
             split.append([w if b"<|" in w else w.lower() for w in raw.split()] if b"<|" in raw else raw.lower().split())
+        if self.kept > KEPT_BYTES:  # words in use move on to the new table, others go with the next change
+            self.older, self.ids, self.kept = self.ids, {}, 0
         missing = set().union(*split).difference(self.ids)
-        if self.kept > KEPT_BYTES:
-            self.ids.clear()
-            missing, self.kept = set().union(*split), 0
-        self._learn(missing)
+        again = {w: self.older[w] for w in missing if w in self.older}
+        self.ids.update(again)
+        self._learn(missing.difference(again))
         self.kept += sum(ENTRY_BYTES + len(w) + len(self.ids[w]) for w in missing)
         return [b"".join(map(self.ids.__getitem__, words)) for words in split]
 

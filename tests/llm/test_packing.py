@@ -32,6 +32,19 @@ def test_ids_equal_the_library(library):
             assert np.frombuffer(packed, "<u4").tolist() == right.ids, text
 
 
+def test_words_in_use_are_encoded_once(monkeypatch, library):
+    """The table of words is bounded, but a word that every call needs is not encoded again when others go."""
+    monkeypatch.setattr(packing, "KEPT_BYTES", 4000)
+    words, seen = packing.WordIds(tokenizer_file(PATH)), []
+    learn = packing.WordIds._learn
+    monkeypatch.setattr(packing.WordIds, "_learn", lambda self, missing: (seen.extend(missing), learn(self, missing)))
+    for k in range(60):
+        text = f"common bread. rare{k} other{k}"
+        assert np.frombuffer(words.packed([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert seen.count(b"common") == 1 and seen.count(b"bread.") == 1
+    assert len(words.ids) + len(words.older) < 100
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_plan_places_every_piece_once(seed):
     rnd = random.Random(seed)
