@@ -24,12 +24,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, staged
+from .common import blocks, staged, trim, trimmed
 
 END = b""  # no word is empty
 FLUSH = 400_000
+BLOCK_BYTES = 1 << 20
 DICTIONARY = 200_000
-SEGMENT_TOKENS = 1 << 22
+SEGMENT_TOKENS = 1 << 20  # a worker sorts one segment at a time
 ROUND_BYTES = 128 << 20
 # odd multipliers and shifts of the splitmix64 finaliser (fixed values)
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -118,7 +119,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
                     yield rows()
         yield rows()
 
-    return texts.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("c"))
+    return texts.select("text").mapInArrow(trimmed(count), "word string, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
 def _segment(keys: np.ndarray, segments: int) -> np.ndarray:
@@ -126,7 +127,7 @@ def _segment(keys: np.ndarray, segments: int) -> np.ndarray:
 
 
 def filter_segments(texts: DataFrame, segments: int, settings: Settings) -> DataFrame:
-    """segment, bits: the filter's parts. Each has the n-grams of one hash class, a few million tokens' worth.
+    """segment, bits: the filter's parts. Each has the n-grams of one hash class, about a million tokens' worth.
 
     Tasks count their own n-grams first and send sorted hashes and counts by segment; equal n-grams
     of a task are one entry, so the most frequent are no larger than the rarest.
@@ -148,16 +149,16 @@ def filter_segments(texts: DataFrame, segments: int, settings: Settings) -> Data
                                                for x in (keys, counts.astype("<u4")))], names=["segment", "keys", "counts"])
 
         for batch in batches:
-            for part in blocks(batch, 0):
+            for part in blocks(batch, 0, BLOCK_BYTES):
                 block = Block.of(part.column(0).to_pylist(), settings.order)
                 at = block.tokens()
                 keys, counts = np.unique(np.concatenate([g[at] for g in block.grams()]), return_counts=True)
                 held.append((keys, counts))
                 size += len(keys)
-                if size > 8 * FLUSH:
+                if size > 4 * FLUSH:
                     held[:] = [_summed(held)]
                     size = len(held[0][0])
-                    if size > 6 * FLUSH:
+                    if size > 3 * FLUSH:
                         yield rows()
                         size = 0
         if held:
@@ -171,9 +172,13 @@ def filter_segments(texts: DataFrame, segments: int, settings: Settings) -> Data
         for level in range(1, int(levels.max(initial=0)) + 1):
             for at in _places(keys[levels >= level], level, settings.probes, np.uint64(size)):
                 bits[at] = True
-        return pd.DataFrame({"segment": [rows["segment"].iloc[0]], "bits": [np.packbits(bits).tobytes()]})
+        del keys, counts, levels
+        out = pd.DataFrame({"segment": [rows["segment"].iloc[0]], "bits": [np.packbits(bits).tobytes()]})
+        del bits
+        trim()
+        return out
 
-    return (texts.select("text").mapInArrow(count, "segment long, keys binary, counts binary")
+    return (texts.select("text").mapInArrow(trimmed(count), "segment long, keys binary, counts binary")
             .groupBy("segment").applyInPandas(build, "segment long, bits binary"))
 
 
@@ -347,4 +352,4 @@ def _probe(state: DataFrame, shared: object, dictionary: object, total: int, dis
 
     schema = ("row long, doc_id long, held_out boolean, n_tokens long, known long, logs double, score double, rare array<string>" if last
               else "doc_id long, text string, held_out boolean, levels array<binary>")
-    return state.select("doc_id", "text", "held_out", "levels").mapInArrow(run, schema)
+    return state.select("doc_id", "text", "held_out", "levels").mapInArrow(trimmed(run), schema)

@@ -86,3 +86,15 @@ def test_trigrams_see_their_order():
     third = block.grams()[2][block.tokens()]
     assert len(set(third.tolist())) == 8
     assert block.lengths.tolist() == [4, 4]
+
+
+def test_a_worker_sorts_no_more_than_a_segment_and_gives_memory_back(spark, monkeypatch):
+    """A segment holds about 2^20 tokens, however many there are; each task on texts or segments ends with a trim."""
+    asked = []
+    monkeypatch.setattr(lm, "filter_segments", lambda texts, segments, settings: asked.append(segments) or (_ for _ in ()).throw(StopIteration))
+    wrapped = []
+    monkeypatch.setattr(lm, "trimmed", lambda run: wrapped.append(run) or run, raising=False)
+    monkeypatch.setattr(lm, "staged", lambda df, name: spark.createDataFrame([("a", 5 << 20)], "word string, c long"))
+    with pytest.raises((StopIteration, RuntimeError)):
+        lm.score(spark.createDataFrame([(0, "a")], "doc_id long, text string"), HELD())
+    assert asked == [5] and len(wrapped) == 1
