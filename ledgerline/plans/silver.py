@@ -210,6 +210,14 @@ def stg_billing_items(lh) -> DataFrame:
     return billing_items_with_headers(lh).drop(*HEADER_COLUMNS, "has_header")
 
 
+def billing_item_references(lh) -> DataFrame:
+    """``billing_id``, ``item_number`` and reference of every current billing item: no header, no amount."""
+    return _current(lh, "vbrp").select(
+        alpha_out("vbeln").alias("billing_id"),
+        F.col("posnr").cast("int").alias("item_number"),
+        alpha_out("vgbel").alias("reference_document_id"))
+
+
 def billed_references(lh) -> DataFrame:
     """``delivery_id`` of every current billing item's reference: no header, no amount."""
     if lh.is_stored("stg_billing_items"):
