@@ -152,6 +152,7 @@ def q_cdc_load_mode(spark, sf_dir):
     """Per table of the demo lakehouse: the next run's load type, judged from the watermark of
     its INIT batch and the change-log entries after it."""
     lh = lakehouse(spark, sf_dir)
+    lh.derive(spark, sf_dir, list(TABLES))
     marks = None
     for t in TABLES:
         m = (lh.bronze(t).filter(F.col("_load_type") == "INIT")

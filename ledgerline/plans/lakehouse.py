@@ -56,6 +56,11 @@ class Lakehouse:
         from ledgerline.sources.bronze import read_bronze
         return cls(spark, lambda t: read_bronze(spark, root, t), **kw)
 
+    @staticmethod
+    def derive(spark: SparkSession, sf_dir: str, tables) -> None:
+        """Write the bronze tables that a query reads in one go: concurrently, each derivation once."""
+        fixtures.materialize_bronze(spark, sf_dir, tables)
+
     def bronze(self, table: str) -> DataFrame:
         key = f"bronze:{table}"
         if key not in self._memo:
