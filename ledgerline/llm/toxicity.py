@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, trimmed
+from .common import blocks, trim, trimmed
 
 #: The classifier is fitted on about this many labelled rows, taken by a hash of doc_id.
 TRAIN_ROWS = 8000
@@ -31,6 +31,8 @@ MAX_SEGMENTS = 4000
 #: texts scored at once, and words whose buckets a task remembers
 BLOCK_BYTES = 1 << 20
 KEPT_WORDS = 200_000
+#: training documents whose tokens are summed up at once
+SUMMED = 64
 STEPS = 150
 BUCKETS = 6
 CHANCE = 0.05
@@ -184,7 +186,7 @@ def train(rows: Sequence[tuple[str, int]]) -> Model:
     split = [([same.setdefault(w, w) for w in tokens(text)], label) for text, label in rows]
     evidence = find_evidence(split)
     known = Buckets(evidence)
-    quiet = [b[i:i + SEGMENT] for words, _ in split for b in [_buckets(words, known)] for i in range(0, len(b), SEGMENT)]
+    quiet = [b[i:i + SEGMENT] for words, _ in split for b in [_buckets(words, known).astype(np.int8)] for i in range(0, len(b), SEGMENT)]
     labels = [label for words, label in split for _ in range(0, len(words), SEGMENT)]
     hot = [i for i, (b, y) in enumerate(zip(quiet, labels, strict=True)) if y and b.any()]
     hot = _spread(hot, MAX_SEGMENTS // 2)
@@ -192,7 +194,7 @@ def train(rows: Sequence[tuple[str, int]]) -> Model:
     cold = cold[::max(1, len(cold) // (MAX_SEGMENTS // 2))]
     chosen = hot + cold
     lengths = np.array([len(quiet[i]) for i in chosen], np.int64)
-    flat = np.concatenate([quiet[i] for i in chosen]) if chosen else np.zeros(0, np.int64)
+    flat = np.concatenate([quiet[i] for i in chosen]).astype(np.int64) if chosen else np.zeros(0, np.int64)
     toxic = np.concatenate([(quiet[i] > 0) & bool(labels[i]) for i in chosen]) if chosen else np.zeros(0, bool)
     starts = np.cumsum(lengths) - lengths
     features = _features(flat, starts) if len(flat) else np.zeros((3, 0), np.int64)
@@ -212,7 +214,9 @@ def train(rows: Sequence[tuple[str, int]]) -> Model:
         weights += 0.2 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     model = Model(evidence, weights[:-4], weights[-4:].reshape(2, 2), np.zeros(4))
     y = np.array([label for _, label in split], float)
-    x = summaries([w for w, _ in split], model, known)[0] if len(y) else np.zeros((0, 4))
+    # a few documents at a time: the marginals of all tokens of the sample at once would be most of the driver's memory
+    parts = [summaries([w for w, _ in split[i:i + SUMMED]], model, known)[0] for i in range(0, len(split), SUMMED)]
+    x = np.concatenate([np.zeros((0, 4)), *parts])
     for _ in range(30):  # Newton steps of a logistic regression with a small penalty
         p = 1 / (1 + np.exp(-np.clip(x @ model.curve, -30, 30)))
         hessian = (x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(4)
@@ -273,7 +277,10 @@ def held_out(doc_id: Column) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     found = sorted((r.doc_id, r.text, r.toxic) for r in training_rows(docs, labels, rows).collect())
-    return train([(text, toxic) for _, text, toxic in found])
+    model = train([(text, toxic) for _, text, toxic in found])
+    del found
+    trim()  # the driver lives on for later stages
+    return model
 
 
 def score(docs: DataFrame, model: Model, carry: tuple[str, ...] = ()) -> DataFrame:

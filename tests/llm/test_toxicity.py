@@ -82,3 +82,14 @@ def test_toxic_segments_come_from_all_training_rows(monkeypatch):
     toxicity.train(rows)
     lengths = np.diff(taken[0])[:20]
     assert (lengths == 101).any() and (lengths == 11).sum() > 8
+
+
+def test_training_sums_up_a_few_documents_at_a_time(monkeypatch):
+    rows = [(f"calm day {i} " * 5 + ("you vile hiss" if i % 3 == 0 else ""), int(i % 3 == 0)) for i in range(300)]
+    sizes = []
+    real = toxicity.summaries
+    monkeypatch.setattr(toxicity, "summaries", lambda documents, model, known: sizes.append(len(documents)) or real(documents, model, known))
+    model = toxicity.train(rows)
+    assert sum(sizes) == 300 and max(sizes) <= toxicity.SUMMED
+    monkeypatch.setattr(toxicity, "SUMMED", 300)
+    assert np.array_equal(model.curve, toxicity.train(rows).curve)
