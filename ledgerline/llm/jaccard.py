@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -27,6 +27,8 @@ from .lm import GOLDEN, mixed, words
 BUCKETS = 1 << 19
 BLOCK = 512
 LEADERS = 8
+#: lists of this many classes at most are compared row by row before anything wide is dealt
+SHORT = 128
 #: a pair whose bitmaps differ by this share of the limit is near beyond doubt; of others a member names so many a round
 SURE = 0.7
 NAMED = 8
@@ -100,8 +102,8 @@ def frequency_levels(docs: DataFrame, width: int) -> np.ndarray:
 
 
 def parity_bitmap(members: np.ndarray) -> bytes:
-    """Bits that an odd number of members hash to; a power of two of them, four for each member or more."""
-    size = max(64, 1 << int(4 * len(members) - 1).bit_length())
+    """Bits that an odd number of members hash to; a power of two of them, one for each member or more."""
+    size = max(64, 1 << int(len(members) - 1).bit_length())
     at = (mixed(members) & np.uint64(size - 1)).astype(np.int64)
     return np.packbits(np.bincount(at, minlength=size) & 1, bitorder="little").tobytes()
 
@@ -143,14 +145,25 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= SMALL_ROWS else df
 
 
-def shared_postings(classes: DataFrame) -> DataFrame:
-    """shingle, place, cls, n, grp of prefix shingles that more than one class has, and the list's size.
+def may_link(a: str, b: str, rule: Rule) -> Column:
+    """Whether two rows of one list may be a linked pair that meets here first: then they share no more than what is left of each order."""
+    return F.expr(f"{a}.cls <> {b}.cls and {100 + rule.percent} * least({a}.n - {a}.place, {b}.n - {b}.place) >= {rule.percent} * ({a}.n + {b}.n)")
 
-    Shingles whose lists have the same classes bring the same pairs together: one of them stays.
+
+def shared_postings(classes: DataFrame, rule: Rule) -> DataFrame:
+    """shingle, place, cls of prefix shingles that more than one class has, and the list's size.
+
+    Of short lists, rows without a partner that they may link with are left out: a linked pair stays in
+    the list of the first shingle that both have. Shingles whose lists have the same classes bring the
+    same pairs together: one of them stays.
     """
-    postings = classes.select("cls", "n", F.xxhash64("n", "prefix").alias("grp"), F.posexplode("prefix").alias("place", "shingle"))
-    often = staged(postings.groupBy("shingle").count().filter("count > 1").select("shingle"), "shingles")
-    found = staged(postings.join(_small(often), "shingle"), "postings")
+    postings = classes.select("cls", "n", F.posexplode("prefix").alias("place", "shingle"))
+    often = staged(postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("met")).filter("met > 1"), "shingles")
+    met = staged(postings.join(_small(often.select("shingle")), "shingle"), "met")
+    many = _small(staged(often.filter(F.col("met") > SHORT).select("shingle"), "many"))
+    short = met.join(many, "shingle", "left_anti")
+    kept = short.alias("a").join(short.alias("b"), (F.col("a.shingle") == F.col("b.shingle")) & may_link("a", "b", rule), "left_semi")
+    found = staged(kept.unionByName(met.join(many, "shingle", "left_semi")).select("shingle", "place", "cls"), "postings")
     lists = staged(found.groupBy("shingle").agg(F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("cls")).alias("one"),
                                                 F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("two"))
                    .groupBy("size", "one", "two").agg(F.min("shingle").alias("shingle")).select("shingle", "size"), "lists")
@@ -240,12 +253,11 @@ def candidate_pairs(postings: DataFrame, classes: DataFrame, labels: DataFrame,
         long = (long.withColumn("block", F.explode(F.when(F.col("leads"), F.sequence(F.lit(0), many - 1)).otherwise(F.array(own))))
                 .withColumn("block_b", F.col("block")).withColumn("side", F.lit(-1)).drop("leads"))
     short = known.filter(F.col("size") <= BLOCK).withColumns({"block": F.lit(0), "block_b": F.lit(0), "side": F.lit(-1)})
-    columns = ["shingle", "block", "block_b", "side", "place", "cls", "n", "grp", "comp"]
+    columns = ["shingle", "block", "block_b", "side", "place", "cls", "comp"]
     missed = failed.groupBy("a").agg(F.collect_set("b").alias("failed"))  # false hits of the bitmaps, a few each
     rows = (short.select(*columns).unionByName(long.select(*columns))
-            .join(classes.select("cls", "bitmap"), "cls").join(missed, F.col("cls") == F.col("a"), "left").drop("a"))
-    dealt = (rows.withColumn("task", F.xxhash64("shingle", "block", "block_b")).repartition("task")
-             .sortWithinPartitions("task", "shingle", "block", "block_b"))
+            .join(classes.select("cls", "n", "grp", "bitmap"), "cls").join(missed, F.col("cls") == F.col("a"), "left").drop("a"))
+    dealt = rows.repartition("shingle", "block", "block_b").sortWithinPartitions("shingle", "block", "block_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -268,7 +280,7 @@ def candidate_pairs(postings: DataFrame, classes: DataFrame, labels: DataFrame,
         if held:
             yield done()
 
-    return dealt.drop("task").mapInArrow(trimmed(run), "shingle long, a long, b long")
+    return dealt.mapInArrow(trimmed(run), "shingle long, a long, b long")
 
 
 def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
@@ -346,8 +358,8 @@ def _grouped(docs: DataFrame, rule: Rule) -> DataFrame:
     sketch = staged(sketches(docs, frequency_levels(docs, rule.width), rule), "sketches")
     found = sketch.filter("n > 0").groupBy("digest", "n").agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"),
                                                               F.first("bitmap").alias("bitmap"))
-    classes = staged(found.withColumn("cls", F.monotonically_increasing_id()), "classes")
-    postings = shared_postings(classes)
+    classes = staged(found.withColumns({"cls": F.monotonically_increasing_id(), "grp": F.xxhash64("n", "prefix")}), "classes")
+    postings = shared_postings(classes, rule)
     labels = staged(postings.select("cls").distinct().select("cls", F.col("cls").alias("comp")), "labels")
     failed = docs.sparkSession.createDataFrame([], "a long, b long")
     full = False
