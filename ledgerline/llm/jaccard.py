@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -27,8 +27,6 @@ from .lm import GOLDEN, mixed, words
 BUCKETS = 1 << 19
 BLOCK = 512
 LEADERS = 8
-#: lists of this many classes at most are compared row by row before anything wide is dealt
-SHORT = 128
 #: a pair whose bitmaps differ by this share of the limit is near beyond doubt; of others a member names so many a round
 SURE = 0.7
 NAMED = 8
@@ -145,25 +143,14 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= SMALL_ROWS else df
 
 
-def may_link(a: str, b: str, rule: Rule) -> Column:
-    """Whether two rows of one list may be a linked pair that meets here first: then they share no more than what is left of each order."""
-    return F.expr(f"{a}.cls <> {b}.cls and {100 + rule.percent} * least({a}.n - {a}.place, {b}.n - {b}.place) >= {rule.percent} * ({a}.n + {b}.n)")
-
-
-def shared_postings(classes: DataFrame, rule: Rule) -> DataFrame:
+def shared_postings(classes: DataFrame) -> DataFrame:
     """shingle, place, cls of prefix shingles that more than one class has, and the list's size.
 
-    Of short lists, rows without a partner that they may link with are left out: a linked pair stays in
-    the list of the first shingle that both have. Shingles whose lists have the same classes bring the
-    same pairs together: one of them stays.
+    Shingles whose lists have the same classes bring the same pairs together: one of them stays.
     """
-    postings = classes.select("cls", "n", F.posexplode("prefix").alias("place", "shingle"))
-    often = staged(postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("met")).filter("met > 1"), "shingles")
-    met = staged(postings.join(_small(often.select("shingle")), "shingle"), "met")
-    many = _small(staged(often.filter(F.col("met") > SHORT).select("shingle"), "many"))
-    short = met.join(many, "shingle", "left_anti")
-    kept = short.alias("a").join(short.alias("b"), (F.col("a.shingle") == F.col("b.shingle")) & may_link("a", "b", rule), "left_semi")
-    found = staged(kept.unionByName(met.join(many, "shingle", "left_semi")).select("shingle", "place", "cls"), "postings")
+    postings = classes.select("cls", F.posexplode("prefix").alias("place", "shingle"))
+    often = staged(postings.groupBy("shingle").count().filter("count > 1").select("shingle"), "shingles")
+    found = staged(postings.join(_small(often), "shingle"), "postings")
     lists = staged(found.groupBy("shingle").agg(F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("cls")).alias("one"),
                                                 F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("two"))
                    .groupBy("size", "one", "two").agg(F.min("shingle").alias("shingle")).select("shingle", "size"), "lists")
@@ -359,7 +346,7 @@ def _grouped(docs: DataFrame, rule: Rule) -> DataFrame:
     found = sketch.filter("n > 0").groupBy("digest", "n").agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"),
                                                               F.first("bitmap").alias("bitmap"))
     classes = staged(found.withColumns({"cls": F.monotonically_increasing_id(), "grp": F.xxhash64("n", "prefix")}), "classes")
-    postings = shared_postings(classes, rule)
+    postings = shared_postings(classes)
     labels = staged(postings.select("cls").distinct().select("cls", F.col("cls").alias("comp")), "labels")
     failed = docs.sparkSession.createDataFrame([], "a long, b long")
     full = False
