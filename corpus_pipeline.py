@@ -11,6 +11,9 @@ from ledgerline.llm import jaccard, packing, quality, toxicity
 from ledgerline.llm.common import staged, table
 from ledgerline.llm.queries import TOXIC_FROM, tokenizer_file
 
+#: of each table of words: an executor still holds what earlier stages grew to
+PACKING_BYTES = 24 << 20
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -36,7 +39,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their places in sequences of 4096 tokens."""
-    return packing.pack_documents(docs, tokenizer_file("word_bpe_49k.json"))
+    return packing.pack_documents(docs, tokenizer_file("word_bpe_49k.json"), kept_bytes=PACKING_BYTES)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -33,11 +33,11 @@ class WordIds:
     """Ids of whole texts by the tokenizers file at ``path``, whose words never reach across white space.
 
     The library encodes each distinct word once while it is kept, many in one call with a special
-    token between them. Two tables of bounded size keep them, so that words in use stay when others go: ids of a text are the ids of its words, joined. The file lower-cases, so A-Z
+    token between them. Two tables of ``kept_bytes`` each keep them, so that words in use stay when others go: ids of a text are the ids of its words, joined. The file lower-cases, so A-Z
     are lowered first, and a full stop or comma after a letter is a word of its own.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, kept_bytes: int | None = None) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks; threads here would each hold memory
         from tokenizers import Tokenizer
 
@@ -49,7 +49,7 @@ class WordIds:
         #: words met since the last change of tables, and those of the table before it
         self.ids: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
-        self.kept = 0
+        self.kept, self.kept_bytes = 0, kept_bytes or KEPT_BYTES
 
     def _encoded(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -77,7 +77,7 @@ class WordIds:
             raw = text.encode()
             # special tokens are found before lower-casing
             split.append([w if b"<|" in w else w.lower() for w in raw.split()] if b"<|" in raw else raw.lower().split())
-        if self.kept > KEPT_BYTES:  # words in use move on to the new table, others go with the next change
+        if self.kept > self.kept_bytes:  # words in use move on to the new table, others go with the next change
             self.older, self.ids, self.kept = self.ids, {}, 0
         missing = set().union(*split).difference(self.ids)
         again = {w: self.older[w] for w in missing if w in self.older}
@@ -87,11 +87,11 @@ class WordIds:
         return [b"".join(map(self.ids.__getitem__, words)) for words in split]
 
 
-def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
+def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, kept_bytes: int | None = None) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of each document's ids, cut only where longer than ``capacity``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: WordIds = per_process(("words", path), lambda: WordIds(path))
+        words: WordIds = per_process(("words", path, kept_bytes), lambda: WordIds(path, kept_bytes))
         step = 4 * capacity
         for batch in (part for whole in batches for part in blocks(whole, 1, BLOCK_BYTES)):
             rows = []
@@ -197,10 +197,11 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return ranked.mapInArrow(place, f"{kept}, sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, kept_bytes: int | None = None) -> DataFrame:
     """All documents (doc_id, text) in sequences of at most ``capacity`` ids of the vocabulary at ``path``.
 
     One row per piece. A null or empty text is the end id alone. Repeated rows are packed like any
-    other; other columns are not read; an empty table gives no rows.
+    other; other columns are not read; an empty table gives no rows. With less ``kept_bytes`` a worker
+    holds less memory and encodes more words anew; the ids are the same.
     """
-    return pack(staged(pieces(docs, path, capacity), "pieces"), capacity)
+    return pack(staged(pieces(docs, path, capacity, kept_bytes), "pieces"), capacity)

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import staged, trimmed
+from .common import carried, staged, trimmed
 
 SYMBOLS = "#*$%&|<>"
 COMMON = 200
@@ -229,6 +229,7 @@ def judge(docs: DataFrame, rules: Rules = Rules(), common: int = COMMON, carry:
              "kept boolean, class_distance double, word_distance double")
     kinds = [*[pa.int64()] * 6, pa.bool_(), pa.bool_(), pa.float64(), pa.float64()]
     names = [x.split()[0] for x in fixed.split(",")]
+    more, places = carried(docs, carry)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, classes, words = shared.value
@@ -272,11 +273,11 @@ def judge(docs: DataFrame, rules: Rules = Rules(), common: int = COMMON, carry:
                 out.append((doc, n, chars, symbols, lines, repeat, failed, not failed and not far, by_class, by_word))
             columns = list(zip(*out, strict=True)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(columns, kinds, strict=True)),
-                                              *batch.columns[2:2 + len(carry)]], names=[*names, *(f"in_{c}" for c in carry)])
+                                              *map(batch.column, places)], names=[*names, *(f"in_{c}" for c in carry)])
 
     def rows(part: DataFrame) -> DataFrame:
         return part.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-                           *[F.col(f"`{c}`").alias(f"in_{c}") for c in carry], _lang(F.col("lang")).alias("lang"))
+                           *[F.col(f"`{c}`").alias(f"in_{c}") for c in more], _lang(F.col("lang")).alias("lang"))
 
     kept = "".join(f", `in_{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
     if known.others is None:
@@ -285,5 +286,5 @@ def judge(docs: DataFrame, rules: Rules = Rules(), common: int = COMMON, carry:
     # no small language has MIN_SHARE of the documents, or it has too few for the join to notice
     return (rows(docs.filter(is_large)).drop("lang").mapInArrow(trimmed(run), fixed + kept)
             .unionByName(rows(docs.filter(~is_large)).join(known.others, "lang", "left")
-                         .select("doc_id", "text", *[f"`in_{c}`" for c in carry], "lang", "classes", "words", "shares")
+                         .select("doc_id", "text", *[f"`in_{c}`" for c in more], "lang", "classes", "words", "shares")
                          .mapInArrow(trimmed(run), fixed + kept)))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, trim, trimmed
+from .common import blocks, carried, trim, trimmed
 
 #: The classifier is fitted on about this many labelled rows, taken by a hash of doc_id.
 TRAIN_ROWS = 8000
@@ -291,6 +291,7 @@ def score(docs: DataFrame, model: Model, carry: tuple[str, ...] = ()) -> DataFra
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # words of TRAIN_ROWS documents at most
     kept = "".join(f", `in_{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
+    more, places = carried(docs, carry)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -308,8 +309,8 @@ def score(docs: DataFrame, model: Model, carry: tuple[str, ...] = ()) -> DataFra
                          for t, e, n in zip(texts, ends.tolist(), lengths.tolist(), strict=True)]
                 kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(scores, pa.float64()), pa.array(found, kind), *batch.columns[2:]],
+                    [batch.column(0), pa.array(scores, pa.float64()), pa.array(found, kind), *map(batch.column, places)],
                     names=["doc_id", "score", "spans", *(f"in_{c}" for c in carry)])
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *[F.col(f"`{c}`").alias(f"in_{c}") for c in carry])
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *[F.col(f"`{c}`").alias(f"in_{c}") for c in more])
     return rows.mapInArrow(trimmed(run), f"doc_id long, score double, spans array<struct<start:int,end:int>>{kept}")

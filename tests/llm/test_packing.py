@@ -106,3 +106,15 @@ def test_edges(spark, library):
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as length", "2 as offset", "3 as rank")
     check(rows, packing.pack_documents(df.repartition(3), tokenizer_file(PATH), 64).collect(), library, 64)
     assert packing.pack_documents(df.filter("false"), tokenizer_file(PATH)).collect() == []
+
+
+def test_a_smaller_table_of_words_gives_the_same_ids(library):
+    """A pipeline's workers may hold less than the operator alone: fewer words are kept, no id changes."""
+    texts = [" ".join(f"w{i}x{j}" for j in range(40)) + " the, end." for i in range(200)]
+    small = packing.WordIds(tokenizer_file(PATH), kept_bytes=20_000)
+    held, out = 0, []
+    for at in range(0, len(texts), 10):
+        out += small.packed(texts[at:at + 10])
+        held = max(held, len(small.ids) + len(small.older))
+    assert held < 1500  # of more than 8000 words
+    assert [np.frombuffer(x, "<u4").tolist() for x in out] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]

@@ -85,3 +85,21 @@ def test_common_words_are_limited_before_the_shuffle(spark, monkeypatch):
     quality.references(spark.createDataFrame([("a b b", "en")], "text string, lang string"))
     plan = seen[0]._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_carried_text_goes_to_the_workers_once(spark):
+    """doc_id and text are carried from where they already are, unless the operator reads them as another type."""
+    from ledgerline.llm import toxicity
+
+    model = toxicity.train([("you fool", 1), ("a fine day", 0)] * 20)
+    rows = [(1, "a fine day", "en", 7), (2, None, None, None), (None, "you fool " * 60, "en", 8), (2, "", "de", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, extra int")
+    narrow = docs.withColumn("doc_id", F.col("doc_id").cast("int"))
+    for whole, again in ((docs, set()), (narrow, {"in_doc_id"})):
+        carry = tuple(whole.columns)
+        for out in (quality.judge(whole, carry=carry), toxicity.score(whole, model, carry=carry)):
+            plan = out._jdf.queryExecution().analyzed().toString()
+            assert set(re.findall(r"AS (in_doc_id|in_text)#", plan)) == again
+            back = out.select([F.col(f"in_{c}").alias(c) for c in carry])
+            assert back.schema == whole.schema
+            assert Counter(back.collect()) == Counter(whole.collect())
