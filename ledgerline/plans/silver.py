@@ -218,6 +218,16 @@ def billing_item_references(lh) -> DataFrame:
         alpha_out("vgbel").alias("reference_document_id"))
 
 
+def invoiced_order_items(lh) -> DataFrame:
+    """Order item, type and date of every billing item of a document that is not cancelled: no order, no amount."""
+    headers = billing_headers(lh).filter(~F.col("is_cancelled")).select("billing_id", "billing_type", "billing_date")
+    if lh.is_stored("stg_billing_items"):
+        return lh.model("stg_billing_items").join(headers, "billing_id").select("order_id", "order_item_number", "billing_type", "billing_date")
+    items = _current(lh, "vbrp").withColumn("billing_id", alpha_out("vbeln"))
+    return items.join(headers, "billing_id").select(
+        alpha_out("aubel").alias("order_id"), F.col("aupos").cast("int").alias("order_item_number"), "billing_type", "billing_date")
+
+
 def billed_references(lh) -> DataFrame:
     """``delivery_id`` of every current billing item's reference: no header, no amount."""
     if lh.is_stored("stg_billing_items"):

@@ -124,3 +124,9 @@ def test_sources_are_scanned_once(lh, model, table, scans):
     plan = lh.model(model)._jdf.queryExecution().optimizedPlan().toString()
     keyed = {"vbrk": "fksto#", "tcurx": "currdec#", "vbak": "vkorg#", "likp": "wadat_ist#"}[table]
     assert sum(line.lstrip(" :+-").startswith("Relation") and keyed in line for line in plan.splitlines()) == scans
+
+
+def test_first_invoice_reads_no_orders_and_no_currencies(lh):
+    plan = lh.model("first_invoice")._jdf.queryExecution().optimizedPlan().toString()
+    relations = [line for line in plan.splitlines() if line.lstrip(" :+-").startswith("Relation")]
+    assert sum("aubel#" in r for r in relations) == 1 and not any("vkorg#" in r or "currdec#" in r for r in relations)
