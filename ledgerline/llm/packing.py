@@ -9,11 +9,13 @@ from __future__ import annotations
 
 import bisect
 import os
+import re
 import zlib
 from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -26,15 +28,20 @@ PART_ROWS = 1 << 20
 KEPT_BYTES = 96 << 20  # of each of the two tables of words
 ENTRY_BYTES = 200  # of the table of words, beside the word and its ids
 CALL_WORDS = 256
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 2 << 20
+# runs of letters (a-z and U+00C0 to U+00FF in UTF-8, which no normal form changes) and of ASCII signs but the apostrophe
+RUNS = re.compile(rb"(?:[a-z]+|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+|[!-&(-/:-@\[-`{-~]+")
 
 
 class WordIds:
     """Ids of whole texts by the tokenizers file at ``path``, whose words never reach across white space.
 
-    The library encodes each distinct word once while it is kept, many in one call with a special
-    token between them. Two tables of ``kept_bytes`` each keep them, so that words in use stay when others go: ids of a text are the ids of its words, joined. The file lower-cases, so A-Z
-    are lowered first, and a full stop or comma after a letter is a word of its own.
+    Arrow splits the texts and numbers their distinct words; Python meets only those, and ids of a text
+    are gathered by number. The library encodes each distinct word once while it is kept, many in one
+    call. Two tables of ``kept_bytes`` each keep them, so that words in use stay when others go. The file
+    lower-cases, so A-Z are lowered first, and a run of Latin letters or of signs without an apostrophe is
+    a word of its own: runs go to the library between spaces and end with an id that bears the suffix of
+    word ends. Other words go between special tokens.
     """
 
     def __init__(self, path: str, kept_bytes: int | None = None) -> None:
@@ -44,8 +51,14 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        special = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items() if not (t.lstrip or t.rstrip or t.single_word)}
+        added = self.tokenizer.get_added_tokens_decoder()
+        special = {i: t.content for i, t in added.items() if not (t.lstrip or t.rstrip or t.single_word)}
         self.cut, self.cut_text = min(special.items()) if special else (None, "")
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(1 + max(vocabulary.values(), default=0), bool)  # ids that end a word
+        if suffix:
+            self.last[[i for t, i in vocabulary.items() if t.endswith(suffix) and i not in added]] = True
         #: words met since the last change of tables, and those of the table before it
         self.ids: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
@@ -54,37 +67,82 @@ class WordIds:
     def _encoded(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _runs_encoded(self, runs: list[bytes], made: dict[bytes, bytes]) -> list[bytes]:
+        """Ids of ``runs`` join ``made``; those that could not be told apart are returned."""
+        left: list[bytes] = []
+        for at in range(0, len(runs), CALL_WORDS):
+            part = runs[at:at + CALL_WORDS]
+            ids = self._encoded([b" ".join(part).decode()])[0]
+            stops = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
+            if len(stops) != len(part) or stops[-1] != 4 * len(ids):
+                left += part
+                continue
+            raw = ids.tobytes()
+            made.update(zip(part, map(raw.__getitem__, map(slice, [0, *stops], stops)), strict=True))
+        return left
+
     def _learn(self, missing: set[bytes]) -> None:
-        ended = {w for w in missing if len(w) > 1 and w[-1:] in b",." and w[-2:-1].isalpha()}
-        new = [w for w in {*(missing - ended), *(w[:-1] for w in ended), b",", b"."} if w not in self.ids]
-        alone = [w for w in new if self.cut is None or b"<|" in w]  # may hold a special token
-        joined = [w for w in new if self.cut is not None and b"<|" not in w]
+        made: dict[bytes, bytes] = {}
+        new, others, split = [], [], {}  # runs, words that are no runs, words of several runs
+        for w in missing:
+            runs = RUNS.findall(w)
+            if runs == [w]:
+                new.append(w)
+            elif b"<|" not in w and b"".join(runs) == w:
+                split[w] = runs
+            else:
+                others.append(w)
+        parts = set().union(*split.values()).difference(new)
+        known = {w: self.ids[w] for w in parts if w in self.ids}
+        moved = {w: self.older[w] for w in parts.difference(known) if w in self.older}
+        made |= moved
+        new += parts.difference(known, moved)
+        others += self._runs_encoded(new, made)
+        alone = [w for w in others if self.cut is None or b"<|" in w]  # may hold a special token
+        joined = [w for w in others if self.cut is not None and b"<|" not in w]
         for w, ids in zip(alone, self._encoded([w.decode() for w in alone]), strict=True):
-            self.ids[w] = ids.tobytes()
+            made[w] = ids.tobytes()
         for at in range(0, len(joined), CALL_WORDS):
             part = joined[at:at + CALL_WORDS]
             ids = self._encoded([self.cut_text.join(w.decode() for w in part)])[0]
             ends = [-1, *np.flatnonzero(ids == self.cut).tolist(), len(ids)]
             for w, a, b in zip(part, ends[:-1], ends[1:], strict=True):
-                self.ids[w] = ids[a + 1:b].tobytes()
-        for w in ended:
-            self.ids[w] = self.ids[w[:-1]] + self.ids[w[-1:]]
-
-    def packed(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = []
-        for text in texts:
-            raw = text.encode()
-            # special tokens are found before lower-casing
-            split.append([w if b"<|" in w else w.lower() for w in raw.split()] if b"<|" in raw else raw.lower().split())
+                made[w] = ids[a + 1:b].tobytes()
+        for w, runs in split.items():
+            made[w] = b"".join([known[r] if r in known else made[r] for r in runs])
+        self._keep(made)
+
+    def _keep(self, made: dict[bytes, bytes]) -> None:
+        self.ids.update(made)
+        self.kept += ENTRY_BYTES * len(made) + sum(map(len, made)) + sum(map(len, made.values()))
+
+    def _looked_up(self, words: list[bytes]) -> list[bytes]:
         if self.kept > self.kept_bytes:  # words in use move on to the new table, others go with the next change
             self.older, self.ids, self.kept = self.ids, {}, 0
-        missing = set().union(*split).difference(self.ids)
+        found = list(map(self.ids.get, words))
+        missing = {w for w, ids in zip(words, found, strict=True) if ids is None}
+        if not missing:
+            return found
         again = {w: self.older[w] for w in missing if w in self.older}
-        self.ids.update(again)
+        self._keep(again)
         self._learn(missing.difference(again))
-        self.kept += sum(ENTRY_BYTES + len(w) + len(self.ids[w]) for w in missing)
-        return [b"".join(map(self.ids.__getitem__, words)) for words in split]
+        return [self.ids[w] if ids is None else ids for w, ids in zip(words, found, strict=True)]
+
+    def packed(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers; a null text has none."""
+        split = pa.compute.ascii_split_whitespace(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
+        stops = np.cumsum(pa.compute.list_value_length(split).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        words = split.flatten().dictionary_encode()
+        lowered = pa.compute.ascii_lower(words.dictionary)
+        marked = pa.compute.match_substring(words.dictionary, "<|")  # special tokens are found before lower-casing
+        lowered = pa.compute.if_else(marked, words.dictionary, lowered).cast(pa.large_binary())
+        ids = pa.array(self._looked_up(lowered.to_numpy(zero_copy_only=False).tolist()), pa.large_binary())
+        joined = ids.take(words.indices)
+        _, offsets, raw = joined.buffers()
+        at = np.frombuffer(offsets, np.int64)[joined.offset:] if len(joined) else np.zeros(1, np.int64)
+        cuts = [int(at[0]), *at[stops].tolist()]
+        view = memoryview(raw) if raw else memoryview(b"")
+        return [bytes(view[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, kept_bytes: int | None = None) -> DataFrame:
@@ -95,7 +153,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, kept_bytes: int
         step = 4 * capacity
         for batch in (part for whole in batches for part in blocks(whole, 1, BLOCK_BYTES)):
             rows = []
-            for doc, packed in zip(batch.column(0).to_pylist(), words.packed([x or "" for x in batch.column(1).to_pylist()]), strict=True):
+            for doc, packed in zip(batch.column(0).to_pylist(), words.packed(batch.column(1)), strict=True):
                 ids = packed + END
                 rows += [(doc, k, at // 4, (min(at + step, len(ids)) - at) // 4, zlib.crc32(ids[at:at + step]))
                          for k, at in enumerate(range(0, len(ids), step))]

@@ -118,3 +118,37 @@ def test_a_smaller_table_of_words_gives_the_same_ids(library):
         held = max(held, len(small.ids) + len(small.older))
     assert held < 1500  # of more than 8000 words
     assert [np.frombuffer(x, "<u4").tolist() for x in out] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_a_run_is_encoded_once_whatever_signs_follow(monkeypatch, library):
+    """Words that differ in case or in signs around the same letters cost the library one call's worth of them."""
+    words, sent = packing.WordIds(tokenizer_file(PATH)), []
+    encoded = packing.WordIds._encoded
+    monkeypatch.setattr(packing.WordIds, "_encoded", lambda self, texts: (sent.extend(texts), encoded(self, texts))[1])
+    texts = ["Zürichberg*** zürichberg### (zürichberg) zürichberg.", "zürichberg&&& ZürichBerg, zürichberg", "(zürichberg)***"]
+    for text in texts:
+        assert np.frombuffer(words.packed([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert "".join(sent).count("zürichberg") == 1
+
+
+def test_runs_of_letters_and_signs(library):
+    """Latin letters and signs in any mixture, and what may not be cut at runs: accents apart, apostrophes, digits, special tokens."""
+    rnd = random.Random(11)
+    letters = "abstzÀÉÖØÞßàíöøÿªµ×÷é́ñ"
+    texts = ["".join(rnd.choice(letters + "''**##..,,<|>/w</w>\\^`~_-12 \t\n\xa0\x85\x1c\x00ŁσΣ") for _ in range(rnd.randint(0, 80))) for _ in range(2000)]
+    texts += ["É</w>é </w> é*** x<|endoftext|>Y*** <|ENDOFTEXT|> " + "ß" * 300, " ", "*** ***abc***def"]
+    words = packing.WordIds(tokenizer_file(PATH), kept_bytes=100_000)
+    for at in range(0, len(texts), 50):
+        part = texts[at:at + 50]
+        for text, packed, right in zip(part, words.packed(part), library.encode_batch(part, add_special_tokens=False), strict=True):
+            assert np.frombuffer(packed, "<u4").tolist() == right.ids, text
+
+
+def test_texts_of_an_arrow_slice_with_nulls(library):
+    import pyarrow as pa
+
+    texts = ["left out", None, "", " a  b ", None, "C. d"]
+    for kind in (pa.string(), pa.large_string()):
+        got = packing.WordIds(tokenizer_file(PATH)).packed(pa.array(texts, kind).slice(1))
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == [library.encode(x or "", add_special_tokens=False).ids for x in texts[1:]]
+    assert packing.WordIds(tokenizer_file(PATH)).packed([None, ""]) == [b"", b""] and packing.WordIds(tokenizer_file(PATH)).packed([]) == []
