@@ -55,6 +55,26 @@ def test_equals_brute_force(spark, trie):
     assert len(want) > 30 and sorted(map(tuple, phrases.mine(df, trie_phrases=trie).collect())) == want
 
 
+def test_reads_of_the_blocks_do_not_grow_with_the_tries(spark, monkeypatch):
+    made, staged = [], phrases.staged
+    monkeypatch.setattr(phrases, "staged", lambda df, name: made.append(name) or staged(df, name))
+    rows = texts(5, 700)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    want = brute(rows)
+    for at_once, reads in ((100, 1), (4, 2)):  # 171 candidates: six tries
+        monkeypatch.setattr(phrases, "TRIES_AT_ONCE", at_once, raising=False)
+        made.clear()
+        got = sorted(map(tuple, phrases.mine(df, trie_phrases=29).collect()))
+        assert got == want and made.count("counts") == reads
+
+
+def test_counts_are_reported_before_they_overflow(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "FULL", 500)
+    monkeypatch.setattr(phrases, "BLOCK_BYTES", 200)
+    rows = texts(2, 300)
+    assert sorted(map(tuple, phrases.mine(spark.createDataFrame(rows, SCHEMA).repartition(1)).collect())) == brute(rows)
+
+
 def test_best_of_each_language_and_small_blocks(spark, monkeypatch):
     monkeypatch.setattr(phrases, "BLOCK_BYTES", 200)
     monkeypatch.setattr(phrases, "BITS", 5)  # collisions everywhere: more is counted, nothing else changes
